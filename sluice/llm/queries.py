@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import leakage, lines, mixture
+from sluice.llm import leakage, lines, mixture, spam
 from sluice.session import table
 
 
@@ -57,6 +57,16 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents made of keywords, links or product tags rather than sentences."""
+    return spam.spam_measures(table(spark, folder, "documents")).where("spam").select(F.col("document").alias("doc_id"))
+
+
+def p8_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """What that is decided by: characters of each document by kind."""
+    return spam.spam_measures(table(spark, folder, "documents")).withColumnRenamed("document", "doc_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_lines": p1_lines,
@@ -66,5 +76,7 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_measures": p8_measures,
 }
 SQL: dict[str, str] = {}
