@@ -1,0 +1,147 @@
+"""Seed labels for main-body extraction: what a line is, told by phrases of page furniture and the line's place.
+
+They label the bounded sample on which the trees are trained; they are not used elsewhere.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+
+# Phrases of page furniture in English, French, German and Spanish.  Lower case, NFKC.
+_MENU = """
+skip to content|home|about us|contact|news|events|log in|jobs|newsletter|podcast|people|markets|archive|imprint|site map|privacy notice|cookie settings|terms of use
+advertise with us|follow the feed|back to top|subscribe|search|menu|careers|register|help
+zum inhalt springen|archiv|über uns|kontakt|anmelden|startseite|rundbrief|märkte|termine|stellen|nachrichten|menschen|impressum|übersicht|datenschutz|nutzungsbedingungen
+cookie-einstellungen|werben bei uns|feed abonnieren|nach oben
+aller au contenu|accueil|à propos|connexion|balado|marchés|agenda|emplois|portraits|lettre|archives|actualités|mentions légales|vie privée|conditions d'utilisation|réglage des témoins
+plan du site|annoncer|annoncez chez nous|flux|haut de page
+ir al contenido|inicio|quiénes somos|contacto|noticias|personas|boletín|empleo|pódcast|mercados|entrar|acceder|archivo|aviso legal|privacidad|términos de uso|ajustes de cookies
+mapa del sitio|anúnciese|suscripción|volver arriba
+"""
+_SHARE = """
+share this article|tell a friend about this story|copy link|follow us on the social channels|print this page|send to a colleague|like what you read\\? pass it on
+artikel weiterempfehlen|beitrag teilen|folgen sie uns im netz|per mail versenden|seite drucken|link kopieren|gern gelesen\\? weitersagen|gefällt ihnen der text\\?.*
+partager cet article|suivez-nous sur les réseaux|copier le lien|imprimer la page|envoyer à un collègue|envoyer à un ami|vous avez aimé ?\\?.*
+compartir este artículo|recomendar la nota|síganos en las redes|enviar a un amigo|imprimir página|copiar enlace|¿?le gustó.*
+[\\d.,]+ (shares|partages|compartidos|mal geteilt)
+[\\d.,]+ (min read|min\\. lesezeit|min de lecture|min de lectura|minuten lesezeit)
+"""
+_BOXES = """
+trending now|most read|popular this week|meistgelesen|gerade gefragt|beliebt in dieser woche|tendances|les plus lus|populaire cette semaine|lo más leído|tendencias|popular esta semana
+"""
+_RELATED = """
+related stories|read next|you may also like|more from this desk|verwandte beiträge|verwandte artikel|das könnte sie auch interessieren|weiterlesen bei uns|mehr aus diesem ressort
+articles liés|dans la même rubrique|à lire ensuite|vous aimerez aussi|también le puede interesar|notas relacionadas|lea a continuación|más de esta sección|siga leyendo
+"""
+_MORE = """
+continue reading|full story|read more|weiterlesen|mehr lesen|ganzer (beitrag|artikel|text)|lire la suite|article complet|leer más|nota completa
+"""
+_END = """
+leave a reply|join the discussion|comments are closed|your email address will not be published.*|kommentare geschlossen|kommentar schreiben|mitreden|ihre adresse wird nicht veröffentlicht.*
+laisser un commentaire|commentaires fermés|rejoindre la discussion|participer à la discussion|votre adresse ne sera pas publiée.*|deje un comentario|comentarios cerrados|únase a la conversación|su dirección no se publicará.*
+(tags|filed under|schlagworte|abgelegt unter|mots-clés|classé sous|classé dans|étiquettes|sujets|etiquetas|archivado en|temas) ?:.*
+.* (writes about|schreibt über|écrit sur|escribe sobre) .*
+nothing on this page is an offer.*|all rights reserved\\b.*|some links on this page earn us.*|the opinions in this article.*
+alle angaben ohne gewähr.*|alle rechte vorbehalten.*|einige verweise bringen uns.*|die beiträge geben die meinung.*|die texte geben die meinung.*|die .* geben die meinung.*
+aucune information de cette page.*|tous droits réservés.*|certains liens nous rapportent.*|les opinions exprimées ici.*
+nada en esta página es una oferta.*|todos los derechos reservados.*|algunos enlaces.*|las opiniones son de quien firma.*
+"""
+_OTHER = """
+(sign up for our letter|never miss a story|get five stories).*|jeden freitag fünf geschichten.*|kein beitrag mehr verpassen.*|ne manquez rien.*|recevez cinq récits.*|reciba cinco historias.*|no se pierda nada.*
+(photo|foto|bild|image|picture|crédit photo|fotografía) ?: .*
+(advertisement|sponsored content|anzeige|werbung|bezahlter inhalt|publicité|publicidad|contenu parrainé|contenido patrocinado|gesponserter inhalt|la suite après cette annonce|el artículo sigue tras el anuncio|story continues below .*|der text geht nach .* weiter|article continues .*)( ?[–—-] .*)?
+(see also|read also|more on this|also on this site|related|lesen sie auch|siehe auch|mehr dazu|mehr zum thema|lire aussi|à lire aussi|voir aussi|à ce sujet|sur le même sujet|lea también|vea también|más sobre esto|sobre este tema) ?: .*
+© .*
+[a-z]{3,5} [\\d.,]+ [+-−]?[\\d.,]+ ?%
+we use cookies.*|this website stores data.*|together with our .* partners.*|wir verwenden cookies.*|diese (seite|website) speichert.*|gemeinsam mit .* partnern.*|nous utilisons des témoins.*|ce site enregistre des données.*|avec nos .* partenaires.*|usamos cookies.*|este sitio guarda datos.*|con nuestros .* socios.*
+(about cookies here|your data, your choice|your privacy matters|su privacidad importa|sus datos, su decisión|votre vie privée compte|vos données, votre choix|ihre daten, ihre wahl|hinweis zu cookies|[^.]*cookies[^.]*|[^.]*privacy[^.]*|[^.]*privatsphäre[^.]*|[^.]*vie privée[^.]*|[^.]*témoins[^.]*) ?: .*
+"""
+
+
+def _any(phrases: str, whole: bool = True) -> re.Pattern:
+    body = "|".join(line for line in phrases.strip().splitlines())
+    return re.compile(rf"(?:{body})" if whole else body)
+
+
+MENU, SHARE, BOX, RELATED, MORE, END, OTHER = map(_any, (_MENU, _SHARE, _BOXES, _RELATED, _MORE, _END, _OTHER))
+_BYLINE = re.compile(r"(written by|posted by|words by|text von|von|par|texte de|texto de|por|by) [^ ]+( [^ ]+){0,4}( ?\| ?[\d./ -]+)?")
+_EDGE = re.compile(r"^[\s•\-–»›>→★!*·…]+|[\s»›→★!*·…]+$|\s*\(\d+\)$|\s+\.\.\.$|(?<=\w)\s?!$")
+_PROSE = re.compile(r"[.!?…][\"'”»“)]*(\s*[–-] .*)?$")
+_SEPARATED = re.compile(r" [|/·>›»] ")
+_CUT = re.compile(r"\[(…|\.\.\.)\]")
+_ADDRESS = re.compile(r"^\w[\w'’-]*, \w[\w'’-]* [\w'’-]+ \d+$")
+_ZERO = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])
+
+
+def plain(line: str) -> str:
+    """The line without invisible characters, decoration at its ends and odd spacing, in NFKC."""
+    text = unicodedata.normalize("NFKC", line.translate(_ZERO) if not line.isascii() else line)
+    return _EDGE.sub("", _EDGE.sub("", " ".join(text.split())))
+
+
+def is_prose(text: str) -> bool:
+    return len(text.split()) >= 6 and bool(_PROSE.search(text))
+
+
+def seed_labels(content: str, title: str | None, site: str) -> list[bool | None]:
+    """Of each line: True main body, False not, None blank."""
+    lines = [plain(x) for x in content.split("\n")]
+    low = [x.lower() for x in lines]
+    kinds = [_kind(a, b, site.lower()) for a, b in zip(lines, low, strict=True)]
+    listing = kinds.count("more") >= 1 or sum(bool(_CUT.search(x)) for x in lines) >= 2
+    name = (title or "").lower()
+    out: list[bool | None] = []
+    zone, box, opened = "head", False, False
+    for i, kind in enumerate(kinds):
+        if kind == "blank":
+            out.append(None)
+            box = box and zone == "end"
+            continue
+        headline = kind == "short" and plain(name) == low[i]
+        if kind in ("box", "related"):
+            box = True
+        elif kind not in ("short", "prose"):
+            box = False
+        if kind in ("end", "related"):
+            zone = "end"
+        body = False
+        if kind == "prose":
+            if zone != "end" and not (box and _CUT.search(lines[i])):
+                body, zone, box = True, "body", False
+        elif kind == "short":
+            if headline and zone == "head":
+                body = opened = True
+            elif zone != "end" and not box:
+                # Before the first prose: a list item, or a subheading below the headline or the share prompts.
+                following = next((k for k in kinds[i + 1 :] if k != "blank"), "")
+                body = zone == "body" or _listed(content.split("\n")[i], lines[i]) or (opened and following == "prose")
+                zone = "body" if body else zone
+        elif kind == "share":
+            opened = True
+        out.append(body and not listing)
+    return out
+
+
+def _listed(raw: str, text: str) -> bool:
+    return bool(re.match(r"\s*[•\-–]", raw)) or text[:1].islower() or text[:1].isdigit() or bool(re.search(r"\d+ ?: ?\d+", text))
+
+
+def _kind(text: str, low: str, site: str) -> str:
+    if not text:
+        return "blank"
+    if BOX.fullmatch(low):
+        return "box"
+    if RELATED.fullmatch(low):
+        return "related"
+    if MORE.fullmatch(low):
+        return "more"
+    if END.fullmatch(low):
+        return "end"
+    if SHARE.fullmatch(low) or _BYLINE.fullmatch(low):
+        return "share"
+    if MENU.fullmatch(low) or OTHER.fullmatch(low) or _ADDRESS.match(text):
+        return "furniture"
+    if low.startswith(site + ":") or low.endswith(site) or _SEPARATED.search(text):
+        return "furniture"
+    return "prose" if is_prose(text) or _CUT.search(text) else "short"

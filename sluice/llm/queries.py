@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import leakage, lines, mixture, spam
+from sluice.llm import leakage, lines, mainbody, mixture, spam
 from sluice.session import table
 
 
@@ -28,6 +28,17 @@ def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_repeated(pages, lines.repeated_lines(pages))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of each page that belong to its main body."""
+    return mainbody.main_body(table(spark, folder, "unified_all_cms_content"))
+
+
+def p5_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The main body of each page as text."""
+    pages = table(spark, folder, "unified_all_cms_content")
+    return mainbody.body_texts(pages, mainbody.main_body(pages))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with the test items that leaked into them."""
     found = leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
@@ -71,6 +82,8 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_lines": p1_lines,
     "p1_clean": p1_clean,
+    "p5_found": p5_found,
+    "p5_texts": p5_texts,
     "p6_found": p6_found,
     "p6_items": p6_items,
     "p7_found": p7_found,
