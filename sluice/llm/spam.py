@@ -53,9 +53,12 @@ _LINK = re.compile(
     r"""<a\b[^<>]*href[^<>]*>[^<>]*(?:</a\s*>)?|!?\[[^\[\]]*\]\([^()\s]*\)|(?:https?://|ftp://|www\.)[^\s<>"')\]]+|\b[a-z0-9][a-z0-9\-]*(?:\.[a-z0-9\-]+)*\.[a-z]{2,}(?:/[^\s<>"')\]]*)?(?![\w@.])""",
     re.IGNORECASE,
 )
+#: Every link has one of these.
+_LINKISH = re.compile(r"\.[a-z]{2}|://|href|\]\(", re.IGNORECASE)
+_ONES = b"\x01" * 64
 _TAG = re.compile(r"<[^<>]*>")
 # What people add to a search for places close by; one word here, since it is no clause.
-_NEAR = re.compile(r"\bin der nähe\b|\bnear me\b|\bprès de chez moi\b|\bcerca de mí\b")
+_NEAR = re.compile(r"(?i)\bin der nähe\b|\bnear me\b|\bprès de chez moi\b|\bcerca de mí\b")
 _DIGIT = re.compile(r"\d")
 _HASHTAG = re.compile(r"#\w+")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -160,57 +163,62 @@ def judge(text: str | None) -> Verdict:
         marks.append(m.end() - m.start())
         return ""
 
-    text = _HASHTAG.sub(mark, _LINK.sub(mark, text))
+    if _LINKISH.search(text):
+        text = _LINK.sub(mark, text)
+    if "#" in text:
+        text = _HASHTAG.sub(mark, text)
     if "<" in text:
         text = _TAG.sub(" ", text)
     units = [u for u in _UNIT.findall(text) if u and not u.isspace()]
+    near = _NEAR.search(text) is not None
     names: list[str] = []
     unit_of: list[tuple[int, int]] = []
     for unit in units:
         start = len(names)
-        names += _WORD.findall(_NEAR.sub("nearby", unit.lower()))
+        low = unit.lower()
+        names += _WORD.findall(_NEAR.sub("nearby", low) if near else low)
         unit_of.append((start, len(names)))
     # Digits within words are all one, as in article numbers.
     names = [w if w.isalpha() or w.isdigit() else _DIGIT.sub("0", w) for w in names]
     times = Counter(names)
     number = {w: i if n > 1 else -1 for i, (w, n) in enumerate(times.items())}
-    tokens = [number[w] for w in names]
-    longest, often = repeats(tokens)
-    # From right to left: how far the repeats that end here or later reach back, and the most often repeated of them.
-    covered, phrase = [False] * len(tokens), [False] * len(tokens)
-    reach = phrase_reach = sentence_reach = len(tokens)
+    longest, often = repeats([number[w] for w in names])
     function = [w in FUNCTION_WORDS for w in names]
     before = list(accumulate(function, initial=0))
-    for i in range(len(tokens) - 1, -1, -1):
-        n = longest[i]
-        if n >= 2 or (n == 1 and often[i] >= WORD_REPEATS and not function[i] and not names[i].isdigit()):
-            reach = min(reach, i - n + 1)
+    # Of each word: whether a repeat covers it, and whether that is a phrase or a sentence.
+    covered, phrase, sentence = bytearray(len(names)), bytearray(len(names)), bytearray(len(names))
+    for i, n in enumerate(longest):
+        if n >= 2:
+            start = i - n + 1
+            covered[start : i + 1] = _ONES[:n] if n <= len(_ONES) else b"\x01" * n
             if n > PHRASE_WORDS:
-                sentence_reach = min(sentence_reach, i - n + 1)
-            elif n >= 2 and often[i] >= PHRASE_REPEATS and 3 * (before[i + 1] - before[i - n + 1]) <= n:
-                phrase_reach = min(phrase_reach, i - n + 1)
-        covered[i] = reach <= i
-        phrase[i] = phrase_reach <= i < sentence_reach
+                sentence[start : i + 1] = b"\x01" * n
+            elif often[i] >= PHRASE_REPEATS and 3 * (before[i + 1] - before[start]) <= n:
+                phrase[start : i + 1] = _ONES[:n]
+        elif n and often[i] >= WORD_REPEATS and not function[i] and not names[i].isdigit():
+            covered[i] = 1
     total = links = keywords = covered_letters = 0
     at = 0
     for unit, (start, end) in zip(units, unit_of, strict=True):
-        own = unit.count("")
+        own = unit.count(_MARK)
         marked = sum(marks[at : at + own])
         at += own
-        plain = len(unit.strip()) - own
-        size = marked + plain
+        size = marked + len(unit.strip()) - own
         total += size
+        hits = covered.count(1, start, end)
+        if not (hits or own):
+            continue
         letters = sum(map(len, names[start:end]))
         hit = sum(map(len, compress(names[start:end], covered[start:end])))
         covered_letters += hit
-        clause = [names[i] for i in range(start, end) if function[i] and not phrase[i]]
+        clause = [names[i] for i in range(start, end) if function[i] and (sentence[i] or not phrase[i])]
         clauseless = len(clause) < CLAUSE * (end - start) or (end - start >= LONG_UNIT and len(set(clause)) < 2) or end == start
         if own:
             whole = clauseless and (marked * 3 >= size or hit >= COVERAGE * letters)
             links += size if whole else marked
         elif clauseless and unit.count("|") >= 2 and hit >= COVERAGE / 2 * letters:
             links += size
-        elif clauseless and end > start and (hit >= COVERAGE * letters or (not clause and 2 * sum(covered[start:end]) >= end - start)):
+        elif clauseless and end > start and (hit >= COVERAGE * letters or (not clause and 2 * hits >= end - start)):
             keywords += size
     return Verdict(total, links, keywords, covered_letters)
 
