@@ -10,6 +10,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Code points of the characters that count as white space.
 WHITE_POINTS = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -49,7 +50,7 @@ def clean(x: Column) -> Column:
     return collapse_white(strip_tags(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     """HTML entities as characters, for which Spark has no function; Arrow batches."""
     return texts.map(lambda t: html.unescape(t) if t is not None and "&" in t else t)

@@ -132,17 +132,24 @@ class StateStore:
         pointer = self._current()
         if pointer is None:
             return self.spark.createDataFrame([], self.schema)
-        version = json.loads(self.spark.read.text(os.path.join(self.folder, pointer)).first()[0])["version"]
-        return self.spark.read.schema(self.schema).parquet(os.path.join(self.folder, version))
+        return self.spark.read.schema(self.schema).parquet(os.path.join(self.folder, self._pointed(pointer)["version"]))
 
-    def write(self, state: DataFrame) -> None:
+    def _pointed(self, pointer: str) -> dict:
+        return json.loads(self.spark.read.text(os.path.join(self.folder, pointer)).first()[0])
+
+    def note(self) -> str | None:
+        """What the last write noted beside the state, in the same step."""
+        pointer = self._current()
+        return self._pointed(pointer)["note"] if pointer else None
+
+    def write(self, state: DataFrame, note: str | None = None) -> None:
         before = self._current()
         number = int(before.split("-")[1]) + 1 if before else 1
         version = f"version-{number:012d}-{uuid.uuid4().hex}"
         state.write.parquet(os.path.join(self.folder, version))
         temporary = self._path(f".tmp-{uuid.uuid4().hex}")
         stream = self._fs.create(temporary)
-        stream.write(bytearray(json.dumps({"version": version}).encode()))
+        stream.write(bytearray(json.dumps({"version": version, "note": note}).encode()))
         stream.close()
         if not self._fs.rename(temporary, self._path(f"current-{number:012d}")):
             raise RuntimeError("another writer has moved the state on")

@@ -1,7 +1,8 @@
 """Ingestion as a stream that runs until its input is used up: each file is taken exactly once.
 
-The state's new version and the sink's rows of a micro-batch carry its number; a batch that is repeated after a
-failure finds its number stored and does nothing.
+The sink's rows of a micro-batch go to a folder with its number; the state's new version notes the number in the
+same step.  A batch repeated after a failure either finds its number noted and does nothing, or finds the state
+as it was, and writes the same rows again in their place.
 """
 
 from __future__ import annotations
@@ -12,26 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from sluice.operators.state import StateStore, insert_absent
-
-
-def stored_batches(spark: SparkSession, path: str) -> set[int]:
-    """Numbers of the batches in a table partitioned by `batch`: as many as there were runs."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return set()
-    found = set()
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("batch=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_done")):
-            found.add(int(name.split("=")[1]))
-    return found
-
-
-def _mark(spark: SparkSession, path: str, batch: int) -> None:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch}/_done")
-    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+from sluice.operators.state import StateStore, first_by
 
 
 def run_available(
@@ -40,16 +22,12 @@ def run_available(
     """Takes the Parquet files that are new in `folder`, inserts rows with keys the state lacks, appends `transform` of those to the sink."""
 
     def one(batch: DataFrame, number: int) -> None:
-        if number in stored_batches(spark, sink_path):
+        if int(store.note() or -1) >= number:
             return
         known = store.read()
-        fresh = insert_absent(known.select(*key), batch, key).join(known.select(*key), key, "left_anti").select(*batch.columns).persist()
-        try:
-            transform(fresh).write.mode("overwrite").parquet(f"{sink_path}/batch={number}")
-            store.write(known.unionByName(fresh.select(*known.columns)))
-            _mark(spark, sink_path, number)
-        finally:
-            fresh.unpersist()
+        fresh = first_by(batch.dropna(subset=key), key, []).join(known.select(*key), key, "left_anti")
+        transform(fresh).write.mode("overwrite").parquet(f"{sink_path}/batch={number}")
+        store.write(known.unionByName(fresh, allowMissingColumns=True).select(*known.columns), str(number))
 
     stream = spark.readStream.schema(schema).parquet(folder)
     return stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(one).start()
