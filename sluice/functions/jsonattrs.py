@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.markup import links_of
 from sluice.functions.text import WHITE_POINTS
-from sluice.operators.nested import read_json
+from sluice.operators.nested import read_json, sound
 
 # Names of fields.
 SYSTEM_SUFFIXES = ("_id", "locale", "createdAt", "updatedAt", "publishedAt")
@@ -163,9 +163,9 @@ def structured(records: DataFrame, attributes: str = "attributes", fixed_source:
         title = own.get("title") or ""
         if not isinstance(title, str):
             return (None,) * 6 + ("title is no text",)
-        as_text = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
+        as_text = lambda v: v if v is None else sound(v) if isinstance(v, str) else json.dumps(v)
         flat = flat_attributes(own)
-        return application_source(own, fixed_source), cleaned(title), as_text(own.get("slug", "")), as_text(own.get("locale", "en")), json.dumps(flat, ensure_ascii=False), len(links(own)), None
+        return application_source(own, fixed_source), sound(cleaned(title)), as_text(own.get("slug", "")), as_text(own.get("locale", "en")), sound(json.dumps(flat, ensure_ascii=False)), len(links(own)), None
 
     names = ["app_source", "clean_title", "clean_slug", "clean_locale", "flat_json", "n_sources", "problem"]
     kinds = [pa.string()] * 5 + [pa.int32(), pa.string()]

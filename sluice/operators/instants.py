@@ -58,7 +58,7 @@ def _year(seconds: int) -> int:
 
 
 def zone_table(spark: SparkSession, zones: list[str]) -> DataFrame:
-    """(zone, bucket, spans): per zone and local year the intervals that touch it, in local seconds.
+    """(__z, __y, __spans): per zone and local year the intervals that touch it, in local seconds.
 
     A span is (from, to, until, offset); `until` is where the next interval starts if the clock
     skips from `to` to there, else `to`.  Some 600 rows of one to a few spans a zone, and zones are
@@ -73,7 +73,7 @@ def zone_table(spark: SparkSession, zones: list[str]) -> DataFrame:
             for y in range(max(FIRST_YEAR, _year(a)), min(LAST_YEAR, _year(until)) + 1):
                 by_year[y].append((a, b, until, o))
         rows += [(zone, y, x) for y, x in by_year.items()]
-    return spark.createDataFrame(rows, "zone string, bucket int, spans array<struct<a: long, b: long, until: long, offset: int>>")
+    return spark.createDataFrame(rows, "__z string, __y int, __spans array<struct<a: long, b: long, until: long, offset: int>>")
 
 
 def _known(zone: str) -> bool:
@@ -125,9 +125,9 @@ def to_utc(values: DataFrame, text: str, zone: str, day_first: str, zones: list[
     named = F.coalesce(F.when(F.col("__zone").isin(known), F.col("__zone")), F.when(F.col(zone).isin(known), F.col(zone)), F.lit("UTC"))
     keyed = read.withColumn("__at", shifted).withColumn("__named", F.when(F.col("__offset").isNull(), named))
     keyed = keyed.withColumn("__bucket", F.greatest(F.lit(FIRST_YEAR), F.least(F.lit(LAST_YEAR), F.year(F.timestamp_seconds("__at")))))
-    joined = keyed.join(table, (F.col("__named") == table["zone"]) & (F.col("__bucket") == table["bucket"]), "left").drop(table["zone"]).drop("bucket")
-    match = joined.withColumn("__in", F.filter("spans", lambda s: (s["a"] <= F.col("__at")) & (F.col("__at") < s["b"])))
-    match = match.withColumn("__skip", F.filter("spans", lambda s: (s["b"] <= F.col("__at")) & (F.col("__at") < s["until"])))
+    joined = keyed.join(table, (F.col("__named") == F.col("__z")) & (F.col("__bucket") == F.col("__y")), "left")
+    match = joined.withColumn("__in", F.filter("__spans", lambda s: (s["a"] <= F.col("__at")) & (F.col("__at") < s["b"])))
+    match = match.withColumn("__skip", F.filter("__spans", lambda s: (s["b"] <= F.col("__at")) & (F.col("__at") < s["until"])))
     chosen = (
         F.when(F.col("__offset").isNotNull(), F.col("__offset"))
         .when(F.size("__in") > 0, F.array_max(F.transform("__in", lambda s: s["offset"])))

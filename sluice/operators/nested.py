@@ -38,6 +38,11 @@ def read_json(text: str | None) -> Any:
         raise ValueError("nested too deeply") from deep
 
 
+def sound(text: str) -> str:
+    """The text with `?` for halves of surrogate pairs, which JSON may hold and UTF-8 can't."""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()
+
+
 def unwrap(value: Any) -> Any:
     """A string that is the JSON text of an object or array is read as that, any number of times over."""
     while isinstance(value, str) and value.lstrip(" \t\r\n")[:1] in ("{", "[", '"'):
@@ -69,7 +74,7 @@ def element_objects(text: str | None) -> Iterator[tuple[list[str], str, list[int
         if isinstance(value, dict):
             if kinds.endswith("o"):
                 yield steps, kinds, label, value
-            below = [(str(key), "k", x) for key, x in value.items()]
+            below = [(sound(key), "k", x) for key, x in value.items()]
         elif isinstance(value, list):
             below = [(str(i), "", x) for i, x in enumerate(value)]
         else:
@@ -82,7 +87,7 @@ def element_objects(text: str | None) -> Iterator[tuple[list[str], str, list[int
 
 def _scalars(value: dict) -> str:
     """The object's own scalar values, as JSON with sorted keys: the row of its table."""
-    return json.dumps({k: v for k, v in value.items() if not isinstance(unwrap(v), (dict, list))}, ensure_ascii=False, sort_keys=True)
+    return sound(json.dumps({k: v for k, v in value.items() if not isinstance(unwrap(v), (dict, list))}, ensure_ascii=False, sort_keys=True))
 
 
 def element_nodes(records: DataFrame, key: list[str], fields: list[str], rows: bool = True) -> DataFrame:
@@ -148,11 +153,11 @@ def linked(nodes: DataFrame) -> DataFrame:
     )
 
 
-def flat_table(links: DataFrame, key: list[str], field: str, table: str, columns: list[str]) -> DataFrame:
-    """One of the flat tables: record key, path, parent_path, and the named scalar values as text.
+def flat_table(links: DataFrame, key: list[str], field: str, table: str, columns: dict[str, str]) -> DataFrame:
+    """One of the flat tables: record key, path, parent_path, and scalar values as text, by column name and JSON key.
 
     Records delivered again give equal rows, which appear once.
     """
     own = links.where((F.col("field") == field) & (F.col("schema_path") == table))
-    values = [F.get_json_object("scalars", "$['" + c.replace("'", "") + "']").alias(c) for c in columns]
+    values = [F.get_json_object("scalars", "$['" + k.replace("'", "") + "']").alias(c) for c, k in columns.items()]
     return own.select(*key, "path", "parent_path", *values).distinct()

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import training
+from sluice.plans import ingestion, training
 
-QUERIES = training.QUERIES
-SQL = training.SQL
+QUERIES = ingestion.QUERIES | training.QUERIES
+SQL = ingestion.SQL | training.SQL
 FLAGSHIP = "p4_found"

@@ -31,7 +31,7 @@ def p2_images(spark: SparkSession, folder: str) -> DataFrame:
     """One flat table: the objects of external_images, with their scalar columns."""
     records = table(spark, folder, "unified_cms_content_combined")
     links = nested.linked(nested.element_nodes(records, CMS_KEY, ["external_images"]))
-    return nested.flat_table(links, CMS_KEY, "external_images", "*", ["role", "source_name", "image_url", "title", "license"])
+    return nested.flat_table(links, CMS_KEY, "external_images", "*", {"role": "role", "image_source": "source", "image_url": "image_url", "image_title": "title", "license": "license"})
 
 
 def dated_texts(spark: SparkSession, folder: str) -> DataFrame:
