@@ -22,7 +22,7 @@ from sluice.functions.instants import read_instant
 
 MICROS = 1_000_000
 #: Years with their own buckets.  Before, zones keep their first offset; after, rules repeat every 400 years.
-FIRST_YEAR, LAST_YEAR = 1850, 2450
+FIRST_YEAR, LAST_YEAR = 1800, 2450
 READING = "__micros long, __offset int, __zone string"
 
 
@@ -54,7 +54,7 @@ def offset_intervals(zone: str) -> list[tuple[int, int, int]]:
 
 
 def _year(seconds: int) -> int:
-    return (datetime(1970, 1, 1) + timedelta(seconds=max(min(seconds, 16_000_000_000), -4_000_000_000))).year
+    return (datetime(1970, 1, 1) + timedelta(seconds=max(min(seconds, 16_000_000_000), -6_000_000_000))).year
 
 
 def zone_table(spark: SparkSession, zones: list[str]) -> DataFrame:
