@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.nested import read_json
+from sluice.operators.nested import read_json, sound
 from sluice.operators.ordinals import with_prefix
 from sluice.session import materialise
 
@@ -151,7 +151,7 @@ def page_texts(records: DataFrame, source: str, id_: str, attributes: str) -> Da
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([content_of(t) for t in batch.column(2).to_pylist()], pa.string())
+            texts = pa.array([None if (c := content_of(t)) is None else sound(c) for t in batch.column(2).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["source", "id", "content"])
 
     slim = records.where(F.col(id_).isNotNull()).select(F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(id_).alias("id"), F.col(attributes).alias("attributes"))

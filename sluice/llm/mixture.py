@@ -4,7 +4,7 @@ Within a source each document has the same expected number of copies.  Documents
 stand in an order fixed by a hash; the running sum of expected copies plus one
 random offset per source crosses an integer boundary once for each copy emitted.
 So a source gives its expected size to within one document, no document gets more
-than the cap rounded up, and equal rates need no random numbers per row.
+than max_repeats copies, and no random numbers are drawn per row.
 """
 
 from __future__ import annotations
