@@ -57,8 +57,8 @@ _LINK = re.compile(
 _LINKISH = re.compile(r"\.[a-z]{2}|://|href|\]\(", re.IGNORECASE)
 _ONES = b"\x01" * 64
 _TAG = re.compile(r"<[^<>]*>")
-# What people add to a search for places close by; one word here, since it is no clause.
-_NEAR = re.compile(r"(?i)\bin der nähe\b|\bnear me\b|\bprès de chez moi\b|\bcerca de mí\b")
+# What people add to a search, in several words; one word here, since it is no clause.
+_NEAR = re.compile(r"(?i)\ben ligne\b|\ben línea\b|\bin der nähe\b|\bnear me\b|\bprès de chez moi\b|\bcerca de mí\b")
 _DIGIT = re.compile(r"\d")
 _HASHTAG = re.compile(r"#\w+")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -82,11 +82,11 @@ class Verdict(NamedTuple):
         return (self.links + self.keywords) / self.total if self.total else 0.0
 
 
-def repeats(tokens: list[int]) -> tuple[list[int], list[int]]:
-    """Of each position: the length of the longest substring that ends there and occurs twice or more, and how often it occurs.
+def repeats(tokens: list[int], many: int = PHRASE_REPEATS) -> tuple[list[int], list[int], list[int]]:
+    """Of each position: the lengths of the longest substrings that end there and occur twice and `many` times, and how often the first occurs.
 
     Builds the suffix automaton of the sequence, online, with the number of end positions of each
-    state; the substring sought is the longest of the first state on the suffix path that occurs twice.
+    state; the substring sought is the longest of the first state on the suffix path that occurs often enough.
     A negative token stands for a word that occurs once: no repeated substring holds it, so it
     cuts the sequence, and the automaton is that of the parts.
     """
@@ -140,13 +140,16 @@ def repeats(tokens: list[int]) -> tuple[list[int], list[int]]:
         last = new
     for s in sorted(range(1, len(length)), key=length.__getitem__, reverse=True):
         ends[link[s]] += ends[s]
-    longest, often = [], []
+    longest, often, steady = [], [], []
     for s in own:
         while s > 0 and ends[s] < 2:
             s = link[s]
         longest.append(length[s] if s > 0 else 0)
         often.append(ends[s] if s > 0 else 0)
-    return longest, often
+        while s > 0 and ends[s] < many:
+            s = link[s]
+        steady.append(length[s] if s > 0 else 0)
+    return longest, often, steady
 
 
 def judge(text: str | None) -> Verdict:
@@ -178,11 +181,12 @@ def judge(text: str | None) -> Verdict:
         low = unit.lower()
         names += _WORD.findall(_NEAR.sub("nearby", low) if near else low)
         unit_of.append((start, len(names)))
+        names.append("")  # repeats end with a unit
     # Digits within words are all one, as in article numbers.
     names = [w if w.isalpha() or w.isdigit() else _DIGIT.sub("0", w) for w in names]
     times = Counter(names)
-    number = {w: i if n > 1 else -1 for i, (w, n) in enumerate(times.items())}
-    longest, often = repeats([number[w] for w in names])
+    number = {w: i if n > 1 and w else -1 for i, (w, n) in enumerate(times.items())}
+    longest, often, steady = repeats([number[w] for w in names])
     function = [w in FUNCTION_WORDS for w in names]
     before = list(accumulate(function, initial=0))
     # Of each word: whether a repeat covers it, and whether that is a phrase or a sentence.
@@ -193,8 +197,9 @@ def judge(text: str | None) -> Verdict:
             covered[start : i + 1] = _ONES[:n] if n <= len(_ONES) else b"\x01" * n
             if n > PHRASE_WORDS:
                 sentence[start : i + 1] = b"\x01" * n
-            elif often[i] >= PHRASE_REPEATS and 3 * (before[i + 1] - before[start]) <= n:
-                phrase[start : i + 1] = _ONES[:n]
+            n = steady[i]
+            if 2 <= n <= PHRASE_WORDS and 3 * (before[i + 1] - before[i - n + 1]) <= n:
+                phrase[i - n + 1 : i + 1] = _ONES[:n]
         elif n and often[i] >= WORD_REPEATS and not function[i] and not names[i].isdigit():
             covered[i] = 1
     total = links = keywords = covered_letters = 0

@@ -15,11 +15,12 @@ ARTICLE = "The board of the old theatre closed its doors after a long review. Fe
 def test_automaton(tokens):
     times = Counter(tokens)
     tokens = [t if times[t] > 1 else -1 for t in tokens]
-    longest, often = spam.repeats(tokens)
+    longest, often, steady = spam.repeats(tokens, 3)
     n = len(tokens)
     seen = Counter(tuple(tokens[i:j]) for i in range(n) for j in range(i + 1, n + 1) if -1 not in tokens[i:j])
     for end in range(n):
         best = max((size for size in range(1, end + 2) if seen.get(tuple(tokens[end - size + 1 : end + 1]), 0) > 1), default=0)
+        assert steady[end] == max((size for size in range(1, end + 2) if seen.get(tuple(tokens[end - size + 1 : end + 1]), 0) > 2), default=0)
         assert longest[end] == best and (not best or often[end] == seen[tuple(tokens[end - best + 1 : end + 1])])
 
 
