@@ -32,7 +32,7 @@ LEAST_BITS, MOST_BITS = 20, 27
 _TAG = re.compile(r"<[^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
 # Characters without width, and the soft hyphen.
-_INVISIBLE = dict.fromkeys([0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), *range(0xFE00, 0xFE10), 0xFEFF])
+_INVISIBLE = re.compile("[" + "".join(map(chr, [0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), *range(0xFE00, 0xFE10), 0xFEFF])) + "]")
 _PRIME = 0x9E3779B97F4A7C15
 _SKETCH = "size int, minhash long, window string"
 
@@ -46,8 +46,11 @@ def words(text: str | None) -> list[str]:
     if "<" in text:
         text = _TAG.sub(" ", text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_INVISIBLE))
-        text = "".join(c for c in text if not unicodedata.category(c).startswith("M")) if not text.isascii() else text
+        text = unicodedata.normalize("NFKD", _INVISIBLE.sub("", text))
+        if not text.isascii():
+            marks = [c for c in set(text) if unicodedata.category(c)[0] == "M"]
+            for c in marks:
+                text = text.replace(c, "")
     return _WORD.findall(text.lower())
 
 

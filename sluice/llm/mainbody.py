@@ -35,7 +35,7 @@ SAMPLE_PAGES = 3000
 TOKENS, PAIRS = 20_000, 1 << 17
 
 _TOKEN = re.compile(r"\w+|[^\w\s]|\n")
-_ZERO = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])
+_ZERO = re.compile("[" + "".join(map(chr, [0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])) + "]")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _SENTENCE_ENDS = frozenset(".!?…”\"»“)")
 _BULLETS = frozenset("•-–*")
@@ -99,7 +99,7 @@ def segment(address: str) -> str:
 
 
 def _clean(text: str) -> str:
-    return text if text.isascii() else unicodedata.normalize("NFKC", text.translate(_ZERO))
+    return text if text.isascii() else unicodedata.normalize("NFKC", _ZERO.sub("", text))
 
 
 def read_lines(pages: list[Page], known: dict[str, int]) -> Lines:

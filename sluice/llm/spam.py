@@ -48,7 +48,8 @@ FUNCTION_WORDS = frozenset(
     """.split()
 )
 
-_INVISIBLE = dict.fromkeys([0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF])
+# Characters without width, and the soft hyphen.
+_INVISIBLE = re.compile("[" + "".join(map(chr, [0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF])) + "]")
 _LINK = re.compile(
     r"""<a\b[^<>]*href[^<>]*>[^<>]*(?:</a\s*>)?|!?\[[^\[\]]*\]\([^()\s]*\)|(?:https?://|ftp://|www\.)[^\s<>"')\]]+|\b[a-z0-9][a-z0-9\-]*(?:\.[a-z0-9\-]+)*\.[a-z]{2,}(?:/[^\s<>"')\]]*)?(?![\w@.])""",
     re.IGNORECASE,
@@ -58,10 +59,11 @@ _LINKISH = re.compile(r"\.[a-z]{2}|://|href|\]\(", re.IGNORECASE)
 _ONES = b"\x01" * 64
 _TAG = re.compile(r"<[^<>]*>")
 # What people add to a search, in several words; one word here, since it is no clause.
-_NEAR = re.compile(r"(?i)\ben ligne\b|\ben línea\b|\bin der nähe\b|\bnear me\b|\bprès de chez moi\b|\bcerca de mí\b")
+ADDED = ["en ligne", "en línea", "in der nähe", "near me", "près de chez moi", "cerca de mí"]
+_NEAR = re.compile("|".join(rf"\b{x}\b" for x in ADDED))
 _DIGIT = re.compile(r"\d")
 _HASHTAG = re.compile(r"#\w+")
-_WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+_WORD = re.compile(r"\w+(?:['’]\w+)*")
 _UNIT = re.compile(r"[^\n]*?(?:[.!?…]+[\"'”»)]*(?=\s)|\n|$)")
 
 
@@ -158,7 +160,7 @@ def judge(text: str | None) -> Verdict:
         return Verdict(0, 0, 0, 0)
     text = html.unescape(text) if "&" in text else text
     if not text.isascii():
-        text = text.translate(_INVISIBLE)
+        text = _INVISIBLE.sub("", text)
     # Links and hashtags become single marks, so that their words don't take part in the repeats.
     marks: list[int] = []
 
@@ -172,14 +174,14 @@ def judge(text: str | None) -> Verdict:
         text = _HASHTAG.sub(mark, text)
     if "<" in text:
         text = _TAG.sub(" ", text)
+    text = text.lower()
     units = [u for u in _UNIT.findall(text) if u and not u.isspace()]
-    near = _NEAR.search(text) is not None
+    near = any(x in text for x in ADDED)
     names: list[str] = []
     unit_of: list[tuple[int, int]] = []
     for unit in units:
         start = len(names)
-        low = unit.lower()
-        names += _WORD.findall(_NEAR.sub("nearby", low) if near else low)
+        names += _WORD.findall(_NEAR.sub("added", unit) if near else unit)
         unit_of.append((start, len(names)))
         names.append("")  # repeats end with a unit
     # Digits within words are all one, as in article numbers.
