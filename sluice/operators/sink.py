@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import dates, text, urls
+from sluice.schemas import SINK
 
 ATTRIBUTES = [
     "title", "slug", "description", "content", "published_date", "modified_date", "author", "categories", "tags", "feature_image", "images", "sources",
@@ -47,6 +49,16 @@ def not_yet_stored(rows: DataFrame, stored: DataFrame, key: list[str]) -> DataFr
     return rows.dropDuplicates(key).join(stored.select(*key), key, "left_anti")
 
 
+def ensure(spark: SparkSession, path: str) -> bool:
+    """Makes an empty table where there is none; True if it did.  An existing table's schema is left alone."""
+    try:
+        spark.read.parquet(path).schema
+    except AnalysisException:
+        spark.createDataFrame([], SINK).withColumn("day", F.to_date("created_at")).write.mode("ignore").parquet(path)
+        return True
+    return False
+
+
 def append(rows: DataFrame, path: str) -> None:
     """Appends to the table, a folder per day of creation."""
     rows.withColumn("day", F.to_date("created_at")).write.mode("append").partitionBy("day").parquet(path)

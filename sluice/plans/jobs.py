@@ -90,3 +90,17 @@ def checkpoint(counts: DataFrame, crawl_id: str, pipeline: str, mode: str, start
         F.col("fetched").alias("processed_items"), F.col("inserted").alias("successful_items"), F.col("failed").alias("failed_items"), F.lit("completed").alias("status"),
     )
     return _typed(row, schemas.CHECKPOINTS)
+
+
+def update_checkpoints(known: DataFrame, updates: DataFrame) -> DataFrame:
+    """The checkpoints after updates (crawl_id, source, at, status, processed_items, successful_items, failed_items, last_item_id).
+
+    Null and empty values change nothing; a terminal status stamps the end, once.
+    """
+    blank = {c: F.nullif(F.col(c), F.lit("")) for c in ("status", "last_item_id")}
+    numbers = ["processed_items", "successful_items", "failed_items"]
+    ended = F.when(F.col("status").isin(schemas.TERMINAL), F.col("at"))
+    renamed = updates.withColumns(blank).withColumn("ended", ended).select("crawl_id", "source", "at", "ended", *[F.col(c).alias(f"u_{c}") for c in ("status", "last_item_id", *numbers)])
+    first_end = known.withColumn("__end", F.col("end_time"))
+    after = state.apply_events(first_end, renamed, ["crawl_id", "source"], ["at"], {}, {"status": "u_status", "last_item_id": "u_last_item_id", "end_time": "ended"} | {c: f"u_{c}" for c in numbers})
+    return after.withColumn("end_time", F.coalesce("__end", "end_time")).drop("__end")

@@ -121,3 +121,20 @@ def test_stream(spark, tmp_path):
     out = spark.read.parquet(f"file://{tmp_path}/out")
     assert sorted((r["id"], r["w"]) for r in out.collect()) == [("a", 2), ("b", 6), ("c", 10)]
     assert sorted(r[0] for r in store.read().collect()) == ["a", "b", "c"] and store.note() == "1"
+
+
+def test_checkpoints(spark, now):
+    counts = spark.createDataFrame([("s", 3, 2, 1)], "source string, fetched int, inserted int, failed int")
+    running = jobs.checkpoint(counts, "c", "wp", "full", now, F.lit(None).cast("timestamp")).withColumn("status", F.lit("running"))
+    updates = spark.createDataFrame(
+        [("c", "s", "2024-05-05 11:00:00", "", 9, None, None, "x"), ("c", "s", "2024-05-05 12:00:00", "completed", None, 8, 0, ""), ("z", "s", "2024-05-05 12:00:00", "failed", 1, 1, 1, "y")],
+        "crawl_id string, source string, at string, status string, processed_items int, successful_items int, failed_items int, last_item_id string",
+    ).withColumn("at", F.col("at").cast("timestamp"))
+    row = jobs.update_checkpoints(running, updates).first()
+    assert (row["status"], row["processed_items"], row["successful_items"], row["failed_items"], row["last_item_id"], str(row["end_time"])) == ("completed", 9, 8, 0, "x", "2024-05-05 12:00:00")
+
+
+def test_ensure(spark, tmp_path):
+    from sluice.operators import sink
+
+    assert sink.ensure(spark, f"{tmp_path}/t") and not sink.ensure(spark, f"{tmp_path}/t") and spark.read.parquet(f"{tmp_path}/t").count() == 0

@@ -96,22 +96,47 @@ def test_checked(spark, rows):
     assert rows(good) == [("a", "pending"), ("c", None)] and bad.count() == 2
 
 
-def test_enrich(spark):
-    searches = spark.createDataFrame([("new york", 1, 10, "NY", "u10"), ("new york", 2, 11, "NYC", "u11"), ("x", 1, 12, "X", "u12")], "query string, rank int, page_id long, page_title string, page_url string")
-    images = spark.createDataFrame([(10, 1, "File:Site-logo.svg"), (10, 2, "File:a.jpg"), (11, 1, "File:a.jpg"), (11, 2, "File:b.jpg"), (11, 3, "File:small.jpg")], "page_id long, rank int, file string")
+@pytest.fixture
+def lookups(spark):
+    searches = spark.createDataFrame([("new york", 1, 10), ("new york", 2, 11), ("new york", 3, 13), ("New York", 1, 11), ("x", 1, 12), ("early river crossing oxbridge", 1, 11)], "query string, rank int, page_id long")
+    pages = spark.createDataFrame([(10, "NY", "u10", None, "o10"), (11, "NYC", "u11", None, None), (13, "Z", "u13", "t", "o")], "page_id long, page_title string, page_url string, thumb_url string, original_url string")
+    page_files = spark.createDataFrame([(10, 1, "File:Site-logo.svg"), (10, 2, "File:small.jpg"), (11, 1, "File:a.jpg"), (11, 2, "File:b.jpg"), (11, 3, "File:small.jpg"), (11, 4, "x.jpg")], "page_id long, rank int, file string")
     files = spark.createDataFrame(
-        [("File:a.jpg", "ia", "fa", 800, 10, "cc-by", None, "<i>d</i>"), ("File:b.jpg", "ib", "fb", 600, 600, None, "T", None), ("File:small.jpg", "is", "fs", 599, 1, None, None, None), ("File:Site-logo.svg", "il", "fl", 900, 900, None, None, None)],
-        "file string, image_url string, full_url string, width int, height int, license string, title string, description string",
+        [("File:a.jpg", "ia", "fa", 800, 10, "cc-by-4.0", None, "<i>d</i>"), ("File:b.jpg", "ib", "fb", 600, 600, None, "B", None), ("File:small.jpg", "is", "fs", 599, None, None, None, None), ("File:Site-logo.svg", "il", "fl", 90, 90, None, None, None)],
+        "file string, image_url string, full_url string, width int, height int, license string, author string, description string",
     )
-    records = spark.createDataFrame([("r1", "new york", "new-york"), ("r2", "unknown", "x"), ("r3", None, None)], "id string, title string, slug string")
+    return searches, pages, page_files, files
+
+
+def test_large_images(spark, lookups):
+    searches, _, page_files, files = lookups
+    records = spark.createDataFrame([("r1", "new york", "new-york"), ("r2", "unknown", "x"), ("r3", None, None), ("r1", "new york", "new-york")], "id string, title string, slug string").withColumn("images", F.lit("clash"))
     queries = enrich.title_queries(records, "id", "title", "slug")
-    found = enrich.images_for(enrich.pages_for(queries, searches, 2), images, files, 7)
+    assert {tuple(r) for r in queries.collect()} == {("r1", 0, "new york"), ("r1", 1, "New York"), ("r2", 0, "unknown"), ("r2", 1, "X")}
+    found = enrich.large_images(queries, searches, page_files, files)
     got = {r["id"]: [i["image_url"] for i in r["external_images"]] for r in enrich.with_images(records, "id", found).collect()}
     assert got == {"r1": ["ia", "ib"], "r2": [], "r3": []}
-    first = found.first()["images"][0]
-    assert (first["title"], first["description"], first["license"], first["article_url"]) == ("a.jpg", "d", "CC BY", "u10")
-    tagged = spark.createDataFrame([("k", "The early river crossing in Oxbridge", ["News today"])], "id string, title string, c array<string>")
-    assert [r["query"] for r in enrich.keyword_queries(tagged, "id", "title", "c").orderBy("step").collect()] == ["early river crossing oxbridge", "early river"]
+    assert [i["author"] for i in found.first()["images"]] == ["Unknown", "B"]
+    skipped = enrich.with_images(records, "id", found, F.col("id") == "r1").where("id = 'r1'").first()
+    assert skipped["external_images"] == []
+    assert enrich.large_images(queries.limit(0), searches, page_files, files).count() == 0
+
+
+def test_page_images(spark, lookups):
+    searches, pages, page_files, files = lookups
+    articles = spark.createDataFrame([("k", "The early river crossing in Oxbridge", ["News today"]), ("l", "", None)], "id string, title string, c array<string>")
+    queries = enrich.keyword_queries(articles, "id", "title", "c")
+    assert [r["query"] for r in queries.orderBy("step").collect()] == ["early river crossing oxbridge", "early river"]
+    images = enrich.page_images(queries, searches, pages, page_files, files).first()["images"]
+    assert [(i["image_url"], i["title"], i["description"], i["license"]) for i in images] == [("ia", "a.jpg", "d", "CC BY 4.0"), ("ib", "b.jpg", "Image from Wikipedia", "Unknown")]
+    two = spark.createDataFrame([("k", 0, "new york")], "key string, step int, query string")
+    images = enrich.page_images(two, searches, pages, page_files, files, n=3).first()["images"]
+    assert [(i["image_url"], i["article_url"]) for i in images] == [("o10", "u10"), ("is", "u10"), ("ia", "u11")]
+
+
+def test_entity_queries(spark):
+    df = spark.createDataFrame([("1", "Oxford", "City"), ("2", "Ann", "odd"), ("3", None, "city")], "id string, title string, kind string")
+    assert {tuple(r) for r in enrich.entity_queries(df, "id", "title", "kind").collect()} == {("1", 0, "Oxford"), ("1", 1, "Oxford city"), ("2", 0, "Ann")}
 
 
 def test_sink(spark, tmp_path):
