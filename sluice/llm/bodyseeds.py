@@ -50,7 +50,7 @@ nada en esta página es una oferta.*|todos los derechos reservados.*|algunos enl
 _OTHER = """
 (sign up for our letter|never miss a story|get five stories).*|jeden freitag fünf geschichten.*|kein beitrag mehr verpassen.*|ne manquez rien.*|recevez cinq récits.*|reciba cinco historias.*|no se pierda nada.*
 (photo|foto|bild|image|picture|crédit photo|fotografía) ?: .*
-(advertisement|sponsored content|anzeige|werbung|bezahlter inhalt|publicité|publicidad|contenu parrainé|contenido patrocinado|gesponserter inhalt|la suite après cette annonce|el artículo sigue tras el anuncio|story continues below .*|der text geht nach .* weiter|article continues .*)( ?[–—-] .*)?
+(advertisement|sponsored content|anzeige|werbung|bezahlter inhalt|publicité|publicidad|contenu parrainé|contenido patrocinado|gesponserter inhalt|la suite après cette annonce|el artículo sigue tras el anuncio|story continues below .*|der (text|artikel|beitrag) geht nach .* weiter|article continues .*)( ?[–—-] .*)?
 (see also|read also|more on this|also on this site|related|lesen sie auch|siehe auch|mehr dazu|mehr zum thema|lire aussi|à lire aussi|voir aussi|à ce sujet|sur le même sujet|lea también|vea también|más sobre esto|sobre este tema) ?: .*
 © .*
 [a-z]{3,5} [\\d.,]+ [+-−]?[\\d.,]+ ?%
@@ -65,7 +65,9 @@ def _any(phrases: str, whole: bool = True) -> re.Pattern:
 
 
 MENU, SHARE, BOX, RELATED, MORE, END, OTHER = map(_any, (_MENU, _SHARE, _BOXES, _RELATED, _MORE, _END, _OTHER))
-_BYLINE = re.compile(r"(written by|posted by|words by|text von|von|par|texte de|texto de|por|by) [^ ]+( [^ ]+){0,4}( ?\| ?[\d./ -]+)?")
+_BYLINE = re.compile(
+    r"(?i:written by|posted by|words by|text von|von|par|texte de|texto de|por(?! qué)|by) [A-ZÀ-Þ][^ ]*(?: [A-ZÀ-Þ][^ ]*){0,4}( ?\| ?[\d./ -]+)?"
+)
 _EDGE = re.compile(r"^[\s•\-–»›>→★!*·…]+|[\s»›→★!*·…]+$|\s*\(\d+\)$|\s+\.\.\.$|(?<=\w)\s?!$")
 _PROSE = re.compile(r"[.!?…][\"'”»“)]*(\s*[–-] .*)?$")
 _SEPARATED = re.compile(r" [|/·>›»] ")
@@ -138,7 +140,7 @@ def _kind(text: str, low: str, site: str) -> str:
         return "more"
     if END.fullmatch(low):
         return "end"
-    if SHARE.fullmatch(low) or _BYLINE.fullmatch(low):
+    if SHARE.fullmatch(low) or _BYLINE.fullmatch(text):
         return "share"
     if MENU.fullmatch(low) or OTHER.fullmatch(low) or _ADDRESS.match(text):
         return "furniture"
