@@ -14,7 +14,8 @@ from pyspark.sql.types import StringType
 
 # Code points of the characters that count as white space.
 WHITE_POINTS = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-WHITE = "".join(f"\\x{{{point:x}}}" for point in WHITE_POINTS)
+# The same as a character class of Java: classes are several times faster than a list of points.
+WHITE = r"\s\x1c-\x1f\x85\p{Z}"
 # Code points of the characters without width that are deleted.
 ZERO_WIDTH = "".join(f"\\x{{{point:x}}}" for point in (0x200B, 0x200C, 0x200D, 0xFEFF))
 _RUN = f"[{WHITE}]+"
@@ -42,7 +43,7 @@ def strip_tags(x: Column) -> Column:
 
 def collapse_white(x: Column) -> Column:
     """Runs of white space become one space, none at the ends.  Null: ''."""
-    return strip_white(F.regexp_replace(_text(x), _RUN, " "))
+    return F.trim(F.regexp_replace(_text(x), _RUN, " "))
 
 
 def clean(x: Column) -> Column:
@@ -62,7 +63,7 @@ def normalise(x: Column, entities: bool = True) -> Column:
     decoded = unescape(_text(x)) if entities else _text(x)
     spaced = F.regexp_replace(decoded, _RUN, " ")
     bare = F.regexp_replace(spaced, f"[{ZERO_WIDTH}]", "")
-    return strip_white(F.regexp_replace(F.regexp_replace(bare, r"[.]{3,}", "..."), r"[-]{3,}", "---"))
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"[.]{3,}", "..."), r"[-]{3,}", "---"))
 
 
 def clean_title(x: Column, entities: bool = True) -> Column:

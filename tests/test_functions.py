@@ -175,3 +175,8 @@ def test_articles_report_errors(spark):
 
 def test_links_of():
     assert markup.links_of('<a href="x">t</a><a href=" ">no</a><a>no</a><a href="y"></a>') == [("t", "x"), ("y", "y")]
+
+
+def test_white_space_class(spark):
+    chars = spark.createDataFrame([(p, chr(p)) for p in range(1, 0x10000) if not 0xD800 <= p <= 0xDFFF], "id int, c string")
+    assert sorted(r["id"] for r in chars.where(F.col("c").rlike(f"^[{text.WHITE}]$")).collect()) == sorted(text.WHITE_POINTS)
