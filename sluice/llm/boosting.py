@@ -27,7 +27,7 @@ def _binned(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 100, depth: int = 6, rate: float = 0.2, seed: int = 0, rows: float = 0.6, columns: float = 0.5, least: float = 4.0) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, trees: int = 100, depth: int = 6, rate: float = 0.2, seed: int = 0, rows: float = 0.35, columns: float = 0.35, least: float = 4.0) -> Trees:
     """Trees of a fixed depth by Newton steps on the logistic loss; each sees a share of rows and columns."""
     rng = np.random.default_rng(seed)
     n, width = x.shape
