@@ -90,7 +90,36 @@ once AS (SELECT d, url, max(sitemap) AS sitemap FROM seen GROUP BY d, url),
 days AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS n FROM (SELECT DISTINCT snapshot_date AS d FROM aidna_wp_scraped_urls)),
 state AS (SELECT n, days.d, url, sitemap FROM once JOIN days USING (d))"""
 
+
+
+def _unwrapped(x: str) -> str:
+    """JSON text within a JSON string, twice over, as what it stands for."""
+
+    def once(x: str) -> str:
+        inner = f"CAST({x} ->> '$' AS JSON)"
+        return f"CASE WHEN json_type({x}) = 'VARCHAR' AND json_valid({x} ->> '$') AND json_type({inner}) IN ('OBJECT', 'ARRAY', 'VARCHAR') THEN {inner} ELSE {x} END"
+
+    return once(f"({once(x)})")
+
+
+_NODES = f"""WITH RECURSIVE fields AS (SELECT DISTINCT source, content_type, id, 'attributes' AS field, attributes AS t FROM unified_cms_content_combined
+ UNION SELECT DISTINCT source, content_type, id, 'external_images', external_images FROM unified_cms_content_combined),
+top AS (SELECT source, content_type, id, field, CAST(t AS JSON) AS v FROM fields WHERE json_valid(t)),
+nodes AS (
+ SELECT source, content_type, id, field, '' AS path, '' AS named, '' AS parent, FALSE AS element, {_unwrapped("v")} AS v FROM top
+ UNION ALL
+ SELECT n.source, n.content_type, n.id, n.field, ltrim(n.path || '/' || e.key, '/'), ltrim(n.named || '/' || CASE WHEN json_type(n.v) = 'ARRAY' THEN '*' ELSE e.key END, '/'),
+  CASE WHEN n.element AND json_type(n.v) = 'OBJECT' THEN n.path ELSE n.parent END, json_type(n.v) = 'ARRAY', {_unwrapped("e.value")}
+ FROM nodes n, LATERAL (SELECT
+   unnest(CASE json_type(n.v) WHEN 'OBJECT' THEN json_keys(n.v) ELSE list_transform(range(0, CAST(json_array_length(n.v) AS BIGINT)), lambda i: CAST(i AS VARCHAR)) END) AS key,
+   unnest(CASE json_type(n.v) WHEN 'OBJECT' THEN list_transform(json_keys(n.v), lambda k: json_extract(n.v, '$."' || k || '"')) ELSE json_extract(n.v, '$[*]') END) AS value) e
+ WHERE json_type(n.v) IN ('OBJECT', 'ARRAY')),
+found AS (SELECT DISTINCT source, content_type, id, field, path, named, parent FROM nodes WHERE element AND json_type(v) = 'OBJECT')
+"""
+
 SQL = {
+    "p2_found": _NODES + "SELECT DISTINCT source, content_type, id, field, path, parent AS parent_path FROM found",
+    "p2_tables": _NODES + "SELECT field, named AS schema_path, count(*) AS n_rows, CAST(count(*) FILTER (parent <> '') AS BIGINT) AS n_nested FROM found GROUP BY field, named",
     "p4_found": f"""{_STATES},
 pairs AS (SELECT coalesce(b.url, a.url) AS url, coalesce(b.n, a.n + 1) AS n, a.url IS NOT NULL AS was, b.url IS NOT NULL AS now_is, a.sitemap IS DISTINCT FROM b.sitemap AS other
  FROM state a FULL JOIN state b ON a.url = b.url AND b.n = a.n + 1)

@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_MADE: list[str] = []
+
 
 def build_session(master: str | None = None, app: str = "sluice", **conf: str) -> SparkSession:
     """A session with the library's defaults; keyword names use `_` for `.`."""
@@ -52,10 +54,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     recomputation of everything before.  Each call gets its own sub-folder.
     """
     path = os.path.join(shared_dir(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
+    _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Deletes the tables this process materialised, returns how many there were.  Results that still read them must be stored before."""
+    count = len(_MADE)
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")

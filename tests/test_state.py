@@ -1,7 +1,9 @@
 """State, statistics, enrichment, sink: against plain Python, with nulls, repeats, ties and empty tables."""
 
 import datetime
+import os
 import random
+from urllib.parse import urlparse
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice import schemas
 from sluice.operators import enrich, sink, state, stats
-from sluice.session import materialise, shared_dir
+from sluice.session import materialise, release, shared_dir
 
 KEYS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 9)), max_size=12)
 
@@ -166,6 +168,8 @@ def test_shared_folder(spark, tmp_path):
     assert shared_dir(spark).startswith("file://")
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert materialise(df, "x").schema == df.schema and materialise(df.limit(0), "x").count() == 0
+    made = materialise(df, "y").inputFiles()[0]
+    assert os.path.exists(urlparse(made).path) and release(spark) >= 3 and not os.path.exists(urlparse(made).path)
 
 
 def test_unknown_name(spark):
