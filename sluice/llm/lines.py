@@ -165,10 +165,10 @@ def page_lines(records: DataFrame, source: str, id_: str, attributes: str) -> Da
 
 
 def without_repeated(records: DataFrame, repeated: Repeated, source: str = "source", id_: str = "id", attributes: str = "attributes") -> DataFrame:
-    """(id, content, n_removed), one row per distinct (id, content): each content without its source's excessive lines."""
+    """(id, content, n_removed), one row per distinct (id, content): each content without its source's excessive lines.  No content: null and 0."""
     gone = repeated.found.groupBy("source", "id").agg(F.collect_set("line_no").alias("gone"))
     joined = page_texts(records, source, id_, attributes).distinct().join(gone, ["source", "id"], "left")
     lines = F.split("content", "\n")
     none = F.array().cast("array<int>")
     kept = F.filter(lines, lambda line, i: ~F.array_contains(F.coalesce("gone", none), i + 1))
-    return joined.select("id", F.array_join(kept, "\n").alias("content"), (F.size(lines) - F.size(kept)).alias("n_removed")).distinct()
+    return joined.select("id", F.array_join(kept, "\n").alias("content"), F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).alias("n_removed")).distinct()

@@ -115,6 +115,11 @@ iw AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2
 """
 
 SQL: dict[str, str] = {
+    "p1_clean": _LINES
+    + """, gone AS (SELECT source, id, list(DISTINCT line_no) AS gone FROM keyed JOIN many USING (source, key) GROUP BY source, id),
+parts AS (SELECT DISTINCT id, string_split(content, chr(10)) AS l, gone FROM pages LEFT JOIN gone USING (source, id)),
+kept AS (SELECT id, l, list_filter(l, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS k FROM parts)
+SELECT DISTINCT id, array_to_string(k, chr(10)) AS content, CAST(coalesce(len(l) - len(k), 0) AS INTEGER) AS n_removed FROM kept""",
     "p6_found": _LEAKS + "SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (n, v)",
     "p6_items": _LEAKS
     + "SELECT item_id, count(*) AS n_documents, max(c) AS most_windows FROM (SELECT doc_id, item_id, count(DISTINCT v) AS c FROM dw JOIN iw USING (n, v) GROUP BY doc_id, item_id) GROUP BY item_id",
