@@ -84,10 +84,11 @@ def _known(zone: str) -> bool:
     return True
 
 
-def zones_named(values: DataFrame, text: str) -> list[str]:
-    """The zones of the time zone database that occur in the texts; at most as many as the database has."""
-    named = values.select(F.regexp_extract(text, r"([A-Z][A-Za-z_+\-]+(?:/[A-Za-z0-9_+\-]+)+)", 1).alias("zone"))
-    return [r[0] for r in named.where(F.col("zone").isin(sorted(available_timezones()))).distinct().collect()]
+def zones_of(values: DataFrame, text: str, zone: str) -> list[str]:
+    """The zones that rows have or their texts name, as far as the time zone database knows them: no more than it has, a few hundred."""
+    named = F.regexp_extract(text, r"([A-Z][A-Za-z_+\-]+(?:/[A-Za-z0-9_+\-]+)+)", 1)
+    found = values.select(F.explode(F.array(F.col(zone), named)).alias("zone"))
+    return [r[0] for r in found.where(F.col("zone").isin(sorted(available_timezones()))).distinct().collect()]
 
 
 def with_reading(values: DataFrame, text: str, day_first: str) -> DataFrame:
@@ -106,16 +107,16 @@ def with_reading(values: DataFrame, text: str, day_first: str) -> DataFrame:
     return values.mapInArrow(read, schema)
 
 
-def to_utc(values: DataFrame, text: str, zone: str, day_first: str, zones: list[str]) -> DataFrame:
+def to_utc(values: DataFrame, text: str, zone: str, day_first: str) -> DataFrame:
     """Adds utc_micros and clock (`offset`, `once`, `twice` or `skipped`); rows that name no instant are left out.
 
     An offset in the text holds, then a zone in the text, then the row's `zone` (UTC if null or
     unknown).  A time that occurs twice is the earlier; a skipped one is read with the offset before
-    the change.  `zones`: the zones rows may have; those the texts name are added.
+    the change.  A null order of day and month puts the day first.
     """
     spark = values.sparkSession
     read = with_reading(values, text, day_first)
-    known = sorted({z for z in [*zones, *zones_named(values, text)] if z and _known(z)} | {"UTC"})
+    known = sorted({z for z in zones_of(values, text, zone) if _known(z)} | {"UTC"})
     table = F.broadcast(zone_table(spark, known))  # bounded by the time zone database, not the data
     seconds = F.floor(F.col("__micros") / MICROS)
     year = F.year(F.timestamp_seconds(seconds))

@@ -49,10 +49,9 @@ def dated_texts(spark: SparkSession, folder: str) -> DataFrame:
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """One UTC instant for each published_at, updated_at and last_modified that names one."""
     settings = table(spark, folder, "site_settings").select("source", "time_zone", (F.col("date_order") != "mdy").alias("day_first"))
-    zones = [r[0] for r in settings.select("time_zone").distinct().collect()]  # a row per site; zones are a few hundred at most
     # A site's settings are one row per site: small, but their size isn't fixed, so Spark decides on a broadcast.
     values = dated_texts(spark, folder).join(settings, "source", "left")
-    found = instants.to_utc(values, "text", "time_zone", "day_first", zones)
+    found = instants.to_utc(values, "text", "time_zone", "day_first")
     return found.select("field", "record_key", "snapshot_date", "utc_micros").distinct()
 
 
