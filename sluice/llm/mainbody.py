@@ -31,6 +31,8 @@ from sluice.operators.nested import read_json
 
 #: Pages on which the tokens' weights and the trees are trained: a bounded sample, taken by a hash of the id.
 SAMPLE_PAGES = 3000
+#: Longer records are extracted like all others, but not trained on: the sample has at most 150 million characters.
+SAMPLE_CHARS = 50_000
 #: Tokens with weights of their own; pairs of tokens share so many weights.
 TOKENS, PAIRS = 20_000, 1 << 17
 
@@ -403,8 +405,8 @@ def body_lines(model: Model, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]
 
 def sample_pages(records: DataFrame, n: int, id_: str, source: str, attributes: str) -> list[Page]:
     """Up to n pages with content, the same for the same records: those with the least hashes of their ids."""
-    picked = records.where(F.col(attributes).isNotNull()).select(F.col(id_).alias("__id")).where("__id IS NOT NULL").distinct().orderBy(F.xxhash64("__id"), "__id").limit(n)
-    rows = records.join(F.broadcast(picked), F.col(id_) == F.col("__id")).groupBy("__id").agg(F.min(F.struct(attributes, source)).alias("r"))
+    picked = records.where(F.length(attributes) <= SAMPLE_CHARS).select(F.col(id_).alias("__id")).where("__id IS NOT NULL").distinct().orderBy(F.xxhash64("__id"), "__id").limit(n)
+    rows = records.join(F.broadcast(picked), F.col(id_) == F.col("__id")).where(F.length(attributes) <= SAMPLE_CHARS).groupBy("__id").agg(F.min(F.struct(attributes, source)).alias("r"))
     found = [page_of(r[0][0], r[0][1]) for r in rows.orderBy("__id").select("r").collect()]
     return [p for p in found if p is not None]
 
