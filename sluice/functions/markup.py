@@ -12,8 +12,11 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sluice.functions.text import WHITE_POINTS
 
@@ -309,6 +312,12 @@ def short_text(text: str | None, limit: int = MOST_DESCRIPTION) -> str:
     return bare if len(bare) <= limit else bare[:limit].rsplit(" ", 1)[0] + "..."
 
 
+@F.pandas_udf(StringType())
+def short(texts: pd.Series) -> pd.Series:
+    """`short_text` of a column, in Arrow batches; null gives ''."""
+    return texts.map(lambda t: short_text(t or ""))
+
+
 def read_page(url: str, page: str) -> dict:
     """All that is taken from a page."""
     root = parse(page)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice import schemas
 from sluice.functions import jsonattrs, markup, text
-from sluice.operators import sink, state
+from sluice.operators import enrich, sink, state
 from sluice.session import materialise
 from sluice.sources import pages, sitemap
 from sluice.sources.transport import Fetch, Retry
@@ -62,14 +62,12 @@ def wp_run(found: DataFrame, tracked: DataFrame, stored: DataFrame, fetch: Fetch
         todo = state.absent(content.select("url", "source").dropDuplicates(["url"]), known.where("scrape_status = 'success'"), ["url"])
     else:
         todo = known.where("scrape_status = 'pending'").select("url", "source")
-    raw = pages.fetch_pages(todo.repartition("url"), fetch, retry)
+    raw = materialise(pages.fetch_pages(todo.repartition("url"), fetch, retry), "wp-raw")  # each page is fetched once
     read = materialise(markup.articles(raw.where("problem IS NULL")).join(todo, "url"), "wp-pages")
     lost = raw.where("problem IS NOT NULL").select("url", F.col("problem").alias("error"))
     flat = read.where("ok").select("url", "source", "article.*")
-    flat = flat.withColumn("title", text.clean_title(F.col("title"))).withColumn("description", text.truncate_words(text.normalise(F.col("description")), 500))
+    flat = flat.withColumn("title", text.clean_title(F.col("title"))).withColumn("description", markup.short(F.col("description")))
     if images is not None:
-        from sluice.operators import enrich
-
         flat = enrich.with_images(flat, "url", images)
     rows = sink.not_yet_stored(sink.page_rows(flat, now), stored, ["id"])
     good = read.where("ok").select("url", F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"), F.col("article.content_hash").alias("hash"))

@@ -29,6 +29,8 @@ def one(spark, function, *values):
         (text.normalise, "a .... b ----- c", "a ... b --- c"),
         (text.normalise, "a " + chr(0x200B) + " b", "a  b"),
         (text.normalise, "&amp;lt;", "&lt;"),
+        (markup.short, "<p>A &amp;amp; <b>B</b></p> " + "word " * 200, ("A & B " + "word " * 200)[:500].rsplit(" ", 1)[0] + "..."),
+        (markup.short, None, ""),
         (text.clean_title, "Big News - Site", "Big News"),
         (text.clean_title, "Self-Made", "Self"),
         (text.clean_title, "A | B | C", "A | B"),
