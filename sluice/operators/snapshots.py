@@ -43,7 +43,6 @@ def validity_intervals(rows: DataFrame, key: Column, state: Column, snapshot: st
     a key's ends.
     """
     numbers = snapshot_numbers(rows, snapshot)
-    newest = numbers.agg(F.max("n").alias("newest"))
     slim = rows.select(key.alias("key"), state.alias("state"), F.col(snapshot).alias("snapshot"))
     slim = slim.where("key IS NOT NULL AND snapshot IS NOT NULL")
     once = slim.groupBy("key", "snapshot").agg(F.max("state").alias("state"))
@@ -56,7 +55,7 @@ def validity_intervals(rows: DataFrame, key: Column, state: Column, snapshot: st
     spans = islands.groupBy("key", "island").agg(F.min("n").alias("first_n"), F.max("n").alias("last_n"), F.first("state", ignorenulls=False).alias("state"))
     order = Window.partitionBy("key").orderBy("first_n")
     spans = spans.withColumn("previous_last", F.lag("last_n").over(order)).withColumn("next_first", F.lead("first_n").over(order))
-    return spans.crossJoin(F.broadcast(newest)).drop("island")  # one row: the number of the last snapshot
+    return spans.withColumn("newest", numbers.agg(F.max("n")).scalar()).drop("island")
 
 
 def changes(rows: DataFrame, key: Column, state: Column, snapshot: str) -> DataFrame:
