@@ -55,11 +55,12 @@ def plan_mix(counts: DataFrame, targets: DataFrame) -> DataFrame:
     sources without targets are not in the mix.
     """
     by_source = counts.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    total = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"))
+    total = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0))).scalar()
     slim = targets.select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"))
     known = slim.join(by_source, "source", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0).cast("long")))
+    known = known.withColumn("total", total)
     wanted = F.when(F.col("tokens") > 0, F.col("target_share") * F.col("total") / F.col("tokens")).otherwise(0.0)
-    return known.crossJoin(F.broadcast(total)).withColumn("copies", F.greatest(F.lit(0.0), F.least(F.col("max_repeats").cast("double"), wanted)))
+    return known.withColumn("copies", F.greatest(F.lit(0.0), F.least(F.col("max_repeats").cast("double"), wanted)))
 
 
 def offset(source: Column, seed: int) -> Column:
@@ -88,8 +89,8 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, tokenizer: str
     plan = materialise(plan_mix(counts, targets), "mix-plan")
     mixed = materialise(sample(counts, plan, seed), "mix")
     got = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"))
-    size = mixed.agg(F.sum(F.col("tokens") * F.col("copies")).alias("size"))
-    report = plan.join(got, "source", "left").crossJoin(F.broadcast(size)).withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0).cast("long")))
+    size = mixed.agg(F.sum(F.col("tokens") * F.col("copies"))).scalar()
+    report = plan.join(got, "source", "left").withColumn("size", size).withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0).cast("long")))
     target = F.col("target_share") * F.col("total")
     # At the cap every document stands max_repeats times in the mix, so what was mixed is the most there can be.
     at_cap = (F.col("tokens") == 0) | (F.col("copies") >= F.col("max_repeats"))
