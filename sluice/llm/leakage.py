@@ -28,6 +28,8 @@ from sluice.session import materialise
 WINDOW = 10
 #: The filter of item sketches that goes to every worker has at least and at most so many bits (2 MB at 2**24).
 LEAST_BITS, MOST_BITS = 20, 27
+#: Item sketches are broadcast for the join up to so many rows, some 15 MB.
+BROADCAST_ROWS = 100_000
 
 _TAG = re.compile(r"<[^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
@@ -119,13 +121,12 @@ def _rows(ids: pa.Array, rows: list[tuple[int, int, int, str]], name: str) -> pa
     return pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int32())), pa.array(size, pa.int32()), pa.array(least, pa.int64()), pa.array(window, pa.string())], [name, "size", "minhash", "window"])
 
 
-def sketch_filter(sketches: DataFrame) -> tuple[np.ndarray, int, list[int]]:
-    """(bytes, bits, sizes): a bit map of the MinHash values modulo 2**bits, and the window sizes in use.
+def sketch_filter(sketches: DataFrame, n: int) -> tuple[np.ndarray, int, list[int]]:
+    """(bytes, bits, sizes): a bit map of the n MinHash values modulo 2**bits, and the window sizes in use.
 
     The map's size is bounded by MOST_BITS (16 MB) whatever the number of items; the fuller it is,
     the more windows pass it for nothing, none is missed.
     """
-    n = sketches.count()
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
     sizes = sorted(r[0] for r in sketches.select("size").distinct().collect())  # at most WINDOW of them
     place = sketches.select(F.expr(f"minhash & {(1 << bits) - 1}L").alias("at"))
@@ -166,8 +167,10 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     each get their rows.  Other columns are not read.  Each document is read once, whole.
     """
     sketches = materialise(item_sketches(items, item_id, text).distinct(), "item-sketches")
-    seen = document_sketches(documents, doc_id, text, sketch_filter(sketches)).distinct()
-    # A passage in a third of all documents makes one MinHash value that hot; the items' side is the one to broadcast,
-    # which Spark does when its size allows, and splits the hot value otherwise (adaptive skew join).
-    met = seen.alias("d").join(sketches.alias("i"), ["size", "minhash"]).where(F.col("d.window") == F.col("i.window"))
+    n = sketches.count()
+    seen = document_sketches(documents, doc_id, text, sketch_filter(sketches, n)).distinct()
+    # A passage in a third of all documents makes some MinHash values that hot.  Few item sketches are broadcast, so that
+    # no window moves for the join; with more of them the join is by shuffle, and Spark splits hot values (adaptive skew join).
+    own = F.broadcast(sketches) if n <= BROADCAST_ROWS else sketches
+    met = seen.alias("d").join(own.alias("i"), ["size", "minhash"]).where(F.col("d.window") == F.col("i.window"))
     return met.groupBy("document", "item").agg(F.countDistinct("d.window").alias("windows"))

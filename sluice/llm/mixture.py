@@ -10,6 +10,7 @@ than max_repeats copies, and no random numbers are drawn per row.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,6 +31,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 def _encoding(path: str):  # noqa: ANN202
     import tiktoken
 
+    if not os.path.exists(path):
+        import public_tokenizers
+
+        path = public_tokenizers.path(os.path.basename(path))
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -86,6 +86,7 @@ def test_long_document(spark):
 def test_full_filter_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(leakage, "LEAST_BITS", 16)
     monkeypatch.setattr(leakage, "MOST_BITS", 16)
+    monkeypatch.setattr(leakage, "BROADCAST_ROWS", 0)
     random.seed(7)
     documents = [(n, " ".join(str(random.randint(0, 3)) for _ in range(60))) for n in range(30)]
     items = [(n, " ".join(str(random.randint(0, 3)) for _ in range(random.choice([3, 12])))) for n in range(200)]
