@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings every job wants.  Cluster sizes (memory, executors) belong to the submitter.
 DEFAULTS = {
@@ -59,6 +60,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """The table, marked for broadcast if it has no more than so many rows.
+
+    Counts the rows, so for materialised tables.  Larger ones are left as they are: joined by shuffle,
+    hot keys split by Spark.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def release(spark: SparkSession) -> int:
     """Deletes the tables this process materialised, returns how many there were.  Results that still read them must be stored before."""
     count = len(_MADE)
