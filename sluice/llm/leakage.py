@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.session import materialise
+from sluice.session import broadcast_up_to, materialise
 
 WINDOW = 10
 #: The filter of item sketches that goes to every worker has at least and at most so many bits (2 MB at 2**24).
@@ -171,6 +171,6 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     seen = document_sketches(documents, doc_id, text, sketch_filter(sketches, n)).distinct()
     # A passage in a third of all documents makes some MinHash values that hot.  Few item sketches are broadcast, so that
     # no window moves for the join; with more of them the join is by shuffle, and Spark splits hot values (adaptive skew join).
-    own = F.broadcast(sketches) if n <= BROADCAST_ROWS else sketches
+    own = broadcast_up_to(sketches, BROADCAST_ROWS)
     met = seen.alias("d").join(own.alias("i"), ["size", "minhash"]).where(F.col("d.window") == F.col("i.window"))
     return met.groupBy("document", "item").agg(F.countDistinct("d.window").alias("windows"))

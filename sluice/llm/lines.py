@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from sluice.operators.nested import read_json, sound
 from sluice.operators.ordinals import with_prefix
-from sluice.session import materialise
+from sluice.session import broadcast_up_to, materialise
 
 MIN_DOCUMENTS = 5
 #: A line is excessive if one document in so many of its source has it (20: 5 %).
 ONE_IN = 20
+#: Likely keys, and blocks of bitmaps of 4 kB, are broadcast up to so many rows: 20 MB and 8 MB.
+KEYS, BITMAPS = 400_000, 2_000
 
 _NOT_ASCII_LETTER = bytes(b for b in range(128) if not (97 <= b <= 122 or b == 10))
 
@@ -124,17 +126,17 @@ def repeated_lines(
     numbered = pages.join(ids, ["source", "id"])
     each = numbered.select("source", "id", "number", F.explode(F.arrays_zip("line_nos", "keys", "variants")).alias("line"))
     each = each.select("source", "id", "number", F.col("line.line_nos").alias("line_no"), F.col("line.keys").alias("key"), F.col("line.variants").alias("variant"))
-    # At most one_in * (lines per record) keys a source are likely; Spark sees their size and chooses the join.
-    each = materialise(each.join(likely, ["source", "key"]), "likely-occurrences")
+    # At most one_in * (lines per record) keys a source are likely: few, unless there are very many sources.
+    each = materialise(each.join(broadcast_up_to(likely, KEYS), ["source", "key"]), "likely-occurrences")
     placed = each.withColumn("block", F.floor(F.col("number") / 32768)).withColumn("__bit", F.pmod("number", F.lit(32768)))
 
     by_variant = placed.groupBy("source", "key", "source_ids", "variant", "block").agg(F.expr("bitmap_construct_agg(__bit)").alias("bits"))
     by_key = materialise(by_variant.groupBy("source", "key", "source_ids", "block").agg(F.expr("bitmap_or_agg(bits)").alias("bits")), "line-bitmaps")
     counts = by_key.groupBy("source", "key", "source_ids").agg(F.sum(F.expr("bitmap_count(bits)")).alias("n_ids"))
     counts = counts.where((F.col("n_ids") >= min_documents) & (F.col("n_ids") * one_in >= F.col("source_ids")))
-    lines = by_key.join(counts.select("source", "key"), ["source", "key"]).select("source", "key", "block", "bits")
+    lines = materialise(by_key.join(counts.select("source", "key"), ["source", "key"]).select("source", "key", "block", "bits"), "excessive-lines")
 
-    hit = placed.join(lines, ["source", "key", "block"]).where(bit_set(F.col("bits"), F.col("__bit")))
+    hit = placed.join(broadcast_up_to(lines, BITMAPS), ["source", "key", "block"]).where(bit_set(F.col("bits"), F.col("__bit")))
     found = hit.select("source", "id", "line_no", "key").distinct()
     return Repeated(pages, lines, counts, found)
 

@@ -77,6 +77,12 @@ def test_edges(spark):
     check(spark, [])
 
 
+def test_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(lines, "KEYS", 0)
+    monkeypatch.setattr(lines, "BITMAPS", 0)
+    assert check(spark, [(f"a{i}", "s", page("Menu", "x" * i)) for i in range(9)])[1].found.count() == 9
+
+
 def test_more_than_one_block(spark):
     """Ordinals past 32,768 go to further bitmaps."""
     data = spark.range(40_000).select(F.concat(F.lit("i"), "id").alias("id"), F.lit("s").alias("source"), F.when(F.col("id") % 10 == 0, '{"content": "Menu\\\\nx"}').otherwise('{"content": "y"}').alias("attributes"))
