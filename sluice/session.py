@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,31 @@ def build_session(master: str | None = None, app: str = "sluice", **conf: str) -
         builder = builder.master(master)
     for key, value in (DEFAULTS | {k.replace("_", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, wherever they run; once per context, before functions are sent there.
+
+    Local workers that inherit a PYTHONPATH with the package need nothing.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_sluice_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    inherited = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if not (context.master.startswith("local") and root in inherited):
+        archive = os.path.join(tempfile.mkdtemp(prefix="sluice-"), f"sluice-{uuid.uuid4().hex}.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        out.write(path := os.path.join(folder, name), os.path.relpath(path, root))
+        context.addPyFile(archive)
+    context._sluice_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,6 +79,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: a lost executor costs the re-reading of files, not the
     recomputation of everything before.  Each call gets its own sub-folder.
     """
+    ship(df.sparkSession)
     path = os.path.join(shared_dir(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
     _MADE.append(path)
     df.write.parquet(path)
@@ -80,4 +106,5 @@ def release(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
