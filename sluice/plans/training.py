@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.instants import ABBREVIATIONS, MONTHS
 from sluice.operators import instants, nested, snapshots
 from sluice.session import table
 
@@ -116,9 +117,53 @@ nodes AS (
 found AS (SELECT DISTINCT source, content_type, id, field, path, named, parent FROM nodes WHERE element AND json_type(v) = 'OBJECT')
 """
 
+def _instants_sql() -> str:
+    """Each notation as a pattern with named parts; clock times by the database's own time zones, the earlier of two."""
+    months = ", ".join(f"('{n}', {m})" for n, m in MONTHS.items())
+    abbreviations = ", ".join(f"('{a}', {m})" for a, m in ABBREVIATIONS.items())
+    half = r"(?: ?([apAP])\.?[mM]\.?)?"
+    shapes = [
+        (r"^(\d{4})-(\d{2})-(\d{2})(?:[Tt ](\d{2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)? ?([A-Za-z]{1,4})?([+\-]\d{2}:?(?:\d{2})?)?(?: ?\[?([A-Z][A-Za-z]+/[A-Za-z_]+)\]?)?$", "y m d h mi s f ab off zone"),
+        (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})(Z)?$", "y m d h mi s ab"),
+        (r"^(\d{1,2})[./](\d{1,2})[./](\d{4}) (\d{1,2}):(\d{2})" + half + "$", "p q y h mi half"),
+        (r"^(?:[A-Za-z]+, )?(\d{1,2})\.? (?:de )?([^\W\d]+|[^ \d]+) (?:de )?(\d{4}),?(?: à)? (\d{1,2})[:h](\d{2})(?::(\d{2}))?(?: Uhr)?(?: ([A-Z]{3,4}))?(?: ?([+\-]\d{4}))?$", "d name y h mi s ab off"),
+        (r"^([^ \d]+) (\d{1,2}), (\d{4}),? (\d{1,2}):(\d{2})" + half + "$", "name d y h mi half"),
+        (r"^[A-Za-z]{3} ([A-Za-z]{3}) (\d{2}) (\d{2}):(\d{2}):(\d{2}) (\d{4})$", "name d h mi s y"),
+    ]
+    fields = "y m d p q name h mi s f half ab off zone".split()
+    parts = []
+    for pattern, names in shapes:
+        own = names.split()
+        listed = "[" + ", ".join(f"'{n}'" for n in own) + "]"
+        picked = ", ".join(f"nullif(g.{n}, '') AS {n}" if n in own else f"CAST(NULL AS VARCHAR) AS {n}" for n in fields)
+        parts.append(f"SELECT field, record_key, snapshot_date, time_zone, date_order, {picked} FROM (SELECT *, regexp_extract(t, '{pattern}', {listed}) AS g FROM v WHERE regexp_matches(t, '{pattern}'))")
+    return f"""WITH raw AS (SELECT 'published_at' AS field, id AS record_key, '' AS snapshot_date, source, published_at AS text FROM unified_all_cms_content
+ UNION SELECT 'updated_at', id, '', source, updated_at FROM unified_all_cms_content
+ UNION SELECT 'last_modified', url, strftime(snapshot_date, '%Y-%m-%d'), source, last_modified FROM aidna_wp_scraped_urls),
+v AS (SELECT field, record_key, snapshot_date, time_zone, date_order, trim(regexp_replace(text, '[\\s\\x{{a0}}\\x{{202f}}]+', ' ', 'g')) AS t FROM raw LEFT JOIN site_settings USING (source) WHERE text IS NOT NULL),
+months(name, number) AS (VALUES {months}),
+abbreviations(ab, minutes) AS (VALUES {abbreviations}),
+parts AS ({" UNION ALL ".join(parts)}),
+clock AS (SELECT parts.*, minutes, try_cast(format('{{:04d}}-{{:02d}}-{{:02d}} {{:02d}}:{{:02d}}:{{:02d}}.{{}}', CAST(y AS INTEGER),
+  CAST(coalesce(CAST(number AS VARCHAR), m, CASE WHEN date_order = 'mdy' THEN p ELSE q END) AS INTEGER), CAST(coalesce(d, CASE WHEN date_order = 'mdy' THEN q ELSE p END) AS INTEGER),
+  CASE WHEN half IS NULL THEN CAST(coalesce(h, '0') AS INTEGER) ELSE CAST(h AS INTEGER) % 12 + CASE WHEN lower(half) = 'p' THEN 12 ELSE 0 END END,
+  CAST(coalesce(mi, '0') AS INTEGER), CAST(coalesce(s, '0') AS INTEGER), left(rpad(coalesce(f, '0'), 6, '0'), 6)) AS TIMESTAMP) AS local
+ FROM parts LEFT JOIN months ON months.name = lower(rtrim(parts.name, '.')) LEFT JOIN abbreviations ON abbreviations.ab = upper(parts.ab)
+ WHERE (parts.name IS NULL OR number IS NOT NULL) AND (parts.ab IS NULL OR minutes IS NOT NULL) AND CAST(y AS INTEGER) > 1000),
+shifted AS (SELECT *, CASE WHEN off IS NOT NULL THEN (CASE left(off, 1) WHEN '-' THEN -1 ELSE 1 END) * (CAST(off[2:3] AS INTEGER) * 60 + CAST(coalesce(nullif(replace(off[4:], ':', ''), ''), '0') AS INTEGER)) ELSE minutes END AS east,
+ coalesce(zone, time_zone, 'UTC') AS z FROM clock WHERE local IS NOT NULL),
+zoned AS (SELECT *, CASE WHEN east IS NULL THEN epoch_us(timezone(z, local)) END AS late FROM shifted),
+named AS (SELECT field, record_key, snapshot_date, CASE WHEN east IS NOT NULL THEN epoch_us(local) - CAST(east AS BIGINT) * 60000000
+  WHEN timezone(z, make_timestamptz(late - 3600000000)) = local THEN late - 3600000000 ELSE late END AS utc_micros FROM zoned)
+SELECT DISTINCT field, record_key, snapshot_date, CAST(utc_micros AS BIGINT) AS utc_micros FROM named
+UNION SELECT field, record_key, snapshot_date, CASE length(split_part(t, '.', 1)) WHEN 10 THEN CAST(split_part(t, '.', 1) AS BIGINT) * 1000000 + CAST(left(rpad(split_part(t, '.', 2), 6, '0'), 6) AS BIGINT)
+  WHEN 13 THEN CAST(t AS BIGINT) * 1000 ELSE CAST(t AS BIGINT) END FROM v WHERE regexp_matches(t, '^(\\d{{10}}(\\.\\d+)?|\\d{{13}}|\\d{{16}})$')"""
+
+
 SQL = {
     "p2_found": _NODES + "SELECT DISTINCT source, content_type, id, field, path, parent AS parent_path FROM found",
     "p2_tables": _NODES + "SELECT field, named AS schema_path, count(*) AS n_rows, CAST(count(*) FILTER (parent <> '') AS BIGINT) AS n_nested FROM found GROUP BY field, named",
+    "p3_found": _instants_sql(),
     "p4_found": f"""{_STATES},
 pairs AS (SELECT coalesce(b.url, a.url) AS url, coalesce(b.n, a.n + 1) AS n, a.url IS NOT NULL AS was, b.url IS NOT NULL AS now_is, a.sitemap IS DISTINCT FROM b.sitemap AS other
  FROM state a FULL JOIN state b ON a.url = b.url AND b.n = a.n + 1)
