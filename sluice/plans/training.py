@@ -11,6 +11,7 @@ from sluice.session import table
 
 CMS_KEY = ["source", "content_type", "id"]
 CMS_FIELDS = ["attributes", "external_images"]
+IMAGE_COLUMNS = {"role": "role", "image_source": "source", "image_url": "image_url", "image_title": "title", "license": "license"}
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,7 +33,7 @@ def p2_images(spark: SparkSession, folder: str) -> DataFrame:
     """One flat table: the objects of external_images, with their scalar columns."""
     records = table(spark, folder, "unified_cms_content_combined")
     links = nested.linked(nested.element_nodes(records, CMS_KEY, ["external_images"]))
-    return nested.flat_table(links, CMS_KEY, "external_images", "*", {"role": "role", "image_source": "source", "image_url": "image_url", "image_title": "title", "license": "license"})
+    return nested.flat_table(links, CMS_KEY, "external_images", "*", IMAGE_COLUMNS)
 
 
 def dated_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +118,11 @@ nodes AS (
 found AS (SELECT DISTINCT source, content_type, id, field, path, named, parent FROM nodes WHERE element AND json_type(v) = 'OBJECT')
 """
 
+def _scalar(column: str, key: str) -> str:
+    value = _unwrapped(f"json_extract(v, '$.{key}')")
+    return f"CASE WHEN json_type({value}) NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v ->> '$.{key}' END AS {column}"
+
+
 def _instants_sql() -> str:
     """Each notation as a pattern with named parts; clock times by the database's own time zones, the earlier of two."""
     months = ", ".join(f"('{n}', {m})" for n, m in MONTHS.items())
@@ -163,6 +169,10 @@ UNION SELECT field, record_key, snapshot_date, CASE length(split_part(t, '.', 1)
 SQL = {
     "p2_found": _NODES + "SELECT DISTINCT source, content_type, id, field, path, parent AS parent_path FROM found",
     "p2_tables": _NODES + "SELECT field, named AS schema_path, count(*) AS n_rows, CAST(count(*) FILTER (parent <> '') AS BIGINT) AS n_nested FROM found GROUP BY field, named",
+    "p2_images": _NODES
+    + "SELECT DISTINCT source, content_type, id, path, parent AS parent_path, "
+    + ", ".join(_scalar(c, k) for c, k in IMAGE_COLUMNS.items())
+    + " FROM nodes WHERE field = 'external_images' AND named = '*' AND element AND json_type(v) = 'OBJECT'",
     "p3_found": _instants_sql(),
     "p4_found": f"""{_STATES},
 pairs AS (SELECT coalesce(b.url, a.url) AS url, coalesce(b.n, a.n + 1) AS n, a.url IS NOT NULL AS was, b.url IS NOT NULL AS now_is, a.sitemap IS DISTINCT FROM b.sitemap AS other
