@@ -395,6 +395,48 @@ def sink_rows(spark: SparkSession, folder: str) -> DataFrame:
     return once.select("id", "source", F.lit("post").alias("content_type"), F.left("title", F.lit(sink.TITLE)).alias("title"), F.left("slug", F.lit(sink.SLUG)).alias("slug"), F.coalesce("locale", F.lit("en")).alias("locale"))
 
 
+_IDS = "list_filter(json_extract_string(attributes, '$.applications.data[*].id'), lambda x: x IS NOT NULL AND x NOT IN ('', '0', 'false'))"
+
+
+@query(f"""SELECT DISTINCT source AS stored_source, content_type, id, CASE len({_IDS}) WHEN 0 THEN '0' WHEN 1 THEN {_IDS}[1] ELSE '[' || array_to_string({_IDS}, ', ') || ']' END AS app_source,
+ {_collapse("regexp_replace(coalesce(json_extract_string(attributes, '$.title'), ''), '<.*?>', '', 'g')")} AS clean_title,
+ CASE WHEN json_type(attributes, '$.slug') IS NULL THEN '' ELSE json_extract_string(attributes, '$.slug') END AS clean_slug
+ FROM {CMS} WHERE json_valid(attributes) AND json_type(attributes) = 'OBJECT' AND coalesce(json_type(attributes, '$.title'), 'NULL') IN ('VARCHAR', 'NULL')""")
+def cms_structured(spark: SparkSession, folder: str) -> DataFrame:
+    """Source by application, cleaned title and slug of the CMS records that can be structured."""
+    rows = table(spark, folder, CMS).select(F.col("source").alias("stored_source"), "content_type", "id", "attributes")
+    return jsonattrs.structured(rows).where("problem IS NULL").select("stored_source", "content_type", "id", "app_source", "clean_title", "clean_slug").distinct()
+
+
+_MEDIA = ["feature_image", "cover_image", "widgetPicture", "photo"]
+
+
+@query(f"""SELECT DISTINCT source AS stored_source, content_type, id, {", ".join(f"nullif(json_extract_string(attributes, '$.{m}.data.attributes.url'), '') AS {m}" for m in _MEDIA)}
+ FROM {CMS} WHERE json_valid(attributes) AND json_type(attributes) = 'OBJECT' AND coalesce(json_type(attributes, '$.title'), 'NULL') IN ('VARCHAR', 'NULL')""")
+def cms_media(spark: SparkSession, folder: str) -> DataFrame:
+    """Addresses of the CMS records' own images."""
+    rows = table(spark, folder, CMS).select(F.col("source").alias("stored_source"), "content_type", "id", "attributes")
+    done = jsonattrs.structured(rows).where("problem IS NULL")
+    return done.select("stored_source", "content_type", "id", *[F.get_json_object("flat_json", f"$.{m}.url").alias(m) for m in _MEDIA]).distinct()
+
+
+_NAMES = "title name fullname slug country countryCode".split()
+
+
+@query(f"""WITH r AS (SELECT DISTINCT source AS stored_source, content_type, id, attributes FROM {CMS} WHERE json_valid(attributes) AND json_type(attributes) = 'OBJECT' AND coalesce(json_type(attributes, '$.title'), 'NULL') IN ('VARCHAR', 'NULL')),
+items AS (SELECT stored_source, content_type, id, unnest(CASE json_type(attributes, '$.categories.data') WHEN 'ARRAY' THEN json_extract(attributes, '$.categories.data[*]') WHEN 'OBJECT' THEN [json_extract(attributes, '$.categories.data')] ELSE [] END) AS item FROM r),
+own AS (SELECT *, json_extract(item, '$.attributes') AS a FROM items WHERE json_type(item) = 'OBJECT')
+SELECT DISTINCT stored_source, content_type, id, {", ".join(f"json_extract_string(a, '$.{n}') AS {n}" for n in _NAMES)} FROM own
+ WHERE json_type(a) = 'OBJECT' AND len(list_intersect(json_keys(a), [{", ".join(f"'{n}'" for n in _NAMES)}])) > 0""")
+def cms_relations(spark: SparkSession, folder: str) -> DataFrame:
+    """The CMS records' categories: what names each, in columns."""
+    rows = table(spark, folder, CMS).select(F.col("source").alias("stored_source"), "content_type", "id", "attributes")
+    done = jsonattrs.structured(rows).where("problem IS NULL")
+    listed = F.from_json(F.get_json_object("flat_json", "$.categories"), "array<map<string, string>>")
+    one = done.select("stored_source", "content_type", "id", F.explode(listed).alias("r"))
+    return one.select("stored_source", "content_type", "id", *[F.try_element_at("r", F.lit(n)).alias(n) for n in _NAMES]).distinct()
+
+
 @query()
 def cms_attributes(spark: SparkSession, folder: str) -> DataFrame:
     """CMS records flattened: source by application, cleaned title, kept attributes, links, problems."""
