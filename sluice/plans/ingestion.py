@@ -137,11 +137,11 @@ def distinct_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(rf"""SELECT DISTINCT id, published_at, epoch_us(try_cast(published_at AS TIMESTAMPTZ)) AS micros FROM {CONTENT}
- WHERE regexp_matches(published_at, '^\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}(\.\d{{1,6}})?Z$')""")
+ WHERE regexp_matches(published_at, '^\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}(\.\d{{1,6}})?Z$') AND try_cast(published_at AS TIMESTAMPTZ) IS NOT NULL""")
 def iso_dates(spark: SparkSession, folder: str) -> DataFrame:
-    """Instants of the dates in strict ISO form."""
+    """Instants of the dates in strict ISO form, impossible dates left out."""
     rows = table(spark, folder, CONTENT).where(F.col("published_at").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z$"))
-    return rows.select("id", "published_at", F.unix_micros(dates.iso_instant(F.col("published_at"))).alias("micros")).distinct()
+    return rows.select("id", "published_at", F.unix_micros(dates.iso_instant(F.col("published_at"))).alias("micros")).where("micros IS NOT NULL").distinct()
 
 
 @query(f"""SELECT CAST(n AS BIGINT) AS records, CAST((n + 99) // 100 AS BIGINT) AS batches FROM (SELECT count(*) AS n FROM {RECORDS})""")
