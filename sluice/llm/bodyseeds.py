@@ -73,13 +73,17 @@ _PROSE = re.compile(r"[.!?…][\"'”»“)]*(\s*[–-] .*)?$")
 _SEPARATED = re.compile(r" [|/·>›»] ")
 _CUT = re.compile(r"\[(…|\.\.\.)\]")
 _ADDRESS = re.compile(r"^\w[\w'’-]*, \w[\w'’-]* [\w'’-]+ \d+$")
-_ZERO = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])
+_ZERO = re.compile("[" + "".join(map(chr, [0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])) + "]")
+
+
+def visible(text: str) -> str:
+    """The text without invisible characters, in NFKC.  A line of which this leaves only spacing is blank."""
+    return text if text.isascii() else unicodedata.normalize("NFKC", _ZERO.sub("", text))
 
 
 def plain(line: str) -> str:
     """The line without invisible characters, decoration at its ends and odd spacing, in NFKC."""
-    text = unicodedata.normalize("NFKC", line.translate(_ZERO) if not line.isascii() else line)
-    return _EDGE.sub("", _EDGE.sub("", " ".join(text.split())))
+    return _EDGE.sub("", _EDGE.sub("", " ".join(visible(line).split())))
 
 
 def is_prose(text: str) -> bool:
@@ -87,8 +91,9 @@ def is_prose(text: str) -> bool:
 
 
 def seed_labels(content: str, title: str | None, site: str) -> list[bool | None]:
-    """Of each line: True main body, False not, None blank."""
-    lines = [plain(x) for x in content.split("\n")]
+    """Of each line: True main body, False not, None blank.  A line of decoration only separates like a blank one, but is not blank: False."""
+    raw = content.split("\n")
+    lines = [plain(x) for x in raw]
     low = [x.lower() for x in lines]
     kinds = [_kind(a, b, site.lower()) for a, b in zip(lines, low, strict=True)]
     listing = kinds.count("more") >= 1 or sum(bool(_CUT.search(x)) for x in lines) >= 2
@@ -97,7 +102,7 @@ def seed_labels(content: str, title: str | None, site: str) -> list[bool | None]
     zone, box, opened = "head", False, False
     for i, kind in enumerate(kinds):
         if kind == "blank":
-            out.append(None)
+            out.append(False if visible(raw[i]).strip() else None)
             box = box and zone == "end"
             continue
         headline = kind == "short" and plain(name) == low[i]
@@ -117,7 +122,7 @@ def seed_labels(content: str, title: str | None, site: str) -> list[bool | None]
             elif zone != "end" and not box:
                 # Before the first prose: a list item, or a subheading below the headline or the share prompts.
                 following = next((k for k in kinds[i + 1 :] if k != "blank"), "")
-                body = zone == "body" or _listed(content.split("\n")[i], lines[i]) or (opened and following == "prose")
+                body = zone == "body" or _listed(raw[i], lines[i]) or (opened and following == "prose")
                 zone = "body" if body else zone
         elif kind == "share":
             opened = True

@@ -12,7 +12,6 @@ pruned node is kept, and a kept node keeps something.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import boosting
-from sluice.llm.bodyseeds import seed_labels
+from sluice.llm.bodyseeds import seed_labels, visible
 from sluice.llm.lines import content_of, page_lines
 from sluice.llm.spam import FUNCTION_WORDS
 from sluice.operators.nested import read_json
@@ -37,7 +36,6 @@ SAMPLE_CHARS = 50_000
 TOKENS, PAIRS = 20_000, 1 << 17
 
 _TOKEN = re.compile(r"\w+|[^\w\s]|\n")
-_ZERO = re.compile("[" + "".join(map(chr, [0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])) + "]")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _SENTENCE_ENDS = frozenset(".!?…”\"»“)")
 _BULLETS = frozenset("•-–*")
@@ -100,10 +98,6 @@ def segment(address: str) -> str:
     return re.sub(r"\d", "0", parts[3]) if len(parts) > 4 else ""
 
 
-def _clean(text: str) -> str:
-    return text if text.isascii() else unicodedata.normalize("NFKC", _ZERO.sub("", text))
-
-
 def read_lines(pages: list[Page], known: dict[str, int]) -> Lines:
     """Tokens and shapes of the lines of many pages; equal lines (but for case, spacing and decoration) have equal keys."""
     local: dict[str, int] = {"\n": 0}
@@ -112,7 +106,7 @@ def read_lines(pages: list[Page], known: dict[str, int]) -> Lines:
     counts: list[int] = []
     place = local.setdefault
     for page in pages:
-        text = _clean(page.content)
+        text = visible(page.content)
         chars += [len(x) for x in text.split("\n")]
         counts.append(len(chars))
         tokens = _TOKEN.findall(text)
@@ -141,7 +135,7 @@ def read_lines(pages: list[Page], known: dict[str, int]) -> Lines:
         mixed = (w_hash ^ (w_hash >> np.uint64(31))) * (_PRIME + np.uint64(2) * rank.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D))
     key = np.zeros(total, np.uint64)
     np.add.at(key, w_line, mixed)
-    titles = [_TOKEN.findall(_clean(p.title).lower()) for p in pages]
+    titles = [_TOKEN.findall(visible(p.title).lower()) for p in pages]
     title_key = np.zeros(len(pages), np.uint64)
     for i, tokens in enumerate(titles):
         r = 0
@@ -356,7 +350,7 @@ def train(pages: list[Page], seed: int = 0) -> Model:
     labels = [seed_labels(p.content, p.title, p.site) for p in pages]
     half = [pages[0::2], pages[1::2]]
     half_labels = [np.array([x for y in labels[k::2] for x in y if x is not None], bool) for k in (0, 1)]
-    counts = Counter(t for p in half[0] for t in ("0" if t.isdigit() else t for t in _TOKEN.findall(_clean(p.content).lower())) if t != "\n")
+    counts = Counter(t for p in half[0] for t in ("0" if t.isdigit() else t for t in _TOKEN.findall(visible(p.content).lower())) if t != "\n")
     known = {t: i + 1 for i, (t, n) in enumerate(counts.most_common(TOKENS)) if n > 2}
     lines = read_lines(half[0], known)
     body = _aligned(half_labels[0], lines)
@@ -385,7 +379,7 @@ def train(pages: list[Page], seed: int = 0) -> Model:
 
 
 def _aligned(labels: np.ndarray, lines: Lines) -> np.ndarray:
-    """Seed labels skip lines without visible characters; so do the lines read, but for lone decoration."""
+    """Seed labels skip blank lines, and so do the lines read: both by what is visible."""
     if len(labels) != len(lines.page):
         raise ValueError(f"{len(labels)} labels for {len(lines.page)} lines")
     return labels

@@ -84,6 +84,23 @@ def test_seed_labels():
     assert not any(seed_labels(listing, "News", "site"))
 
 
+def test_lines_of_decoration():
+    """Separators in trained pages: lines, but not of the body; blank is the same for labels and for lines read."""
+    marks = ["***", "* * *", "---", "•", "→", "…", "(12)", "»", "·", "\u200b***", "\u200b", "\u00ad \u2060", " \t", "\u3000", "\x1c", "\u00a8", "!", "..."]
+    pages = []
+    for n in range(40):
+        record = json.loads(make(n)[0])
+        content = record["content"].split("\n")
+        for k, mark in enumerate(marks):
+            content.insert((7 * k + n) % len(content), mark)
+        pages.append(mainbody.Page("\n".join(content), record["title"], "site", record["original_url"]))
+    for p in pages:
+        labels = seed_labels(p.content, p.title, p.site)
+        assert [i for i, x in enumerate(labels, 1) if x is not None] == mainbody.read_lines([p], {}).number.tolist()
+    assert len(mainbody.body_lines(mainbody.train(pages), pages)[0])
+    assert seed_labels("***\n•\n---\n(12)\n \n", "t", "site") == [False] * 4 + [None] * 2
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no tables")
 def test_held_out_accuracy():
     """Trained on some pages, right on others, measured against the seed labels."""
