@@ -1,6 +1,6 @@
 """Seed labels for main-body extraction: what a line is, told by phrases of page furniture and the line's place.
 
-They label the bounded sample on which the trees are trained; they are not used elsewhere.
+They label the bounded sample on which the trees are trained, and the pages themselves where there are too few to train on.
 """
 
 from __future__ import annotations
@@ -99,6 +99,10 @@ def seed_labels(content: str, title: str | None, site: str) -> list[bool | None]
     listing = kinds.count("more") >= 1 or sum(bool(_CUT.search(x)) for x in lines) >= 2
     name = (title or "").lower()
     out: list[bool | None] = []
+    follows, following = [""] * len(kinds), ""  # of each line the kind of the next that is not blank
+    for i in range(len(kinds) - 1, -1, -1):
+        follows[i] = following
+        following = following if kinds[i] == "blank" else kinds[i]
     zone, box, opened = "head", False, False
     for i, kind in enumerate(kinds):
         if kind == "blank":
@@ -121,8 +125,7 @@ def seed_labels(content: str, title: str | None, site: str) -> list[bool | None]
                 body = opened = True
             elif zone != "end" and not box:
                 # Before the first prose: a list item, or a subheading below the headline or the share prompts.
-                following = next((k for k in kinds[i + 1 :] if k != "blank"), "")
-                body = zone == "body" or _listed(raw[i], lines[i]) or (opened and following == "prose")
+                body = zone == "body" or _listed(raw[i], lines[i]) or (opened and follows[i] == "prose")
                 zone = "body" if body else zone
         elif kind == "share":
             opened = True

@@ -19,7 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import boosting
@@ -30,8 +30,11 @@ from sluice.operators.nested import read_json
 
 #: Pages on which the tokens' weights and the trees are trained: a bounded sample, taken by a hash of the id.
 SAMPLE_PAGES = 3000
-#: Longer records are extracted like all others, but not trained on: the sample has at most 150 million characters.
-SAMPLE_CHARS = 50_000
+#: Longer records are trained on only where shorter ones are fewer than that, and while the sample has at most so many
+#: characters in all.  They are extracted like all others.
+SAMPLE_CHARS, SAMPLE_TOTAL = 50_000, 30_000_000
+#: Fewer pages are not trained on: their seed labels are the result.  (Trained on 80 pages, 96 % of held-out lines are right, on 10, 80 %.)
+LEAST_PAGES = 100
 #: Tokens with weights of their own; pairs of tokens share so many weights.
 TOKENS, PAIRS = 20_000, 1 << 17
 
@@ -385,8 +388,12 @@ def _aligned(labels: np.ndarray, lines: Lines) -> np.ndarray:
     return labels
 
 
-def body_lines(model: Model, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
-    """(page, line number) of the main body's lines, over a list of pages."""
+def body_lines(model: Model | None, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
+    """(page, line number) of the main body's lines, over a list of pages; by the seed labels if there is no model."""
+    if model is None:
+        seeds = [(i, k) for i, p in enumerate(pages) for k, keep in enumerate(seed_labels(p.content, p.title, p.site), 1) if keep]
+        page, number = np.array(seeds, np.int64).reshape(-1, 2).T
+        return page, number
     lines = read_lines(pages, model.weights.tokens)
     if not len(lines.page):
         return lines.page, lines.number
@@ -398,11 +405,30 @@ def body_lines(model: Model, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]
 
 
 def sample_pages(records: DataFrame, n: int, id_: str, source: str, attributes: str) -> list[Page]:
-    """Up to n pages with content, the same for the same records: those with the least hashes of their ids."""
-    picked = records.where(F.length(attributes) <= SAMPLE_CHARS).select(F.col(id_).alias("__id")).where("__id IS NOT NULL").distinct().orderBy(F.xxhash64("__id"), "__id").limit(n)
-    rows = records.join(F.broadcast(picked), F.col(id_) == F.col("__id")).where(F.length(attributes) <= SAMPLE_CHARS).groupBy("__id").agg(F.min(F.struct(attributes, source)).alias("r"))
-    found = [page_of(r[0][0], r[0][1]) for r in rows.orderBy("__id").select("r").collect()]
-    return [p for p in found if p is not None]
+    """Up to n pages with content, the same for the same records: those with the least hashes of their ids, long ones last."""
+    slim = records.select(F.col(id_).alias("__id"), F.col(source).alias("source"), F.col(attributes).alias("attributes")).where("__id IS NOT NULL AND attributes IS NOT NULL")
+    pages, picked = _picked(slim, n)
+    if 2 * len(pages) < picked:  # most have no content: pick again, among those that have
+
+        def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([content_of(a) is not None for a in batch.column(2).to_pylist()], pa.bool_()))
+
+        pages, _ = _picked(slim.mapInArrow(filled, slim.schema), n)
+    return pages
+
+
+def _picked(slim: DataFrame, n: int) -> tuple[list[Page], int]:
+    """Those of n records that have content, and how many were picked; of each id the shortest record."""
+    order = [F.col("__chars") > SAMPLE_CHARS, F.xxhash64("__id"), F.col("__id")]
+    ids = slim.groupBy("__id").agg(F.min(F.length("attributes")).alias("__chars")).orderBy(*order).limit(n)
+    total = F.sum("__chars").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ids = ids.withColumn("__total", total).where((F.col("__chars") <= SAMPLE_CHARS) | (F.col("__total") <= SAMPLE_TOTAL))
+    # Longer records of an id are left out before they are compared.
+    same = slim.join(F.broadcast(ids.select("__id", "__chars")), "__id").where(F.length("attributes") == F.col("__chars"))
+    rows = same.groupBy("__id").agg(F.min(F.struct("attributes", "source")).alias("r")).orderBy("__id").select("r").collect()
+    found = [page_of(r[0][0], r[0][1]) for r in rows]
+    return [p for p in found if p is not None], len(rows)
 
 
 def main_body(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", sample: int = SAMPLE_PAGES) -> DataFrame:
@@ -410,13 +436,11 @@ def main_body(records: DataFrame, id_: str = "id", source: str = "source", attri
 
     Null, invalid and empty records have none, nor have pages that only list other articles.  A
     record repeated under its id gives its lines once.  Other columns are not read.  Trained on at most
-    `sample` pages, applied to all, each whole.
+    `sample` pages, applied to all, each whole; of fewer than LEAST_PAGES the seed labels are the result.
     """
     slim = records.where(F.col(id_).isNotNull())
     pages = sample_pages(slim, sample, id_, source, attributes)
-    if len(pages) < 2:
-        return records.sparkSession.createDataFrame([], "id string, line_no int")
-    model = records.sparkSession.sparkContext.broadcast(train(pages))
+    model = records.sparkSession.sparkContext.broadcast(train(pages) if len(pages) >= LEAST_PAGES else None)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

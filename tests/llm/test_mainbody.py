@@ -49,6 +49,40 @@ def test_empty(spark):
     assert mainbody.main_body(spark.createDataFrame([], "id string, source string, attributes string")).count() == 0
 
 
+def found_in(spark, rows, **options):
+    got = mainbody.main_body(spark.createDataFrame(rows, "id string, source string, attributes string"), **options)
+    return {(r["id"], r["line_no"]) for r in got.collect()}
+
+
+def test_few_pages(spark):
+    """One page, and a few, have their bodies too."""
+    for n in (1, 2, 12):
+        pages = [make(k) for k in range(n)]
+        expected = {(f"i{k}", x) for k, (_, kept) in enumerate(pages) for x in kept}
+        got = found_in(spark, [(f"i{k}", "W/Site", a) for k, (a, _) in enumerate(pages)])
+        assert len(got & expected) > 0.95 * max(len(got), len(expected))
+
+
+def test_long_pages_only(spark, monkeypatch):
+    """Records too long to be trained on before shorter ones are trained on where there are no others, up to a total."""
+    pages = [make(k) for k in range(130)]
+    df = spark.createDataFrame([(f"i{k}", "W/Site", a) for k, (a, _) in enumerate(pages)], "id string, source string, attributes string")
+    monkeypatch.setattr(mainbody, "SAMPLE_CHARS", 100)
+    assert len(mainbody.sample_pages(df, 3000, "id", "source", "attributes")) == 130
+    expected = {(f"i{k}", x) for k, (_, kept) in enumerate(pages) for x in kept}
+    got = {(r["id"], r["line_no"]) for r in mainbody.main_body(df).collect()}
+    assert len(got & expected) > 0.95 * max(len(got), len(expected))
+    monkeypatch.setattr(mainbody, "SAMPLE_TOTAL", 10_000)
+    assert 0 < len(mainbody.sample_pages(df, 3000, "id", "source", "attributes")) < 10
+    assert len(found_in(spark, [("a", "W/Site", json.dumps({"content": "\n".join(["A long sentence that says something here."] * 9_000)}))])) == 9_000
+
+
+def test_sample_among_records_without_content(spark):
+    rows = [(f"i{k}", "W/Site", make(k)[0]) for k in range(60)] + [(f"n{k}", "W/Site", '{"title": "t"}') for k in range(600)]
+    df = spark.createDataFrame(rows, "id string, source string, attributes string")
+    assert len(mainbody.sample_pages(df, 50, "id", "source", "attributes")) == 50
+
+
 def test_decoding_is_best_and_consistent():
     rng = np.random.default_rng(1)
     for _ in range(40):
