@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -245,7 +246,7 @@ def _shift(values: np.ndarray, group: np.ndarray, by: int) -> np.ndarray:
 
 
 class Tree(NamedTuple):
-    """Nodes of depth 0 (pages) to 3 (lines): features, and of each node but the pages its parent."""
+    """Nodes of depth 0 (pages) to 3 (lines): features, and of each node its parent; a page is its own, so that it has no siblings."""
 
     features: list[np.ndarray]
     parents: list[np.ndarray]
@@ -260,9 +261,11 @@ def _running(group: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 def _running_max(group: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Greatest value over the group's rows before each; -9 at the first."""
-    step = 1e4
-    top = np.maximum.accumulate(np.concatenate([[-9.0 - step], value + group * step])[:-1])
-    return np.maximum(top - group * step, -9.0)
+    out = np.full(len(value), -9.0)
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    for start, end in pairwise([*starts, len(group)]):
+        out[start + 1 : end] = np.maximum.accumulate(value[start : end - 1])
+    return np.maximum(out, -9.0)
 
 
 def tree_of(lines: Lines, pages: list[Page], w: Weights) -> Tree:
@@ -279,7 +282,7 @@ def tree_of(lines: Lines, pages: list[Page], w: Weights) -> Tree:
     levels = [_roll(lines.page, sums, len(pages)), _roll(block, sums, blocks), _roll(run, sums, runs), sums]
     levels[0][:, 0] = np.maximum(1, levels[0][:, 0])
     extras = [_fold(lines.page, extra, len(pages)), _fold(block, extra, blocks), _fold(run, extra, runs), extra]
-    parents = [np.zeros(len(pages), np.int64), parent_block, parent_run, run]
+    parents = [np.arange(len(pages)), parent_block, parent_run, run]
     page_at = [np.arange(len(pages)), parent_block, parent_block[parent_run], lines.page]
     firsts = [np.searchsorted(lines.page, np.arange(len(pages))), np.searchsorted(block, np.arange(blocks)), run_first, np.arange(n)]
     total = levels[0][:, 0]

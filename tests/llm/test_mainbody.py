@@ -101,6 +101,21 @@ def test_decoding_is_best_and_consistent():
         assert tuple(kept.astype(int)) == chosen
 
 
+def test_a_page_is_read_alone():
+    """Features, and so lines, of a page don't depend on the pages around it."""
+    pages = [mainbody.page_of(make(n)[0], "W/Site") for n in range(160)]
+    pages[5:5] = [mainbody.Page(" \n", "", "site", ""), mainbody.Page("word. " * 40_000, "", "site", "")]
+    model = mainbody.train(pages)
+    together = mainbody.tree_of(mainbody.read_lines(pages, model.weights.tokens), pages, model.weights)
+    page, number = mainbody.body_lines(model, pages)
+    for i, p in enumerate(pages):
+        alone = mainbody.tree_of(mainbody.read_lines([p], model.weights.tokens), [p], model.weights)
+        if p.content.strip():
+            assert np.array_equal(alone.features[0][0], together.features[0][i])
+        assert mainbody.body_lines(model, [p])[1].tolist() == number[page == i].tolist()
+    assert mainbody._running_max(np.array([0, 0, 1, 1, 1]), np.array([3e4, 1, -20, 0.1, 2])).tolist() == [-9, 3e4, -9, -9, 0.1]
+
+
 def test_boosting_learns():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(4000, 6))
