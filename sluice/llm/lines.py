@@ -143,34 +143,53 @@ def repeated_lines(
 
 def example_lines(records: DataFrame, repeated: Repeated, source: str = "source", id_: str = "id", attributes: str = "attributes") -> DataFrame:
     """(source, key, line): an exact form, the least, of each excessive line."""
-    texts = page_lines(records, source, id_, attributes)
+    texts = page_texts(records, source, id_, attributes, keyed=True)
+    split = texts.select("source", "id", F.posexplode(F.arrays_zip(F.split("content", "\n").alias("line"), F.col("keys").alias("key"))).alias("at", "of"))
+    lines = split.select("source", "id", (F.col("at") + 1).alias("line_no"), "of.line", "of.key")
     found = repeated.found.select("source", "id", "line_no", "key")
-    return texts.join(found, ["source", "id", "line_no"]).groupBy("source", "key").agg(F.min("line").alias("line"))
+    return lines.join(found, ["source", "id", "line_no", "key"]).groupBy("source", "key").agg(F.min("line").alias("line"))
 
 
-def page_texts(records: DataFrame, source: str, id_: str, attributes: str) -> DataFrame:
-    """(source, id, content) per record; content null where there is none."""
+def version(source: str, attributes: str) -> Column:
+    """Tells records of one id apart that differ in text or source; equal for a record delivered again."""
+    return F.xxhash64(F.col(source), F.col(attributes))
+
+
+def page_texts(records: DataFrame, source: str, id_: str, attributes: str, keyed: bool = False) -> DataFrame:
+    """(source, id, version, content, keys) per record; content null where there is none.
+
+    `keys` are null unless `keyed`: of each line the hash of its normal form, null if it has no letters.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            texts = pa.array([None if (c := content_of(t)) is None else sound(c) for t in batch.column(2).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["source", "id", "content"])
+            found = [content_of(t) for t in batch.column(3).to_pylist()]
+            texts = pa.array([None if c is None else sound(c) for c in found], pa.string())
+            keys: list[pa.Array | None] = []
+            for c in found:
+                normal = normal_lines(c) if keyed and c is not None else None
+                keys.append(None if normal is None else pa.array(_signed([digest(x) for x in normal]), mask=np.array([not x for x in normal])))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts, pa.array(keys, pa.list_(pa.int64()))], ["source", "id", "version", "content", "keys"])
 
-    slim = records.where(F.col(id_).isNotNull()).select(F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(id_).alias("id"), F.col(attributes).alias("attributes"))
-    return slim.mapInArrow(read, "source string, id string, content string")
+    slim = records.where(F.col(id_).isNotNull()).select(F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(id_).alias("id"), version(source, attributes).alias("version"), F.col(attributes).alias("attributes"))
+    return slim.mapInArrow(read, "source string, id string, version long, content string, keys array<long>")
 
 
 def page_lines(records: DataFrame, source: str, id_: str, attributes: str) -> DataFrame:
-    """(source, id, line_no, line) of all records."""
-    split = page_texts(records, source, id_, attributes).select("source", "id", F.posexplode(F.split("content", "\n")).alias("at", "line"))
-    return split.select("source", "id", (F.col("at") + 1).alias("line_no"), "line")
+    """(source, id, version, line_no, line) of all records."""
+    split = page_texts(records, source, id_, attributes).select("source", "id", "version", F.posexplode(F.split("content", "\n")).alias("at", "line"))
+    return split.select("source", "id", "version", (F.col("at") + 1).alias("line_no"), "line")
 
 
 def without_repeated(records: DataFrame, repeated: Repeated, source: str = "source", id_: str = "id", attributes: str = "attributes") -> DataFrame:
-    """(id, content, n_removed), one row per distinct (id, content): each content without its source's excessive lines.  No content: null and 0."""
-    gone = repeated.found.groupBy("source", "id").agg(F.collect_set("line_no").alias("gone"))
-    joined = page_texts(records, source, id_, attributes).distinct().join(gone, ["source", "id"], "left")
+    """(id, content, n_removed), one row per distinct (id, content): each content without its source's excessive lines.  No content: null and 0.
+
+    Lines go by what they say, so that of an id with several contents each loses its own excessive lines only.
+    """
+    gone = repeated.found.groupBy("source", "id").agg(F.collect_set("key").alias("gone"))
+    joined = page_texts(records, source, id_, attributes, keyed=True).select("source", "id", "content", "keys").distinct().join(gone, ["source", "id"], "left")
     lines = F.split("content", "\n")
-    none = F.array().cast("array<int>")
-    kept = F.filter(lines, lambda line, i: ~F.array_contains(F.coalesce("gone", none), i + 1))
+    stays = lambda line, i: ~F.coalesce(F.array_contains("gone", F.get("keys", i)), F.lit(False))
+    kept = F.filter(lines, stays)
     return joined.select("id", F.array_join(kept, "\n").alias("content"), F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).alias("n_removed")).distinct()

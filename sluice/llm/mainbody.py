@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import boosting
 from sluice.llm.bodyseeds import seed_labels, visible
-from sluice.llm.lines import content_of, page_lines
+from sluice.llm.lines import content_of, page_lines, version
 from sluice.llm.spam import FUNCTION_WORDS
 from sluice.operators.nested import read_json
 
@@ -435,10 +435,10 @@ def _picked(slim: DataFrame, n: int) -> tuple[list[Page], int]:
 
 
 def main_body(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", sample: int = SAMPLE_PAGES) -> DataFrame:
-    """(id, line_no) of the lines of each page's main body, distinct.
+    """(id, version, line_no) of the lines of each page's main body, distinct.
 
     Null, invalid and empty records have none, nor have pages that only list other articles.  A
-    record repeated under its id gives its lines once.  Other columns are not read.  Trained on at most
+    record repeated under its id gives its lines once; different records of one id differ in `version`.  Other columns are not read.  Trained on at most
     `sample` pages, applied to all, each whole; of fewer than LEAST_PAGES the seed labels are the result.
     """
     slim = records.where(F.col(id_).isNotNull())
@@ -453,14 +453,15 @@ def main_body(records: DataFrame, id_: str = "id", source: str = "source", attri
                 at = [i for i, p in enumerate(read) if p is not None]
                 page, number = body_lines(model.value, [read[i] for i in at]) if at else (np.empty(0, np.int64),) * 2
                 rows = pa.array(np.array(at, np.int32)[page] if at else [], pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), pa.array(number.astype(np.int32))], ["id", "line_no"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(3).take(rows), pa.array(number.astype(np.int32))], ["id", "version", "line_no"])
 
-    return slim.select(F.col(id_).alias("id"), F.col(attributes).alias("attributes"), F.col(source).alias("source")).mapInArrow(extract, "id string, line_no int").distinct()
+    slim = slim.select(F.col(id_).alias("id"), F.col(attributes).alias("attributes"), F.col(source).alias("source"), version(source, attributes).alias("version"))
+    return slim.mapInArrow(extract, "id string, version long, line_no int").distinct()
 
 
 def body_texts(records: DataFrame, found: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes") -> DataFrame:
-    """(id, body) of each page with a main body: its lines, joined by line feeds, in order."""
-    lines = page_lines(records, source, id_, attributes).select("id", "line_no", "line").join(found, ["id", "line_no"])
-    once = lines.groupBy("id", "line_no").agg(F.min("line").alias("line"))  # repeated records
-    parts = once.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts"))
-    return parts.select("id", F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("body"))
+    """(id, body) of each page with a main body: its lines, joined by line feeds, in order.  An id with several contents has a row for each body."""
+    lines = page_lines(records, source, id_, attributes).select("id", "version", "line_no", "line").join(found, ["id", "version", "line_no"])
+    once = lines.groupBy("id", "version", "line_no").agg(F.min("line").alias("line"))  # repeated records
+    parts = once.groupBy("id", "version").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts"))
+    return parts.select("id", F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("body")).distinct()

@@ -30,7 +30,7 @@ def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of each page that belong to its main body."""
-    return mainbody.main_body(table(spark, folder, "unified_all_cms_content"))
+    return mainbody.main_body(table(spark, folder, "unified_all_cms_content")).select("id", "line_no").distinct()
 
 
 def p5_texts(spark: SparkSession, folder: str) -> DataFrame:

@@ -77,6 +77,15 @@ def test_edges(spark):
     check(spark, [])
 
 
+def test_two_contents_of_one_id(spark):
+    """Each loses its own excessive lines, not what stands at their place in the other."""
+    data = [(f"a{i}", "s", page("Menu", f"text {'abcdefg'[i]}")) for i in range(7)] + [("x", "s", page("Menu", "old")), ("x", "s", page("Genuine", "Also new", "MENU"))]
+    df, got = check(spark, data)
+    cleaned = {(r["content"], r["n_removed"]) for r in lines.without_repeated(df, got).where("id = 'x'").collect()}
+    assert cleaned == {("old", 1), ("Genuine\nAlso new", 1)}
+    assert [r["line"] for r in lines.example_lines(df, got).collect()] == ["MENU"]
+
+
 def test_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(lines, "KEYS", 0)
     monkeypatch.setattr(lines, "BITMAPS", 0)

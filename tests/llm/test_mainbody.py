@@ -83,6 +83,14 @@ def test_sample_among_records_without_content(spark):
     assert len(mainbody.sample_pages(df, 50, "id", "source", "attributes")) == 50
 
 
+def test_two_contents_of_one_id(spark):
+    pages = [make(k) for k in (1, 2)]
+    df = spark.createDataFrame([("x", "W/Site", a) for a, _ in pages] * 2, "id string, source string, attributes string")
+    bodies = {r["body"] for r in mainbody.body_texts(df, mainbody.main_body(df)).collect()}
+    content = [json.loads(a)["content"].split("\n") for a, _ in pages]
+    assert bodies == {"\n".join(c[k - 1] for k in sorted(kept)) for c, (_, kept) in zip(content, pages, strict=True)}
+
+
 def test_decoding_is_best_and_consistent():
     rng = np.random.default_rng(1)
     for _ in range(40):
