@@ -9,7 +9,10 @@ tables is the schema path, the path without positions.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from json.decoder import scanstring
+from json.scanner import NUMBER_RE
 from typing import Any
 
 import pyarrow as pa
@@ -28,14 +31,74 @@ def _reject(name: str) -> Any:
     raise ValueError(f"{name} is not JSON")
 
 
+_WHITE = re.compile(r"[ \t\n\r]*")
+_CONSTANTS = {"t": ("true", True), "f": ("false", False), "n": ("null", None)}
+
+
 def read_json(text: str | None) -> Any:
-    """The value of JSON text; ValueError for anything else, for NaN and for nesting the parser can't hold."""
+    """The value of JSON text, however deep; ValueError for anything else and for NaN."""
     if text is None:
         raise ValueError("null")
     try:
         return json.loads(text, parse_constant=_reject)
-    except RecursionError as deep:
-        raise ValueError("nested too deeply") from deep
+    except RecursionError:
+        return read_deep(text)
+
+
+def read_deep(text: str) -> Any:
+    """As `json.loads`, with a stack of its own: for nesting that the parser can't hold."""
+    skip = lambda i: _WHITE.match(text, i).end()
+    open_: list[Any] = []
+    keys: list[str] = []  # of each open object
+
+    def key(i: int) -> int:
+        if text[i : i + 1] != '"':
+            raise ValueError(f"no key at {i}")
+        name, i = scanstring(text, i + 1, True)
+        i = skip(i)
+        if text[i : i + 1] != ":":
+            raise ValueError(f"no colon at {i}")
+        keys.append(name)
+        return skip(i + 1)
+
+    i = skip(0)
+    while True:
+        first = text[i : i + 1]
+        if first == '"':
+            value, i = scanstring(text, i + 1, True)
+        elif first in ("{", "["):
+            value, i = {} if first == "{" else [], skip(i + 1)
+            if text[i : i + 1] != ("}" if first == "{" else "]"):
+                open_.append(value)
+                i = key(i) if first == "{" else i
+                continue
+            i += 1
+        elif first in _CONSTANTS and text.startswith(_CONSTANTS[first][0], i):
+            name, value = _CONSTANTS[first]
+            i += len(name)
+        elif number := NUMBER_RE.match(text, i):
+            whole, fraction, exponent = number.groups()
+            value, i = float(number[0]) if fraction or exponent else int(whole), number.end()
+        else:
+            raise ValueError(f"no value at {i}")
+        while True:
+            i = skip(i)
+            if not open_:
+                if i < len(text):
+                    raise ValueError(f"more text at {i}")
+                return value
+            top, mark = open_[-1], text[i : i + 1]
+            if isinstance(top, dict):
+                top[keys.pop()] = value
+            else:
+                top.append(value)
+            if mark == ",":
+                i = skip(i + 1)
+                i = key(i) if isinstance(top, dict) else i
+                break
+            if mark != ("}" if isinstance(top, dict) else "]"):
+                raise ValueError(f"not closed at {i}")
+            value, i = open_.pop(), i + 1
 
 
 def sound(text: str) -> str:
@@ -68,12 +131,12 @@ def element_objects(text: str | None) -> Iterator[tuple[list[str], str, list[int
         top = unwrap(read_json(text))
     except ValueError:
         return
-    stack: list[tuple[Any, list[str], str, list[int]]] = [(top, [], "", [])]
+    stack: list[tuple[Any, tuple | None]] = [(top, None)]  # values, and (parent's place, step, kind, ordinal)
     while stack:
-        value, steps, kinds, label = stack.pop()
+        value, place = stack.pop()
         if isinstance(value, dict):
-            if kinds.endswith("o"):
-                yield steps, kinds, label, value
+            if place and place[2] == "o":
+                yield _labels(place) + (value,)
             below = [(sound(key), "k", x) for key, x in value.items()]
         elif isinstance(value, list):
             below = [(str(i), "", x) for i, x in enumerate(value)]
@@ -82,7 +145,17 @@ def element_objects(text: str | None) -> Iterator[tuple[list[str], str, list[int
         for i, (step, kind, x) in enumerate(below):
             x = unwrap(x)
             if isinstance(x, (dict, list)):
-                stack.append((x, [*steps, step], kinds + (kind or ("o" if isinstance(x, dict) else "a")), [*label, i]))
+                stack.append((x, (place, step, kind or ("o" if isinstance(x, dict) else "a"), i)))
+
+
+def _labels(place: tuple | None) -> tuple[list[str], str, list[int]]:
+    steps, kinds, label = [], [], []
+    while place:
+        place, step, kind, i = place
+        steps.append(step)
+        kinds.append(kind)
+        label.append(i)
+    return steps[::-1], "".join(kinds[::-1]), label[::-1]
 
 
 def _scalars(value: dict) -> str:
@@ -106,14 +179,16 @@ def element_nodes(records: DataFrame, key: list[str], fields: list[str], rows: b
             texts = [batch.column(len(key) + i).to_pylist() for i in range(len(fields))]
             at: list[int] = []
             out: list[dict] = []
+            cells = 0
             for row in range(batch.num_rows):
                 for field, column in zip(fields, texts, strict=True):
                     for steps, kinds, label, value in element_objects(column[row]):
                         at.append(row)
                         out.append({"field": field, "steps": steps, "kinds": kinds, "label": label, "scalars": _scalars(value) if rows else None})
-                if len(at) >= 20_000:  # one record may hold very long arrays
-                    yield _batch(batch, key, at, out)
-                    at, out = [], []
+                        cells += len(label)
+                        if len(at) >= 20_000 or cells >= 1_000_000:  # one record may hold very long or deep arrays
+                            yield _batch(batch, key, at, out)
+                            at, out, cells = [], [], 0
             if at:
                 yield _batch(batch, key, at, out)
 
