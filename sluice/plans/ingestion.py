@@ -81,6 +81,12 @@ def normalise_text(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", F.md5(text.normalise(F.col("text"), entities=False)).alias("normal_md5"))
 
 
+@query()
+def normalise_text_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with normal spacing and punctuation, entities resolved, as hashes.  No SQL: DuckDB has no decoder."""
+    return table(spark, folder, "documents").select("doc_id", F.md5(text.normalise(F.col("text"))).alias("normal_md5"))
+
+
 @query(f"""SELECT doc_id, CAST(n AS BIGINT) AS words, CAST(greatest(1, round_even(n / 200.0, 0)) AS BIGINT) AS minutes
  FROM (SELECT doc_id, len({_words("coalesce(text, '')")}) AS n FROM documents)""")
 def word_count_reading_time(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,6 +114,12 @@ def title_clean(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, CONTENT).select("id", text.clean_title(F.col("title"), entities=False).alias("title")).distinct()
 
 
+@query()
+def title_clean_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles with entities resolved, without what then follows their last dash.  No SQL: DuckDB has no decoder."""
+    return table(spark, folder, CONTENT).select("id", text.clean_title(F.col("title")).alias("title")).distinct()
+
+
 _STOP = "[" + ", ".join(f"'{w}'" for w in text.STOPWORDS) + "]"
 
 

@@ -1,6 +1,9 @@
 """Queries of the whole operators, without SQL, against brute force."""
 
 import datetime as dt
+import hashlib
+import html
+import re
 
 from sluice.plans import registry
 
@@ -18,3 +21,23 @@ def test_iso_instants(spark, tmp_path):
     got = [tuple(r) for r in registry.QUERIES["iso_instants"](spark, str(tmp_path)).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
     assert "iso_instants" not in registry.SQL
+
+
+TEXTS = ["Caf&eacute; &amp; bar", "AT&amp;amp;T", "a&nbsp;&nbsp;b &hellip; c.....d", "&#8211; x ------ y", "&lt;p&gt; 1 &lt; 2 &unknown; &amp", " no  entity\u200b here \n", "Zero&#8203;width", "Mill &ndash; Site", "Mill &#124; Site", "Mill - Part &mdash; Site", "", None]
+
+
+def test_normalise_text_entities(spark, tmp_path):
+    spark.createDataFrame([(f"d{n}", x) for n, x in enumerate(TEXTS)], "doc_id string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected = {}
+    for n, x in enumerate(TEXTS):
+        plain = re.sub("[\u200b\u200c\u200d\ufeff]", "", re.sub(r"\s+", " ", html.unescape(x or "")))
+        expected[f"d{n}"] = hashlib.md5(re.sub("-{3,}", "---", re.sub(r"[.]{3,}", "...", plain)).strip(" ").encode()).hexdigest()
+    assert dict(map(tuple, registry.QUERIES["normalise_text_entities"](spark, str(tmp_path)).collect())) == expected
+
+
+def test_title_clean_entities(spark, tmp_path):
+    rows = [(f"i{n}", x) for n, x in enumerate(TEXTS)]
+    spark.createDataFrame(rows * 2, "id string, title string").write.parquet(str(tmp_path / "unified_all_cms_content.parquet"))
+    expected = sorted((i, " ".join(re.sub(r"\s*[-|–—]\s*[^-|–—]+$", "", html.unescape(x or "")).split())) for i, x in rows)
+    got = sorted(tuple(r) for r in registry.QUERIES["title_clean_entities"](spark, str(tmp_path)).collect())
+    assert got == expected and ("i7", "Mill") in got and ("i8", "Mill") in got
