@@ -15,3 +15,9 @@ def test_verbs(spark, capsys, tmp_path):
     assert "new_estimate" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         cli.main(["query", "no such query", "--folder", FOLDER])
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+def test_corpus_queries(spark, tmp_path):
+    assert cli.main(["query", "p8_found", "--folder", FOLDER, "--out", f"{tmp_path}/out"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/out").columns == ["doc_id"]
