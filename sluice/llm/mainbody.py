@@ -7,11 +7,18 @@ the same features: density and size of its subtree, the weights of its tokens,
 depth, statistics of its siblings and parent, its place.  One model scores all
 nodes.  A node is kept or pruned as a whole tree says best: nothing below a
 pruned node is kept, and a kept node keeps something.
+
+The trees learn from `pageviews`, which labels a bounded sample of pages by
+what the pages of a site have in common, whatever the language.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import pickle
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
@@ -20,24 +27,23 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import boosting
-from sluice.llm.bodyseeds import seed_labels, visible
-from sluice.llm.lines import content_of, page_lines, version
-from sluice.llm.spam import FUNCTION_WORDS
-from sluice.operators.nested import read_json
+from sluice.llm.lines import content_of, version
+from sluice.llm.pageviews import Page, Views, learn_labels, seed_labels, visible
+from sluice.operators.nested import read_json, sound
 
-#: Pages on which the tokens' weights and the trees are trained: a bounded sample, taken by a hash of the id.
-SAMPLE_PAGES = 3000
+#: Pages on which the tokens' weights and the trees are trained: a bounded sample, in like parts from so many sites at most, by a hash of the id.
+SAMPLE_PAGES, SAMPLE_SITES = 3000, 100
 #: Longer records are trained on only where shorter ones are fewer than that, and while the sample has at most so many
 #: characters in all.  They are extracted like all others.
 SAMPLE_CHARS, SAMPLE_TOTAL = 50_000, 30_000_000
 #: Fewer pages are not trained on: their seed labels are the result.  (Trained on 80 pages, 96 % of held-out lines are right, on 10, 80 %.)
 LEAST_PAGES = 100
-#: Tokens with weights of their own; pairs of tokens share so many weights.
-TOKENS, PAIRS = 20_000, 1 << 17
+#: Tokens with weights of their own; pairs of tokens share so many weights; the most frequent words are taken for function words.
+TOKENS, PAIRS, FREQUENT = 20_000, 1 << 17, 100
 
 _TOKEN = re.compile(r"\w+|[^\w\s]|\n")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -45,13 +51,6 @@ _SENTENCE_ENDS = frozenset(".!?…”\"»“)")
 _BULLETS = frozenset("•-–*")
 
 
-class Page(NamedTuple):
-    content: str
-    title: str
-    site: str
-    address: str
-
-
 class Weights(NamedTuple):
     """Log-odds learned from the sample. `tokens`: number of each known token; `single`, `pair`: of being main body;
     `single_end`, `pair_end`: of nothing of the body following; `line_keys`, `line_odds`: of whole lines; `address`: of path segments."""
@@ -67,8 +66,11 @@ class Weights(NamedTuple):
 
 
 class Model(NamedTuple):
-    weights: Weights
-    trees: boosting.Trees
+    """`weights` and `trees` are None if the sample was too small for them: then the seed labels are the result."""
+
+    views: Views
+    weights: Weights | None
+    trees: boosting.Trees | None
 
 
 class Lines(NamedTuple):
@@ -81,7 +83,7 @@ class Lines(NamedTuple):
     key: np.ndarray
     owner: np.ndarray  # of each token its line
     token: np.ndarray  # of each token its number among the known, 0 for others
-    flags: np.ndarray  # of each token: 1 word, 2 capital, 4 digits, 8 function word, 16 site name
+    flags: np.ndarray  # of each token: 1 word, 2 capital, 4 digits, 8 frequent word, 16 site name
     is_title: np.ndarray
     ends: np.ndarray
     bullet: np.ndarray
@@ -93,7 +95,7 @@ def page_of(attributes: str | None, source: str | None) -> Page | None:
         return None
     record = read_json(attributes)
     text = lambda k: record.get(k) if isinstance(record.get(k), str) else ""
-    return Page(record["content"], text("title"), (source or "").rsplit("/", 1)[-1].lower(), text("original_url"))
+    return Page(record["content"], text("title"), (source or "").rsplit("/", 1)[-1].lower(), text("original_url"), text("author"))
 
 
 def segment(address: str) -> str:
@@ -121,7 +123,7 @@ def read_lines(pages: list[Page], known: dict[str, int]) -> Lines:
     number = np.array([known.get("0" if t.isdigit() else t, 0) for t in lower], np.int64)
     digest = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in lower], np.uint64)
     word = np.array([t[0].isalnum() or t[0] == "_" for t in names])
-    flags = word + 2 * np.array([t[0].isupper() for t in names]) + 4 * np.array([t.isdigit() for t in names]) + 8 * np.array([t in FUNCTION_WORDS for t in lower])
+    flags = word + 2 * np.array([t[0].isupper() for t in names]) + 4 * np.array([t.isdigit() for t in names]) + 8 * (word & (number > 0) & (number <= FREQUENT))
     end_mark = np.array([t in _SENTENCE_ENDS for t in names])
     bullet = np.array([t in _BULLETS for t in names])
 
@@ -218,7 +220,8 @@ def _line_table(lines: Lines, w: Weights) -> tuple[np.ndarray, np.ndarray, np.nd
     first[lines.owner[firsts]] = double[firsts]
     lasts = np.flatnonzero(np.diff(lines.owner, append=-1))
     last[lines.owner[lasts]] = single[lasts]
-    extra = np.stack([s_low, s_high, p_low, p_high, site, lines.is_title, lines.ends, first, last], 1)
+    share = _sums(lines.owner, lines.token > 0, n) / tokens
+    extra = np.stack([s_low, s_high, p_low, p_high, site, lines.is_title, lines.ends, first, last, known, share], 1)
     ended = (_sums(lines.owner, w.single_end[lines.token], n) + _sums(owner, w.pair_end[pair], n)) / np.sqrt(tokens)
     return sums, extra, ended
 
@@ -351,37 +354,64 @@ def _log_odds(yes: np.ndarray, no: np.ndarray, smooth: float = 1.0) -> np.ndarra
     return np.clip(np.log((yes + smooth * share / (1 + share)) / (no + smooth / (1 + share))) - np.log(share), -5, 5)
 
 
-def train(pages: list[Page], seed: int = 0) -> Model:
-    """Token weights from one half of the pages, trees from the other, both against the seed labels."""
-    labels = [seed_labels(p.content, p.title, p.site) for p in pages]
-    half = [pages[0::2], pages[1::2]]
-    half_labels = [np.array([x for y in labels[k::2] for x in y if x is not None], bool) for k in (0, 1)]
-    counts = Counter(t for p in half[0] for t in ("0" if t.isdigit() else t for t in _TOKEN.findall(visible(p.content).lower())) if t != "\n")
+def learn_weights(pages: list[Page], labels: list[list[bool | None]]) -> Weights:
+    """Token weights of labelled pages."""
+    body = np.array([x for y in labels for x in y if x is not None], bool)
+    counts = Counter(t for p in pages for t in ("0" if t.isdigit() else t for t in _TOKEN.findall(visible(p.content).lower())) if t != "\n")
     known = {t: i + 1 for i, (t, n) in enumerate(counts.most_common(TOKENS)) if n > 2}
-    lines = read_lines(half[0], known)
-    body = _aligned(half_labels[0], lines)
-    after = _running(len(half[0]) - 1 - lines.page[::-1], body[::-1].astype(float))[::-1] == 0
+    lines = read_lines(pages, known)
+    body = _aligned(body, lines)
+    after = _running(len(pages) - 1 - lines.page[::-1], body[::-1].astype(float))[::-1] == 0
     pair, owner = _pairs(lines)
     odds = []
     for label, use in ((body, np.ones(len(body), bool)), (after, ~body)):
         for number, token_owner, size in ((lines.token, lines.owner, len(known) + 1), (pair, owner, PAIRS)):
-            once = np.unique(np.stack([token_owner, number], 1), axis=0)
-            once = once[use[once[:, 0]]]
-            yes = label[once[:, 0]]
-            odds.append(_log_odds(np.bincount(once[yes, 1], minlength=size), np.bincount(once[~yes, 1], minlength=size)))
+            once_owner, once = np.divmod(np.unique(token_owner * size + number), size)
+            used = use[once_owner]
+            once, yes = once[used], label[once_owner[used]]
+            odds.append(_log_odds(np.bincount(once[yes], minlength=size), np.bincount(once[~yes], minlength=size)).astype(np.float32))
+    for single in odds[0], odds[2]:
+        single[0] = 0.0  # an unknown token says nothing
     keys, at = np.unique(lines.key, return_inverse=True)
     yes, no = np.bincount(at, body, len(keys)), np.bincount(at, ~body, len(keys))
     often = yes + no > 2
-    listed = np.bincount(lines.page, body, len(half[0])) > 0
-    segments = Counter(segment(p.address) for p in half[0])
-    address = {s: float(np.clip(np.log((sum(listed[i] for i, p in enumerate(half[0]) if segment(p.address) == s) + 0.5) / (sum(not listed[i] for i, p in enumerate(half[0]) if segment(p.address) == s) + 0.5)), -5, 5)) for s, n in segments.items() if n > 1}
-    weights = Weights(known, *(odds[k].astype(np.float32) for k in (0, 1, 2, 3)), keys[often], np.clip(np.log((yes + 0.5) / (no + 0.5)), -5, 5)[often], address)
-    lines = read_lines(half[1], known)
-    tree = tree_of(lines, half[1], weights)
-    label = [_aligned(half_labels[1], lines).astype(float)]
-    for depth in (2, 1, 0):
-        label.insert(0, (np.bincount(tree.parents[depth + 1], label[0], len(tree.features[depth])) > 0).astype(float))
-    return Model(weights, boosting.fit(np.concatenate(tree.features), np.concatenate(label), seed=seed))
+    listed = np.bincount(lines.page, body, len(pages)) > 0
+    segments: dict[str, list[float]] = {}
+    for p, x in zip(pages, listed, strict=True):
+        segments.setdefault(segment(p.address), [0.5, 0.5])[int(not x)] += 1
+    address = {s: float(np.clip(np.log(a / b), -5, 5)) for s, (a, b) in segments.items() if a + b > 2}
+    return Weights(known, *odds, keys[often], np.clip(np.log((yes + 0.5) / (no + 0.5)), -5, 5)[often], address)
+
+
+def train(pages: list[Page], seed: int = 0) -> Model:
+    """Token weights from one half of the pages, trees from the other, both against the seed labels.
+
+    The trees see each page twice: with the weights of all sites, and with those of sites other than its own, so
+    that they also learn to judge pages whose furniture is unknown.
+    """
+    views, labels = learn_labels(pages)
+    if len(pages) < LEAST_PAGES:
+        return Model(views, None, None)
+    weights = learn_weights(pages[0::2], labels[0::2])
+    group = np.array([xxhash.xxh3_64_intdigest(p.site.encode()) % 2 for p in pages])
+    ways = [(weights, list(range(1, len(pages), 2)))]
+    for g in (0, 1):
+        known, fresh = np.flatnonzero(group[0::2] != g) * 2, np.flatnonzero(group[1::2] == g) * 2 + 1
+        if len(known) and len(fresh):
+            ways.append((learn_weights([pages[i] for i in known], [labels[i] for i in known]), fresh.tolist()))
+        elif len(fresh):  # sites of one group only: as if nothing were known
+            ways.append((Weights({}, *(np.zeros(n, np.float32) for n in (1, PAIRS, 1, PAIRS)), np.empty(0, np.uint64), np.empty(0), {}), fresh.tolist()))
+    features, targets = [], []
+    for weighted, at in ways:
+        some = [pages[i] for i in at]
+        lines = read_lines(some, weighted.tokens)
+        tree = tree_of(lines, some, weighted)
+        label = [_aligned(np.array([x for i in at for x in labels[i] if x is not None], bool), lines).astype(float)]
+        for depth in (2, 1, 0):
+            label.insert(0, (np.bincount(tree.parents[depth + 1], label[0], len(tree.features[depth])) > 0).astype(float))
+        features += tree.features
+        targets += label
+    return Model(views, weights, boosting.fit(np.concatenate(features), np.concatenate(targets), seed=seed))
 
 
 def _aligned(labels: np.ndarray, lines: Lines) -> np.ndarray:
@@ -391,10 +421,10 @@ def _aligned(labels: np.ndarray, lines: Lines) -> np.ndarray:
     return labels
 
 
-def body_lines(model: Model | None, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
-    """(page, line number) of the main body's lines, over a list of pages; by the seed labels if there is no model."""
-    if model is None:
-        seeds = [(i, k) for i, p in enumerate(pages) for k, keep in enumerate(seed_labels(p.content, p.title, p.site), 1) if keep]
+def body_lines(model: Model, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
+    """(page, line number) of the main body's lines, over a list of pages; by the seed labels if the model has no trees."""
+    if model.trees is None:
+        seeds = [(i, k) for i, p in enumerate(pages) for k, keep in enumerate(seed_labels(p, model.views), 1) if keep]
         page, number = np.array(seeds, np.int64).reshape(-1, 2).T
         return page, number
     lines = read_lines(pages, model.weights.tokens)
@@ -408,42 +438,74 @@ def body_lines(model: Model | None, pages: list[Page]) -> tuple[np.ndarray, np.n
 
 
 def sample_pages(records: DataFrame, n: int, id_: str, source: str, attributes: str) -> list[Page]:
-    """Up to n pages with content, the same for the same records: those with the least hashes of their ids, long ones last."""
-    slim = records.select(F.col(id_).alias("__id"), F.col(source).alias("source"), F.col(attributes).alias("attributes")).where("__id IS NOT NULL AND attributes IS NOT NULL")
-    pages, picked = _picked(slim, n)
-    if 2 * len(pages) < picked:  # most have no content: pick again, among those that have
-
-        def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array([content_of(a) is not None for a in batch.column(2).to_pylist()], pa.bool_()))
-
-        pages, _ = _picked(slim.mapInArrow(filled, slim.schema), n)
-    return pages
+    """Up to n pages with content, the same for the same records: like parts of up to SAMPLE_SITES sites, large enough ones first.
 
+    Two passes: one counts the rows of each source, the other reads what passes a threshold on the ids' hashes.  Where
+    many rows have no content, the second is run again with a higher threshold.
+    """
+    slim = records.select(F.col(id_).alias("__id"), F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(attributes).alias("attributes")).where("__id IS NOT NULL AND attributes IS NOT NULL")
+    sizes = slim.groupBy("source").agg(F.count("*").alias("n"))
+    part = n // SAMPLE_SITES
+    sites = sizes.orderBy(F.col("n") < part, F.xxhash64("source"), "source").limit(SAMPLE_SITES).collect()
+    # Shares of the sample: small sites give all they have, the others divide the rest.
+    left, quota = n, {}
+    for i, (site, rows) in enumerate(sorted(sites, key=lambda r: r[1])):
+        quota[site] = min(rows, left // (len(sites) - i))
+        left -= quota[site]
+    more = 1.0
+    while True:
+        shares = {site: min(1.0, more * quota[site] / rows) for site, rows in sites}
+        pages = _picked(slim, n, shares)
+        if len(pages) >= 0.8 * n or all(x == 1.0 for x in shares.values()):
+            return pages
+        more *= min(10.0, max(2.0, 1.1 * n / max(1, len(pages))))
+
+
+def _picked(slim: DataFrame, n: int, shares: dict[str, float]) -> list[Page]:
+    """The pages whose id's hash is below their site's share, n at most; of each id the shortest record."""
+    if not shares:
+        return []
+    spark = slim.sparkSession
+    limits = spark.createDataFrame([(s, int(x * (1 << 32))) for s, x in shares.items()], "source string, __limit long")  # SAMPLE_SITES rows
+    some = slim.join(F.broadcast(limits), "source").where(F.pmod(F.xxhash64("__id"), F.lit(1 << 32)) < F.col("__limit")).select("__id", "source", "attributes")
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([content_of(a) is not None for a in batch.column(2).to_pylist()], pa.bool_()))
 
-def _picked(slim: DataFrame, n: int) -> tuple[list[Page], int]:
-    """Those of n records that have content, and how many were picked; of each id the shortest record."""
+    some = some.mapInArrow(filled, some.schema).withColumn("__chars", F.length("attributes"))
+    once = some.groupBy("__id").agg(F.min(F.struct("__chars", "attributes", "source")).alias("r")).select("__id", "r.*")
     order = [F.col("__chars") > SAMPLE_CHARS, F.xxhash64("__id"), F.col("__id")]
-    ids = slim.groupBy("__id").agg(F.min(F.length("attributes")).alias("__chars")).orderBy(*order).limit(n)
     total = F.sum("__chars").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ids = ids.withColumn("__total", total).where((F.col("__chars") <= SAMPLE_CHARS) | (F.col("__total") <= SAMPLE_TOTAL))
-    # Longer records of an id are left out before they are compared.
-    same = slim.join(F.broadcast(ids.select("__id", "__chars")), "__id").where(F.length("attributes") == F.col("__chars"))
-    rows = same.groupBy("__id").agg(F.min(F.struct("attributes", "source")).alias("r")).orderBy("__id").select("r").collect()
-    found = [page_of(r[0][0], r[0][1]) for r in rows]
-    return [p for p in found if p is not None], len(rows)
+    few = once.orderBy(*order).limit(n).withColumn("__total", total).withColumn("__rank", F.row_number().over(Window.orderBy(*order)))
+    few = few.where((F.col("__total") <= SAMPLE_TOTAL) | (F.col("__rank") == 1))
+    return [page_of(a, s) for s, a in few.select("source", "attributes").collect()]
 
 
-def main_body(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", sample: int = SAMPLE_PAGES) -> DataFrame:
-    """(id, version, line_no) of the lines of each page's main body, distinct.
+def fit(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", sample: int = SAMPLE_PAGES) -> Model:
+    """A model trained on at most `sample` pages of the records.  Fit once; `save` and `load` it."""
+    return train(sample_pages(records, sample, id_, source, attributes))
 
-    Null, invalid and empty records have none, nor have pages that only list other articles.  A
-    record repeated under its id gives its lines once; different records of one id differ in `version`.  Other columns are not read.  Trained on at most
-    `sample` pages, applied to all, each whole; of fewer than LEAST_PAGES the seed labels are the result.
-    """
+
+def signature() -> str:
+    """Changes with the code and the parameters that make a model."""
+    return hashlib.md5("".join(inspect.getsource(sys.modules[m.__module__]) for m in (Model, Views, boosting.Trees)).encode()).hexdigest()
+
+
+def save(model: Model, spark: SparkSession, path: str) -> None:
+    """Writes the model to a folder that executors need not see."""
+    spark.createDataFrame([(bytearray(pickle.dumps(model)),)], "model binary").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    """A model written by `save`; load only what you wrote yourself."""
+    return pickle.loads(bytes(spark.read.parquet(path).head()[0]))
+
+
+def _extracted(records: DataFrame, model: Model | None, id_: str, source: str, attributes: str, texts: bool) -> DataFrame:
+    """(id, version) and either line_no or body, straight from the scan."""
     slim = records.where(F.col(id_).isNotNull())
-    pages = sample_pages(slim, sample, id_, source, attributes)
-    model = records.sparkSession.sparkContext.broadcast(train(pages) if len(pages) >= LEAST_PAGES else None)
+    shared = records.sparkSession.sparkContext.broadcast(model or fit(slim, id_, source, attributes))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -451,17 +513,32 @@ def main_body(records: DataFrame, id_: str = "id", source: str = "source", attri
                 part = batch.slice(start, 400)
                 read = [page_of(a, s) for a, s in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
                 at = [i for i, p in enumerate(read) if p is not None]
-                page, number = body_lines(model.value, [read[i] for i in at]) if at else (np.empty(0, np.int64),) * 2
-                rows = pa.array(np.array(at, np.int32)[page] if at else [], pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(3).take(rows), pa.array(number.astype(np.int32))], ["id", "version", "line_no"])
+                page, number = body_lines(shared.value, [read[i] for i in at]) if at else (np.empty(0, np.int64),) * 2
+                rows = np.array(at, np.int32)[page] if at else np.empty(0, np.int32)
+                if texts:
+                    of = np.unique(rows)
+                    split = {i: read[i].content.split("\n") for i in of.tolist()}
+                    bodies = [sound("\n".join(split[i][k - 1] for k in number[a:b].tolist())) for i, a, b in zip(of.tolist(), np.searchsorted(rows, of), np.searchsorted(rows, of, "right"), strict=True)]
+                    rows, last, name = of, pa.array(bodies, pa.string()), "body"
+                else:
+                    last, name = pa.array(number.astype(np.int32)), "line_no"
+                rows = pa.array(rows, pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(3).take(rows), last], ["id", "version", name])
 
     slim = slim.select(F.col(id_).alias("id"), F.col(attributes).alias("attributes"), F.col(source).alias("source"), version(source, attributes).alias("version"))
-    return slim.mapInArrow(extract, "id string, version long, line_no int").distinct()
+    return slim.mapInArrow(extract, f"id string, version long, {'body string' if texts else 'line_no int'}")
+
+
+def main_body(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", model: Model | None = None) -> DataFrame:
+    """(id, version, line_no) of the lines of each page's main body, distinct.
+
+    Null, invalid and empty records have none, nor have pages that only list other articles.  A
+    record repeated under its id gives its lines once; different records of one id differ in `version`.  Other columns are not read.  Without a `model`
+    one is fitted; it is applied to all records, each whole.
+    """
+    return _extracted(records, model, id_, source, attributes, texts=False).distinct()
 
 
-def body_texts(records: DataFrame, found: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes") -> DataFrame:
-    """(id, body) of each page with a main body: its lines, joined by line feeds, in order.  An id with several contents has a row for each body."""
-    lines = page_lines(records, source, id_, attributes).select("id", "version", "line_no", "line").join(found, ["id", "version", "line_no"])
-    once = lines.groupBy("id", "version", "line_no").agg(F.min("line").alias("line"))  # repeated records
-    parts = once.groupBy("id", "version").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts"))
-    return parts.select("id", F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("body")).distinct()
+def body_texts(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", model: Model | None = None) -> DataFrame:
+    """(id, body) of each page with a main body: its lines, joined by line feeds, in order, distinct.  An id with several contents has a row for each body."""
+    return _extracted(records, model, id_, source, attributes, texts=True).select("id", "body").distinct()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import leakage, lines, mainbody, mixture, spam
-from sluice.session import table
+from sluice.session import shared_dir, table
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,15 +30,29 @@ def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_repeated(pages, lines.repeated_lines(pages))
 
 
+def _body_model(spark: SparkSession, folder: str) -> mainbody.Model:
+    """The model of a folder's pages: fitted once, kept in the shared folder under the table's path, size and time of change, and the code's state."""
+    name = "unified_all_cms_content"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    state = f"{path} {files.getContentSummary(path).getLength()} {files.getFileStatus(path).getModificationTime()} {mainbody.signature()}"
+    kept = f"{shared_dir(spark)}/main-body-model-{hashlib.md5(state.encode()).hexdigest()}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(kept + "/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        mainbody.save(mainbody.fit(table(spark, folder, name)), spark, kept)
+    return mainbody.load(spark, kept)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of each page that belong to its main body."""
-    return mainbody.main_body(table(spark, folder, "unified_all_cms_content")).select("id", "line_no").distinct()
+    pages = table(spark, folder, "unified_all_cms_content")
+    return mainbody.main_body(pages, model=_body_model(spark, folder)).select("id", "line_no").distinct()
 
 
 def p5_texts(spark: SparkSession, folder: str) -> DataFrame:
     """The main body of each page as text."""
     pages = table(spark, folder, "unified_all_cms_content")
-    return mainbody.body_texts(pages, mainbody.main_body(pages))
+    return mainbody.body_texts(pages, model=_body_model(spark, folder))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.llm import boosting, mainbody
-from sluice.llm.bodyseeds import seed_labels
+from sluice.llm.pageviews import Page, learn_labels, learn_views, seed_labels
 
 SENTENCES = ["The board of {x} closed its theatre after a long review.", "Few people in {x} had expected the news.", "Investors led by {x} put 3 million into the old mill.", "Neither {x} nor the mayor would comment on the plan."]
 TABLES = os.environ.get("SLUICE_TEST_TABLES", "/root/testdata/sf0.001")
@@ -42,7 +42,7 @@ def test_table(spark):
     mine = {x for x in got if x[0].startswith("i")}
     assert len(got) == len(set(got)) and len(mine & expected) > 0.97 * max(len(mine), len(expected))
     assert not {i for i, _ in got} & {"null", "cut", "empty", "blank", None}
-    assert mainbody.body_texts(df, found).count() == len({i for i, _ in got})
+    assert mainbody.body_texts(df).count() == len({i for i, _ in got})
 
 
 def test_empty(spark):
@@ -55,12 +55,12 @@ def found_in(spark, rows, **options):
 
 
 def test_few_pages(spark):
-    """One page, and a few, have their bodies too."""
+    """A few pages have their bodies too.  One or two have nothing in common to tell furniture by: all of the body is found, and some furniture."""
     for n in (1, 2, 12):
         pages = [make(k) for k in range(n)]
         expected = {(f"i{k}", x) for k, (_, kept) in enumerate(pages) for x in kept}
         got = found_in(spark, [(f"i{k}", "W/Site", a) for k, (a, _) in enumerate(pages)])
-        assert len(got & expected) > 0.95 * max(len(got), len(expected))
+        assert len(got & expected) > 0.95 * len(expected) and (n < 3 or len(got & expected) > 0.95 * len(got))
 
 
 def test_long_pages_only(spark, monkeypatch):
@@ -85,8 +85,9 @@ def test_sample_among_records_without_content(spark):
 
 def test_two_contents_of_one_id(spark):
     pages = [make(k) for k in (1, 2)]
+    model = mainbody.train([mainbody.page_of(make(k)[0], "W/Site") for k in range(120)])
     df = spark.createDataFrame([("x", "W/Site", a) for a, _ in pages] * 2, "id string, source string, attributes string")
-    bodies = {r["body"] for r in mainbody.body_texts(df, mainbody.main_body(df)).collect()}
+    bodies = {r["body"] for r in mainbody.body_texts(df, model=model).collect()}
     content = [json.loads(a)["content"].split("\n") for a, _ in pages]
     assert bodies == {"\n".join(c[k - 1] for k in sorted(kept)) for c, (_, kept) in zip(content, pages, strict=True)}
 
@@ -135,10 +136,77 @@ def test_boosting_learns():
 
 
 def test_seed_labels():
-    content = "Home\nThe title\nPosted by A B | 1.2.2024\nRisks\nA long sentence that says something here.\n- a list item\n\nPopular this week\nThe teaser that won\nSign up for our letter\n\nAnother long sentence that says something here.\nTags: a, b\nA teaser at the end of it all."
-    assert seed_labels(content, "The title", "site") == [False, True, False, True, True, True, None, False, False, False, None, True, False, False]
-    listing = "News\nThe teaser that won\nA long sentence that says something here.\nRead more"
-    assert not any(seed_labels(listing, "News", "site"))
+    """Furniture is what the pages of a site repeat; what it is made of doesn't matter."""
+    make_page = lambda k: Page(f"Xa\nXb\nThe title {'abcdefgh'[k]}\nXby A B | 1.2.202{k}{chr(10) + 'Risk' + 'abcdefgh'[k] if k % 2 else ''}\nA long sentence that says something{'abcdefgh'[k]} here.\n- {'abcdefgh'[k]} list item\n\nXbox\n{'abcdefgh'[k]} teaser that won\nXletter\n\nAnother long sentence that says something{'abcdefgh'[k]} here.\nXtags: a{'abcdefgh'[k]}, b\n{'abcdefgh'[k]} teaser at the end of it all.", f"The title {'abcdefgh'[k]}", "site", "", "A B")
+    views, labels = learn_labels([make_page(k) for k in range(8)])
+    expected = [False, False, True, False, True, True, True, None, False, False, False, None, True, False, False]
+    assert labels == [expected[:4] + expected[5:], expected] * 4
+    assert views.lines["site"]["xbox"] == "box" and views.heads["site"]["xtags"] == "tail"
+    listing = Page("News\nThe teaser that won\nA long sentence that says […]\nMore", "Other", "site", "")
+    assert not any(seed_labels(listing, views))
+    assert seed_labels(Page("", "", "unknown", ""), learn_views([])) == [None]
+
+
+def translated(n, words, sentences, site):
+    """A page as `make` has it, in other words: furniture from `words`, prose from `sentences`."""
+    rng = random.Random(n)
+    name = lambda: rng.choice("Arvo Belka Cinta Dorva Elmi".split()) + rng.choice("bria lunda mosca tera vinci".split())
+    menu, cookie, by, share, see, rights, box, more, foot = words
+    title = f"{sentences[0].split()[0]} {name()} {name()} {n}"
+    author = f"{name()} {name()}"
+    lines = [(x, False) for x in menu[: rng.randint(3, 6)]] + [(cookie, False), (title, True), (f"{by} {author}", False), (share, False)]
+    for _ in range(rng.randint(4, 8)):
+        if rng.random() < 0.2:
+            lines.append((f"{name()} {name()} {rng.choice('qwertz')}", True))
+        lines.append((" ".join(rng.choice(sentences).format(x=name(), y=rng.randint(2, 900)) for _ in range(rng.randint(1, 4))), True))
+        if rng.random() < 0.25:
+            lines += [("", False), (f"{see}: {name()} {name()}", False)]
+        if rng.random() < 0.15:
+            lines += [(box, False)] + [(f"{name()} {name()} {name()}", False) for _ in range(3)] + [(menu[0], False)]
+    lines += [(rights, False), (more, False)] + [(f"{name()} {name()} {name()}", False) for _ in range(rng.randint(1, 4))] + [(sentences[0].format(x=name(), y=1), False)] * rng.randint(0, 1) + [(foot, False)]
+    attributes = json.dumps({"content": "\n".join(x for x, _ in lines), "title": title, "author": author, "original_url": f"https://{site}/{n}/"})
+    return attributes, {i for i, (_, keep) in enumerate(lines, 1) if keep}
+
+
+SITES = {
+    "Piazza": (["Accedi", "Chi siamo", "Cronaca", "Economia", "Contatti", "Lavora con noi"], "Usiamo i biscotti per misurare le visite e mostrare annunci.", "Scritto da", "Condividi", "Leggi pure", "Riproduzione riservata, ogni diritto spetta al gruppo editoriale.", "I più letti", "Ti potrebbe interessare", "Torna su"),
+    "Rynek": (["Zaloguj", "O nas", "Kraj", "Sport", "Kontakt", "Praca"], "Ta strona zapisuje pliki na urządzeniu, aby liczyć odwiedziny.", "Autor", "Podaj dalej", "Czytaj także", "Wszelkie prawa należą do wydawcy, kopiowanie tylko za zgodą.", "Najczęściej czytane", "Zobacz również", "Do góry"),
+    "Gazete": (["Giriş", "Hakkımızda", "Gündem", "Spor", "İletişim", "Kariyer"], "Bu site ziyaretleri ölçmek için cihazda veri saklar ve okur.", "Yazan", "Paylaş", "Ayrıca okuyun", "Bu yayının her hakkı saklıdır, izinsiz hiçbir yerde kullanılamaz.", "En çok okunan", "Bunlar da var", "Yukarı çık"),
+}
+PROSE = {
+    "Piazza": ["Il consiglio di {x} ha chiuso il teatro dopo una lunga verifica.", "Pochi a {x} credevano ancora alla notizia nel {y}.", "Secondo {x} il vecchio mulino vale ormai {y} milioni.", "Né {x} né il sindaco hanno voluto commentare il piano."],
+    "Rynek": ["Rada miasta {x} zamknęła teatr po długiej kontroli.", "Niewielu ludzi w {x} wierzyło w tę wiadomość w {y} roku.", "Zdaniem {x} stary młyn jest dziś wart {y} milionów.", "Ani {x}, ani burmistrz nie chcieli mówić o tym planie."],
+    "Gazete": ["{x} belediyesi uzun bir incelemeden sonra tiyatroyu kapattı.", "{x} kentinde çok az kişi bu habere {y} yılında inandı.", "{x} için eski değirmen bugün {y} milyon ediyor.", "Ne {x} ne de başkan bu plan için bir şey söyledi."],
+}
+
+
+def test_other_languages_and_furniture(spark):
+    """Sites in languages and with furniture that nothing in the library names."""
+    pages = {f"{s}{n}": (s, *translated(n * 3 + k, SITES[s], PROSE[s], s)) for k, s in enumerate(SITES) for n in range(90)}
+    got = found_in(spark, [(i, f"W/{s}", a) for i, (s, a, _) in pages.items()])
+    expected = {(i, k) for i, (_, _, kept) in pages.items() for k in kept}
+    for s in SITES:
+        mine, true = ({x for x in y if x[0].startswith(s)} for y in (got, expected))
+        assert len(mine & true) > 0.95 * max(len(mine), len(true)), (s, len(mine), len(true), len(mine & true))
+
+
+def test_unseen_furniture():
+    """A trained model on a site it has not seen, whose furniture it can't know: told by place and form."""
+    known = [mainbody.page_of(translated(n * 2 + k, SITES[s], PROSE[s], s)[0], f"W/{s}") for k, s in enumerate(("Piazza", "Rynek")) for n in range(120)]
+    model = mainbody.train(known)
+    fresh = [translated(1000 + n, SITES["Gazete"], PROSE["Piazza"], "Gazete") for n in range(60)]
+    page, number = mainbody.body_lines(model, [mainbody.page_of(a, "W/Gazete") for a, _ in fresh])
+    got, expected = set(zip(page.tolist(), number.tolist(), strict=True)), {(i, k) for i, (_, kept) in enumerate(fresh) for k in kept}
+    print(len(got), len(expected), len(got & expected))
+    assert len(got & expected) > 0.8 * len(expected) and len(got & expected) > 0.75 * len(got)
+
+
+def test_model_is_kept(spark, tmp_path):
+    model = mainbody.train([mainbody.page_of(make(k)[0], "W/Site") for k in range(120)])
+    mainbody.save(model, spark, f"file://{tmp_path}/model")
+    again = mainbody.load(spark, f"file://{tmp_path}/model")
+    pages = [mainbody.page_of(make(k)[0], "W/Site") for k in range(200, 230)]
+    assert all(np.array_equal(a, b) for a, b in zip(mainbody.body_lines(model, pages), mainbody.body_lines(again, pages), strict=True))
 
 
 def test_lines_of_decoration():
@@ -151,11 +219,10 @@ def test_lines_of_decoration():
         for k, mark in enumerate(marks):
             content.insert((7 * k + n) % len(content), mark)
         pages.append(mainbody.Page("\n".join(content), record["title"], "site", record["original_url"]))
-    for p in pages:
-        labels = seed_labels(p.content, p.title, p.site)
+    for p, labels in zip(pages, learn_labels(pages)[1], strict=True):
         assert [i for i, x in enumerate(labels, 1) if x is not None] == mainbody.read_lines([p], {}).number.tolist()
     assert len(mainbody.body_lines(mainbody.train(pages), pages)[0])
-    assert seed_labels("***\n•\n---\n(12)\n \n", "t", "site") == [False] * 4 + [None] * 2
+    assert seed_labels(Page("***\n•\n---\n(12)\n \n", "t", "site", ""), learn_views([])) == [False] * 4 + [None] * 2
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no tables")
@@ -169,5 +236,5 @@ def test_held_out_accuracy():
     held = pages[1600:]
     page, number = mainbody.body_lines(model, held)
     got = set(zip(page.tolist(), number.tolist(), strict=True))
-    expected = {(i, n) for i, p in enumerate(held) for n, keep in enumerate(seed_labels(p.content, p.title, p.site), 1) if keep}
+    expected = {(i, n) for i, labels in enumerate(learn_labels(pages)[1][1600:]) for n, keep in enumerate(labels, 1) if keep}
     assert len(got & expected) > 0.985 * max(len(got), len(expected))
