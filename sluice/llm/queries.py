@@ -86,7 +86,7 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents made of keywords, links or product tags rather than sentences."""
-    return spam.spam_measures(table(spark, folder, "documents")).where("spam").select(F.col("document").alias("doc_id"))
+    return spam.spam_measures(table(spark, folder, "documents"), spam_only=True).select(F.col("document").alias("doc_id"))
 
 
 def p8_measures(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,9 +3,16 @@
 The automaton of a page's words knows every repeated substring and how often it
 occurs.  From it follow the characters that maximal repeated substrings cover.
 Sentences repeat words too, so coverage counts only where clause structure is
-missing: in a unit (line or sentence) whose function words, if any, are
+missing: in a unit (line or sentence) whose connecting words, if any, are
 themselves parts of repeated phrases.  Links and tags are recognised by form.
 A page is spam if such units make up more than half of its characters.
+
+No word is listed.  A connecting word recurs in a page with ever other
+neighbours, as articles and prepositions do, while a keyword recurs with the
+same few.  Words that connect in many documents of the corpus are taken for
+connecting words wherever they stand; in pages that hold hardly any of them, in
+languages rare in the corpus, the page's own are used.  Scripts without spaces
+are read by characters.
 """
 
 from __future__ import annotations
@@ -15,56 +22,57 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate, compress
+from operator import itemgetter
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.nested import sound
+from sluice.session import materialise
+
 #: A page is spam from this share of its characters, exclusive.
 SHARE = 0.5
 #: A phrase of two words or more is repeated from two occurrences, a single word from so many.
 WORD_REPEATS = 4
 #: A unit without clause structure counts whole from this coverage of its letters.
 COVERAGE = 0.45
-#: A unit has clause structure if so large a share of its words are function words outside of phrases repeated this often.
+#: A unit has clause structure if so large a share of its words are connecting words outside of phrases repeated this often.
 CLAUSE, PHRASE_REPEATS = 0.13, 4
-#: In a phrase at most every third word is a function word.  Longer repeated substrings are repeated sentences, not phrases; their function words make clauses.
+#: In a phrase at most every third word connects.  Longer repeated substrings are repeated sentences, not phrases; their connecting words make clauses.
 PHRASE_WORDS = 8
-#: Units of so many words need two different function words for a clause.
+#: Of the other words of a repeated sentence, more than so large a share are different words.
+ONCE = 0.9
+#: Units of so many words need two different connecting words for a clause.
 LONG_UNIT = 6
-
-# Function words of English, French, German and Spanish.
-FUNCTION_WORDS = frozenset(
-    """
-    a about after all an and are as at be been before but by every few for from had has have he her his how if in into is it its more
-    neither no nor not of on one or our out she so some that the their them then there they this to was we were what when where which who why will with would yet you
-    à au aucun aucune aux avant avec ce ces cette chaque comme comment dans de depuis des deux du elle en encore entre est et été il ils
-    la le les leur mais n ne ni nous on ont ou par peu plus pour pourquoi puis qu que qui sa se selon ses son sont sous sur un une vers y
-    aber als am an auch auf aus bei bis das dass dem den der des die durch ein eine einem einen einer eines er es für gegen haben hat hätte ihr ihre ihren
-    im ins ist jede jeder jedes kaum laut mit nach nicht noch nur oder seit sich sie sind über um und unter vom von vor war waren warum was weder wer wie wir wird wurde zu zum zur zuerst
-    al antes aunque cada como cómo con cual cuando del desde después durante e el él ella ellos entre era eran es esta este fue ha han hasta la las lo los muy más ni no o para pero pocos por porque qué
-    según ser si sin sobre son su sus también tras uno una unos unas y ya
-    """.split()
-)
+#: A word that recurs in a page connects if it has so many different neighbours on either side, as a share of its occurrences.
+DIVERSE = 0.6
+#: A word connects in the corpus if it connects in one in so many documents, in three at least, and in so large a share of those that hold it.
+#: The last is what tells it from the topics of some documents, which recur in few of those that hold them, whatever the language's part of the corpus.
+ONE_IN, LEAST, USUALLY = 1000, 3, 0.3
+#: A page is judged by the corpus' connecting words if they are so large a share of its words.
+KNOWN = 0.03
 
 # Characters without width, and the soft hyphen.
 _INVISIBLE = re.compile("[" + "".join(map(chr, [0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF])) + "]")
+# Every pattern is linear: what it repeats is possessive, and it starts only where a run starts.
 _LINK = re.compile(
-    r"""<a\b[^<>]*href[^<>]*>[^<>]*(?:</a\s*>)?|!?\[[^\[\]]*\]\([^()\s]*\)|(?:https?://|ftp://|www\.)[^\s<>"')\]]+|\b[a-z0-9][a-z0-9\-]*(?:\.[a-z0-9\-]+)*\.[a-z]{2,}(?:/[^\s<>"')\]]*)?(?![\w@.])""",
+    r"""<a\b[^<>]*+>[^<>]*+(?:</a\s*+>)?+|!?\[[^\[\]]*+\]\([^()\s]*+\)|(?:https?://|ftp://|www\.)[^\s<>"')\]]++|(?<![\w.@\-])[a-z0-9][a-z0-9\-]*+(?:\.[a-z0-9\-]++)++(?:/[^\s<>"')\]]*+)?+(?![\w@])""",
     re.IGNORECASE,
 )
+#: A host without scheme ends in letters.
+_HOST = re.compile(r"[^/]*\.[a-z]{2,}(?:/|$)", re.IGNORECASE)
 #: Every link has one of these.
 _LINKISH = re.compile(r"\.[a-z]{2}|://|href|\]\(", re.IGNORECASE)
 _ONES = b"\x01" * 64
-_TAG = re.compile(r"<[^<>]*>")
-# What people add to a search, in several words; one word here, since it is no clause.
-ADDED = ["en ligne", "en línea", "in der nähe", "near me", "près de chez moi", "cerca de mí"]
-_NEAR = re.compile("|".join(rf"\b{x}\b" for x in ADDED))
+_TAG = re.compile(r"<[^<>]*+>")
 _DIGIT = re.compile(r"\d")
-_HASHTAG = re.compile(r"#\w+")
-_WORD = re.compile(r"\w+(?:['’]\w+)*")
-_UNIT = re.compile(r"[^\n]*?(?:[.!?…]+[\"'”»)]*(?=\s)|\n|$)")
+_HASHTAG = re.compile(r"#\w++")
+# Scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han).
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]++(?:['’][^\W{_UNSPACED}]++)*+")
+_ENDS = re.compile(r"""[.!?…]++["'”»)]*+|[。！？]++["'”」』）]*+|\n""")
 
 
 #: Stands for a link or hashtag: a character of private use.
@@ -154,10 +162,39 @@ def repeats(tokens: list[int], many: int = PHRASE_REPEATS) -> tuple[list[int], l
     return longest, often, steady
 
 
-def judge(text: str | None) -> Verdict:
-    """The page's characters by kind; nothing for null, empty and blank texts.  Reads the whole text."""
+class Words(NamedTuple):
+    """A page's units and their sizes in characters, what they are made of, and the sizes of its links and hashtags.
+
+    `times`: occurrences of each word, of no word ("", after each unit) first; `numbers`: each word as its place among these.
+    `pairs`: occurrences of each pair of neighbours.
+    """
+
+    units: list[str]
+    spans: list[tuple[int, int]]
+    names: list[str]
+    times: dict[str, int]
+    numbers: list[int]
+    pairs: dict[tuple[int, int], int]
+    marks: list[int]
+
+
+class _Normal(dict):
+    """Words as they are compared, remembered: digits within words are all one, as in article numbers."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = value = word if word.isalpha() or word.isdigit() else _DIGIT.sub("0", word)
+        return value
+
+
+_NORMAL = _Normal()
+
+
+def read_words(text: str | None) -> Words | None:
+    """The words of a page by unit; None for null, empty and blank texts."""
     if not text or text.isspace():
-        return Verdict(0, 0, 0, 0)
+        return None
     text = html.unescape(text) if "&" in text else text
     if not text.isascii():
         text = _INVISIBLE.sub("", text)
@@ -165,8 +202,13 @@ def judge(text: str | None) -> Verdict:
     marks: list[int] = []
 
     def mark(m: re.Match) -> str:
-        marks.append(m.end() - m.start())
-        return ""
+        found = m.group()
+        if found[0] == "<" and "href" not in found.lower():
+            return found
+        if found[0].isalnum() and "://" not in found[:8] and not found[:4].lower() == "www." and not _HOST.match(found):
+            return found
+        marks.append(len(found))
+        return _MARK
 
     if _LINKISH.search(text):
         text = _LINK.sub(mark, text)
@@ -175,40 +217,72 @@ def judge(text: str | None) -> Verdict:
     if "<" in text:
         text = _TAG.sub(" ", text)
     text = text.lower()
-    units = [u for u in _UNIT.findall(text) if u and not u.isspace()]
-    near = any(x in text for x in ADDED)
+    units, at = [], 0
+    for m in _ENDS.finditer(text):
+        end = m.end()
+        if text[m.start()] not in ".!?…" or text[end : end + 1].isspace():  # a point within a number or a word ends nothing
+            units.append(text[at:end])
+            at = end
+    units.append(text[at:])
+    units = [u for u in units if u and not u.isspace()]
     names: list[str] = []
-    unit_of: list[tuple[int, int]] = []
+    spans: list[tuple[int, int]] = []
+    normal, find = _NORMAL.__getitem__, _WORD.findall
     for unit in units:
         start = len(names)
-        names += _WORD.findall(_NEAR.sub("added", unit) if near else unit)
-        unit_of.append((start, len(names)))
+        names += map(normal, find(unit))
+        spans.append((start, len(names)))
         names.append("")  # repeats end with a unit
-    # Digits within words are all one, as in article numbers.
-    names = [w if w.isalpha() or w.isdigit() else _DIGIT.sub("0", w) for w in names]
-    times = Counter(names)
-    number = {w: i if n > 1 and w else -1 for i, (w, n) in enumerate(times.items())}
-    longest, often, steady = repeats([number[w] for w in names])
-    function = [w in FUNCTION_WORDS for w in names]
-    before = list(accumulate(function, initial=0))
-    # Of each word: whether a repeat covers it, and whether that is a phrase or a sentence.
-    covered, phrase, sentence = bytearray(len(names)), bytearray(len(names)), bytearray(len(names))
-    for i, n in enumerate(longest):
-        if n >= 2:
-            start = i - n + 1
-            covered[start : i + 1] = _ONES[:n] if n <= len(_ONES) else b"\x01" * n
-            if n > PHRASE_WORDS:
-                sentence[start : i + 1] = b"\x01" * n
-            n = steady[i]
-            if 2 <= n <= PHRASE_WORDS and 3 * (before[i + 1] - before[i - n + 1]) <= n:
-                phrase[i - n + 1 : i + 1] = _ONES[:n]
-        elif n and often[i] >= WORD_REPEATS and not function[i] and not names[i].isdigit():
-            covered[i] = 1
-    total = links = keywords = covered_letters = 0
-    at = 0
-    for unit, (start, end) in zip(units, unit_of, strict=True):
+    times = {"": 0} | Counter(names)
+    place = dict(zip(times, range(len(times)), strict=True))
+    numbers = list(map(place.__getitem__, names))
+    return Words(units, spans, names, times, numbers, Counter(zip(numbers, numbers[1:], strict=False)), marks)
+
+
+def connecting(words: Words) -> set[str]:
+    """The words that connect in the page: they recur, with ever other words before and after them.  All ends of units are one neighbour; repeated units count once."""
+    times, pairs, first = list(words.times.values()), words.pairs, words.numbers[:1]
+    if len(set(words.units)) < len(words.units):
+        numbers: list[int] = []
+        for start, end in dict(zip(words.units, words.spans, strict=True)).values():
+            numbers += words.numbers[start : end + 1]
+        seen, pairs, first = Counter(numbers), set(zip(numbers, numbers[1:], strict=False)), numbers[:1]
+        times = [seen[i] for i in range(len(times))]
+    after, before = Counter(map(itemgetter(0), pairs)), Counter(map(itemgetter(1), pairs))
+    for n in first:
+        before[n] += (0, n) not in pairs  # the page's first word follows an end, too
+    found = {w for i, (w, n) in enumerate(zip(words.times, times, strict=True)) if n > 1 and after[i] >= DIVERSE * n and before[i] >= DIVERSE * n and not w.isdigit()}
+    found.discard("")
+    return found
+
+
+def judge(text: str | None, corpus: frozenset[str] = frozenset(), measure: bool = True) -> Verdict | None:
+    """The page's characters by kind; nothing for null, empty and blank texts.  Reads the whole text.  `corpus`: connecting words of all documents.
+
+    Without `measure`, None for a page that would be no spam even if no unit had clause structure: for the decision it needs no automaton.
+    """
+    words = read_words(text)
+    if words is None:
+        return Verdict(0, 0, 0, 0)
+    names, numbers = words.names, words.numbers
+    known = list(map(corpus.__contains__, names))
+    if sum(known) < KNOWN * len(names):
+        known = list(map((connecting(words) | corpus).__contains__, names))
+    # A repeated substring of two words or more consists of repeated pairs, so these tell what is covered ...
+    again = {p for p, n in words.pairs.items() if n > 1 and p[0] and p[1]}
+    covered = bytearray(len(names))
+    for i in [i for i, p in enumerate(zip(numbers, numbers[1:], strict=False)) if p in again] if again else []:
+        covered[i] = covered[i + 1] = 1
+    often = {w for w, n in words.times.items() if n >= WORD_REPEATS and w and not w.isdigit()}
+    if often:
+        for i in [i for i, w in enumerate(names) if w in often]:
+            covered[i] |= not known[i]
+    # ... and the automaton, where a unit is covered enough, whether that is by phrases or by sentences.
+    total = links = keywords = covered_letters = at = most = 0
+    left = []
+    for unit, (start, end) in zip(words.units, words.spans, strict=True):
         own = unit.count(_MARK)
-        marked = sum(marks[at : at + own])
+        marked = sum(words.marks[at : at + own])
         at += own
         size = marked + len(unit.strip()) - own
         total += size
@@ -218,7 +292,15 @@ def judge(text: str | None) -> Verdict:
         letters = sum(map(len, names[start:end]))
         hit = sum(map(len, compress(names[start:end], covered[start:end])))
         covered_letters += hit
-        clause = [names[i] for i in range(start, end) if function[i] and (sentence[i] or not phrase[i])]
+        if own or hit >= COVERAGE / 2 * letters or 2 * hits >= end - start:
+            left.append((unit, start, end, own, marked, size, letters, hit, hits))
+            if own or hit >= COVERAGE * letters or 2 * hits >= end - start or unit.count("|") >= 2:
+                most += size
+    if not measure and most <= SHARE * total:
+        return None
+    phrase, sentence = _phrases(words, known) if left else (b"", b"")
+    for unit, start, end, own, marked, size, letters, hit, hits in left:
+        clause = [names[i] for i in range(start, end) if known[i] and (sentence[i] or not phrase[i])]
         clauseless = len(clause) < CLAUSE * (end - start) or (end - start >= LONG_UNIT and len(set(clause)) < 2) or end == start
         if own:
             whole = clauseless and (marked * 3 >= size or hit >= COVERAGE * letters)
@@ -230,16 +312,67 @@ def judge(text: str | None) -> Verdict:
     return Verdict(total, links, keywords, covered_letters)
 
 
-def spam_measures(documents: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """(document, total, links, keywords, covered, share, spam) per row.  Other columns are not read; null text is no spam."""
+def _phrases(words: Words, known: list[bool]) -> tuple[bytearray, bytearray]:
+    """Of each word whether it stands in a phrase repeated often, and whether in a repeated sentence, from the suffix automaton."""
+    once = {i for i, n in enumerate(words.times.values()) if n < 2} | {0}
+    numbers = [-1 if n in once else n for n in words.numbers]
+    longest, _, steady = repeats(numbers)
+    before = list(accumulate(known, initial=0))
+    phrase, sentence = bytearray(len(numbers)), bytearray(len(numbers))
+    for i, n in enumerate(longest):
+        if n >= 2:
+            # Only the end of a repeat needs a look, its beginnings are within it.
+            if n > PHRASE_WORDS and (i + 1 == len(longest) or longest[i + 1] <= n):
+                # Without the words that connect, a sentence has each word once or nearly so; strung phrases come again within it.
+                own = [w for w, k in zip(numbers[i - n + 1 : i + 1], known[i - n + 1 : i + 1], strict=True) if not k]
+                if len(set(own)) > ONCE * len(own):
+                    sentence[i - n + 1 : i + 1] = b"\x01" * n
+            n = steady[i]
+            if 2 <= n <= PHRASE_WORDS and 3 * (before[i + 1] - before[i - n + 1]) <= n:
+                phrase[i - n + 1 : i + 1] = _ONES[:n]
+    return phrase, sentence
+
+
+def connecting_words(documents: DataFrame, text: str = "text") -> frozenset[str]:
+    """The words that connect in the corpus, from counts over all documents.
+
+    Each batch sums its documents' words before they are shuffled.  What reaches the driver is bounded: a document has
+    some tens of connecting words, so fewer than some tens of ONE_IN words connect in one in ONE_IN documents.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yes, held = Counter(), Counter()
+            for t in batch.column(0).to_pylist():
+                words = read_words(t)
+                if words is not None:
+                    yes.update(connecting(words))
+                    held.update(words.times.keys())  # among them no word: the documents
+            yield pa.RecordBatch.from_arrays([pa.array(map(sound, held)), pa.array([yes[w] for w in held], pa.int64()), pa.array(held.values(), pa.int64())], ["word", "yes", "held"])
+
+    sums = documents.select(text).mapInArrow(count, "word string, yes long, held long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("held").alias("held"))
+    often = materialise(sums.where((F.col("yes") >= LEAST) & (F.col("yes") >= USUALLY * F.col("held")) | (F.col("word") == "")), "connecting-words")
+    n = often.where("word = ''").select("held").head()
+    return frozenset(r[0] for r in often.where((F.col("yes") * ONE_IN >= (n[0] if n else 0)) & (F.col("word") != "")).select("word").collect())
+
+
+def spam_measures(documents: DataFrame, id_: str = "doc_id", text: str = "text", words: frozenset[str] | None = None, spam_only: bool = False) -> DataFrame:
+    """(document, total, links, keywords, covered, share, spam) per row.  Other columns are not read; null text is no spam.
+
+    `words`: connecting words, by default those of these documents (a pass of its own).  `spam_only`: only the rows of spam, the same
+    as otherwise, without building automata of pages that can't be spam.
+    """
     kind = documents.schema[id_].dataType.simpleString()
+    corpus = documents.sparkSession.sparkContext.broadcast(connecting_words(documents, text) if words is None else words)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [judge(t) for t in batch.column(1).to_pylist()]
+            found = [judge(t, corpus.value, not spam_only) for t in batch.column(1).to_pylist()]
+            at = pa.array([i for i, v in enumerate(found) if not spam_only or (v is not None and v.share > SHARE)], pa.int32())
+            found = [found[i] for i in at.to_pylist()]
             columns = [pa.array([v[k] for v in found], pa.int64()) for k in range(4)]
             share = pa.array([v.share for v in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, share], ["document", "total", "links", "keywords", "covered", "share"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *columns, share], ["document", "total", "links", "keywords", "covered", "share"])
 
     out = documents.select(F.col(id_), F.col(text)).mapInArrow(measure, f"document {kind}, total long, links long, keywords long, covered long, share double")
     return out.withColumn("spam", F.col("share") > SHARE)
