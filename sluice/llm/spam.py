@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import accumulate, compress
+from itertools import accumulate, compress, count
 from operator import itemgetter
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ CLAUSE, PHRASE_REPEATS = 0.13, 4
 PHRASE_WORDS = 8
 #: Of the other words of a repeated sentence, more than so large a share are different words.
 ONCE = 0.9
+#: So many units of keywords or links in a row count, a long unit once for so many words; fewer only if they are most of the page.
+STRUNG, LONG_LINE = 3, 10
 #: Units of so many words need two different connecting words for a clause.
 LONG_UNIT = 6
 #: A word that recurs in a page connects if it has so many different neighbours on either side, as a share of its occurrences.
@@ -73,6 +76,7 @@ _HASHTAG = re.compile(r"#\w++")
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]++(?:['’][^\W{_UNSPACED}]++)*+")
 _ENDS = re.compile(r"""[.!?…]++["'”»)]*+|[。！？]++["'”」』）]*+|\n""")
+_PIECE = re.compile(rf"{_WORD.pattern}|[.!?…]++[\"'”»)]*+(?=\s)|[。！？]++|\n")
 
 
 #: Stands for a link or hashtag: a character of private use.
@@ -166,7 +170,6 @@ class Words(NamedTuple):
     """A page's units and their sizes in characters, what they are made of, and the sizes of its links and hashtags.
 
     `times`: occurrences of each word, of no word ("", after each unit) first; `numbers`: each word as its place among these.
-    `pairs`: occurrences of each pair of neighbours.
     """
 
     units: list[str]
@@ -174,17 +177,16 @@ class Words(NamedTuple):
     names: list[str]
     times: dict[str, int]
     numbers: list[int]
-    pairs: dict[tuple[int, int], int]
     marks: list[int]
 
 
 class _Normal(dict):
-    """Words as they are compared, remembered: digits within words are all one, as in article numbers."""
+    """Words as they are compared, remembered: digits within words are all one, as in article numbers; ends of units are no word."""
 
     def __missing__(self, word: str) -> str:
         if len(self) > 500_000:
             self.clear()
-        self[word] = value = word if word.isalpha() or word.isdigit() else _DIGIT.sub("0", word)
+        self[word] = value = word if word.isalpha() or word.isdigit() else _DIGIT.sub("0", word) if word[0].isalnum() or word[0] == "_" else ""
         return value
 
 
@@ -236,40 +238,37 @@ def read_words(text: str | None) -> Words | None:
     times = {"": 0} | Counter(names)
     place = dict(zip(times, range(len(times)), strict=True))
     numbers = list(map(place.__getitem__, names))
-    return Words(units, spans, names, times, numbers, Counter(zip(numbers, numbers[1:], strict=False)), marks)
+    return Words(units, spans, names, times, numbers, marks)
 
 
 def connecting(words: Words) -> set[str]:
     """The words that connect in the page: they recur, with ever other words before and after them.  All ends of units are one neighbour; repeated units count once."""
-    times, pairs, first = list(words.times.values()), words.pairs, words.numbers[:1]
-    if len(set(words.units)) < len(words.units):
-        numbers: list[int] = []
-        for start, end in dict(zip(words.units, words.spans, strict=True)).values():
-            numbers += words.numbers[start : end + 1]
-        seen, pairs, first = Counter(numbers), set(zip(numbers, numbers[1:], strict=False)), numbers[:1]
-        times = [seen[i] for i in range(len(times))]
-    after, before = Counter(map(itemgetter(0), pairs)), Counter(map(itemgetter(1), pairs))
-    for n in first:
-        before[n] += (0, n) not in pairs  # the page's first word follows an end, too
+    spans = {tuple(words.numbers[a:b]): (a, b + 1) for a, b in words.spans}.values()
+    numbers = [0, *(n for a, b in spans for n in words.numbers[a:b])]
+    pairs = set(zip(numbers, numbers[1:], strict=False))
+    seen, after, before = Counter(numbers), Counter(map(itemgetter(0), pairs)), Counter(map(itemgetter(1), pairs))
+    times = [seen[i] for i in range(len(words.times))]
     found = {w for i, (w, n) in enumerate(zip(words.times, times, strict=True)) if n > 1 and after[i] >= DIVERSE * n and before[i] >= DIVERSE * n and not w.isdigit()}
     found.discard("")
     return found
 
 
-def judge(text: str | None, corpus: frozenset[str] = frozenset(), measure: bool = True) -> Verdict | None:
-    """The page's characters by kind; nothing for null, empty and blank texts.  Reads the whole text.  `corpus`: connecting words of all documents.
+class Cover(NamedTuple):
+    """Characters of the page, letters covered by repeats, the units covered enough for a closer look, and the most characters that these could make spam."""
 
-    Without `measure`, None for a page that would be no spam even if no unit had clause structure: for the decision it needs no automaton.
-    """
-    words = read_words(text)
-    if words is None:
-        return Verdict(0, 0, 0, 0)
+    total: int
+    letters: int
+    units: list[tuple]
+    most: int
+
+
+def cover(words: Words, known: list[bool]) -> Cover:
+    """What repeats cover, from counts of pairs: a repeated substring of two words or more consists of repeated pairs."""
     names, numbers = words.names, words.numbers
-    known = list(map(corpus.__contains__, names))
-    if sum(known) < KNOWN * len(names):
-        known = list(map((connecting(words) | corpus).__contains__, names))
-    # A repeated substring of two words or more consists of repeated pairs, so these tell what is covered ...
-    again = {p for p, n in words.pairs.items() if n > 1 and p[0] and p[1]}
+    recurring = [i > 0 and n > 1 for i, n in enumerate(words.times.values())]
+    kept = [n if recurring[n] else 0 for n in numbers]
+    pairs = Counter([p for p in zip(kept, kept[1:], strict=False) if p[0] and p[1]])
+    again = {p for p, n in pairs.items() if n > 1}
     covered = bytearray(len(names))
     for i in [i for i, p in enumerate(zip(numbers, numbers[1:], strict=False)) if p in again] if again else []:
         covered[i] = covered[i + 1] = 1
@@ -277,12 +276,16 @@ def judge(text: str | None, corpus: frozenset[str] = frozenset(), measure: bool
     if often:
         for i in [i for i, w in enumerate(names) if w in often]:
             covered[i] |= not known[i]
-    # ... and the automaton, where a unit is covered enough, whether that is by phrases or by sentences.
-    total = links = keywords = covered_letters = at = most = 0
+    # Words outside of pairs repeated often are in no phrase: those of them that connect make clauses, whatever the automaton says.
+    steady = {p for p in again if pairs[p] >= PHRASE_REPEATS}
+    free = bytearray(known)
+    for i in [i for i, p in enumerate(zip(numbers, numbers[1:], strict=False)) if p in steady] if steady else []:
+        free[i] = free[i + 1] = 0
+    total = covered_letters = at = most = 0
     left = []
     for unit, (start, end) in zip(words.units, words.spans, strict=True):
-        own = unit.count(_MARK)
-        marked = sum(words.marks[at : at + own])
+        own = unit.count(_MARK) if words.marks else 0
+        marked = sum(words.marks[at : at + own]) if own else 0
         at += own
         size = marked + len(unit.strip()) - own
         total += size
@@ -290,25 +293,55 @@ def judge(text: str | None, corpus: frozenset[str] = frozenset(), measure: bool
         if not (hits or own):
             continue
         letters = sum(map(len, names[start:end]))
-        hit = sum(map(len, compress(names[start:end], covered[start:end])))
+        hit = letters if hits == end - start else sum(map(len, compress(names[start:end], covered[start:end])))
         covered_letters += hit
         if own or hit >= COVERAGE / 2 * letters or 2 * hits >= end - start:
+            clauses = free.count(1, start, end)
+            if not own and end > start and clauses >= CLAUSE * (end - start) and (end - start < LONG_UNIT or len(set(compress(names[start:end], free[start:end]))) > 1):
+                continue
             left.append((unit, start, end, own, marked, size, letters, hit, hits))
             if own or hit >= COVERAGE * letters or 2 * hits >= end - start or unit.count("|") >= 2:
                 most += size
+    return Cover(total, covered_letters, left, most)
+
+
+def judge(text: str | None, corpus: frozenset[str] = frozenset(), measure: bool = True) -> Verdict | None:
+    """The page's characters by kind; nothing for null, empty and blank texts.  Reads the whole text.  `corpus`: connecting words of all documents.
+
+    Without `measure`, None for a page that would be no spam even if no unit had clause structure: for the decision it needs no automaton.
+    """
+    words = read_words(text)
+    if words is None:
+        return Verdict(0, 0, 0, 0)
+    names = words.names
+    known = list(map(corpus.__contains__, names))
+    if sum(known) < KNOWN * len(names):
+        known = list(map((connecting(words) | corpus).__contains__, names))
+    total, covered_letters, left, most = cover(words, known)
     if not measure and most <= SHARE * total:
         return None
+    links = 0
+    # The automaton tells whether what covers a unit is phrases or sentences.
     phrase, sentence = _phrases(words, known) if left else (b"", b"")
+    runs: list[tuple[int, int, int]] = []  # of runs of such units: their weight, characters of keywords, where the run ends
     for unit, start, end, own, marked, size, letters, hit, hits in left:
         clause = [names[i] for i in range(start, end) if known[i] and (sentence[i] or not phrase[i])]
         clauseless = len(clause) < CLAUSE * (end - start) or (end - start >= LONG_UNIT and len(set(clause)) < 2) or end == start
+        found = 0
         if own:
             whole = clauseless and (marked * 3 >= size or hit >= COVERAGE * letters)
             links += size if whole else marked
         elif clauseless and unit.count("|") >= 2 and hit >= COVERAGE / 2 * letters:
             links += size
-        elif clauseless and end > start and (hit >= COVERAGE * letters or (not clause and 2 * hits >= end - start)):
-            keywords += size
+            whole = True
+        else:
+            whole = clauseless and end > start and (hit >= COVERAGE * letters or (not clause and 2 * hits >= end - start))
+            found = size if whole else 0
+        if whole:
+            last = runs.pop() if runs and runs[-1][2] + 1 == start else (0, 0, 0)
+            runs.append((last[0] + max(1, (end - start) // LONG_LINE), last[1] + found, end))
+    # Lists and articles with stock phrases hold units like these here and there; keywords are strung together.
+    keywords = sum(size for n, size, _ in runs if n >= STRUNG or 2 * size > total)
     return Verdict(total, links, keywords, covered_letters)
 
 
@@ -333,6 +366,56 @@ def _phrases(words: Words, known: list[bool]) -> tuple[bytearray, bytearray]:
     return phrase, sentence
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.diff(values, prepend=-1) != 0]
+
+
+def count_connecting(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Of the words of many pages: in how many pages each connects, and how many hold it; first of no word, which all that aren't blank hold.
+
+    Agrees with `connecting` page by page, but that links are read as their words.
+    """
+    place: dict[str, int] = defaultdict(count().__next__)
+    number = place.__getitem__
+    number("")
+    flat: list[int] = []
+    ends = [0]
+    for text in texts:
+        if text and not text.isspace():
+            text = html.unescape(text) if "&" in text else text
+            if not text.isascii():
+                text = _INVISIBLE.sub("", text)
+            flat += map(number, map(_NORMAL.__getitem__, _PIECE.findall(text.lower())))
+            flat.append(0)
+            ends.append(len(flat))
+    words, pages = np.array(flat, np.int64), len(ends) - 1
+    page = np.repeat(np.arange(pages), np.diff(ends))
+    # Units end at 0; repeated ones of a page count once: told by a hash of their words in order.
+    unit = np.cumsum(words == 0) - (words == 0)
+    starts = np.searchsorted(unit, np.arange(unit[-1] + 1 if len(unit) else 0))
+    rank = np.arange(len(words)) - (starts[unit] if len(unit) else 0)
+    with np.errstate(over="ignore"):
+        mixed = ((words.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ (rank.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(31)
+        digest = np.add.reduceat(mixed * np.uint64(0x94D049BB133111EB), starts) if len(starts) else mixed
+        _, first = np.unique(digest ^ (page[starts].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), return_index=True)
+    fresh = np.zeros(len(starts), bool)
+    fresh[first] = True
+    size = len(place)
+    held = np.bincount(_distinct(page * size + words) % size, minlength=size)
+    held[0] = pages
+    keep = fresh[unit] if len(unit) else np.zeros(0, bool)
+    words, page = words[keep], page[keep]
+    before, after = np.concatenate([[0], words[:-1]]) if len(words) else words, np.concatenate([words[1:], [0]]) if len(words) else words
+    full = words > 0
+    keys, at, times = np.unique((page * size + words)[full], return_inverse=True, return_counts=True)
+    sides = [np.bincount(_distinct(at * size + side[full]) // size, minlength=len(keys)) for side in (before, after)]
+    digits = np.fromiter(map(str.isdigit, place), bool, size)
+    connects = (times > 1) & (sides[0] >= DIVERSE * times) & (sides[1] >= DIVERSE * times) & ~digits[keys % size]
+    return list(place), np.bincount(keys[connects] % size, minlength=size), held
+
+
 def connecting_words(documents: DataFrame, text: str = "text") -> frozenset[str]:
     """The words that connect in the corpus, from counts over all documents.
 
@@ -340,17 +423,12 @@ def connecting_words(documents: DataFrame, text: str = "text") -> frozenset[str]
     some tens of connecting words, so fewer than some tens of ONE_IN words connect in one in ONE_IN documents.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yes, held = Counter(), Counter()
-            for t in batch.column(0).to_pylist():
-                words = read_words(t)
-                if words is not None:
-                    yes.update(connecting(words))
-                    held.update(words.times.keys())  # among them no word: the documents
-            yield pa.RecordBatch.from_arrays([pa.array(map(sound, held)), pa.array([yes[w] for w in held], pa.int64()), pa.array(held.values(), pa.int64())], ["word", "yes", "held"])
-
-    sums = documents.select(text).mapInArrow(count, "word string, yes long, held long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("held").alias("held"))
+            words, yes, held = count_connecting(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(map(sound, words)), pa.array(yes), pa.array(held)], ["word", "yes", "held"])
+
+    sums = documents.select(text).mapInArrow(counted, "word string, yes long, held long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("held").alias("held"))
     often = materialise(sums.where((F.col("yes") >= LEAST) & (F.col("yes") >= USUALLY * F.col("held")) | (F.col("word") == "")), "connecting-words")
     n = often.where("word = ''").select("held").head()
     return frozenset(r[0] for r in often.where((F.col("yes") * ONE_IN >= (n[0] if n else 0)) & (F.col("word") != "")).select("word").collect())

@@ -139,8 +139,16 @@ def test_undecided_pages_are_no_spam():
 
 
 def naive_connecting(names):
-    """Words that recur, and of whose neighbours enough differ on either side."""
-    padded = ["", *names]
+    """Words that recur, and of whose neighbours enough differ on either side; each unit once."""
+    units: dict[tuple, None] = {}
+    unit: list[str] = []
+    for w in names:
+        if w:
+            unit.append(w)
+        else:
+            units[tuple(unit)] = None
+            unit = []
+    padded = ["", *(w for u in units for w in (*u, ""))]
     out = set()
     for w in set(names) - {""}:
         at = [i for i, x in enumerate(padded) if x == w]
@@ -156,6 +164,16 @@ def test_connecting(parts):
     assert words is None or spam.connecting(words) == naive_connecting(words.names)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["red", "shoe", "in", "Town", "7", ".\n", "sale", "a1", "x. ", "\u3002"]), max_size=40).map(" ".join), max_size=5))
+def test_counts_agree_with_pages(texts):
+    words, yes, held = spam.count_connecting([*texts, None])
+    pages = [w for w in map(spam.read_words, texts) if w]
+    expected = Counter(w for p in pages for w in spam.connecting(p))
+    assert {w: n for w, n in zip(words, yes.tolist()) if n} == dict(expected)
+    assert dict(zip(words, held.tolist())) == {"": 0} | dict(Counter(w for p in pages for w in p.times))
+
+
 def test_connecting_words_of_the_corpus(spark):
     """Counted over all documents, whatever the language's part of them."""
     rng = random.Random(5)
