@@ -1,45 +1,59 @@
 """Lines repeated across one source's documents.
 
-Each distinct line of a source has a bitmap of the documents that contain it,
-over the source's dense document numbers, cut into blocks of 32,768 bits.  The
+Each distinct line of a source has a compressed bitmap of the documents that
+contain it, over the source's dense document numbers (see `bitmaps`).  The
 bitmaps of lines that differ only in case, spacing or punctuation are united;
-a line is excessive if its exact cardinality passes the thresholds; lines are
-deleted by looking up a document's bit.
+a line is excessive if its exact cardinality passes the thresholds.  Each
+document then asks the excessive bitmaps for its own bit, and loses the lines
+whose bitmaps hold it.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm import bitmaps
 from sluice.operators.nested import read_json, sound
 from sluice.operators.ordinals import with_prefix
-from sluice.session import broadcast_up_to, materialise
+from sluice.session import materialise
 
 MIN_DOCUMENTS = 5
 #: A line is excessive if one document in so many of its source has it (20: 5 %).
 ONE_IN = 20
-#: Likely keys, and blocks of bitmaps of 4 kB, are broadcast up to so many rows: 20 MB and 8 MB.
-KEYS, BITMAPS = 400_000, 2_000
-
+#: The map of likely keys that goes to every worker has at least and at most so many bits (16 MB at 2**27).
+LEAST_BITS, MOST_BITS = 20, 27
+#: Excessive bitmaps are broadcast up to so many containers and bytes; beyond, documents and bitmaps meet by source and block.
+CONTAINERS, BYTES = 100_000, 16_000_000
+#: Excessive keys are broadcast to the scan of texts up to so many: 8 MB of hashes.  Beyond, lines go by number, joined by id.
+KEYS = 1_000_000
+
+_RECORDS = "source string, id string, line_nos array<int>, keys array<long>, variants array<long>"
 _NOT_ASCII_LETTER = bytes(b for b in range(128) if not (97 <= b <= 122 or b == 10))
 
 
 class Repeated(NamedTuple):
-    """`pages`: number, source, id, line_nos, keys, variants, one row a record.  `lines`: source, key, block, bits of the excessive
-    lines.  `counts`: source, key, source_ids, n_ids.  `found`: source, id, line_no, key."""
+    """`lines`: source, key, block, bits of the excessive lines.  `counts`: source, key, source_ids, n_ids.
+    `gone`: source, id, line_nos, keys of the lines to delete, arrays in order of the numbers, one row a document with any."""
 
-    pages: DataFrame
     lines: DataFrame
     counts: DataFrame
-    found: DataFrame
+    gone: DataFrame
+
+    @property
+    def found(self) -> DataFrame:
+        """source, id, line_no, key: each occurrence."""
+        each = self.gone.select("source", "id", F.explode(F.arrays_zip("line_nos", "keys")).alias("line"))
+        return each.select("source", "id", F.col("line.line_nos").alias("line_no"), F.col("line.keys").alias("key"))
 
 
 def content_of(attributes: str | None) -> str | None:
@@ -88,13 +102,139 @@ def line_keys(records: DataFrame, source: str, id_: str, attributes: str) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["source", "id", "line_nos", "keys", "variants"])
 
     slim = records.select(F.col(source).alias("source"), F.col(id_).alias("id"), F.col(attributes).alias("attributes"))
-    return slim.mapInArrow(keys, "source string, id string, line_nos array<int>, keys array<long>, variants array<long>")
+    return slim.mapInArrow(keys, _RECORDS)
+
+
+def key_map(keys: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """(bytes, bits): a bit map of the n keys modulo 2**bits, of at most 2**MOST_BITS bits; it lets other keys pass, never loses one."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+    place = keys.select(F.expr(f"key & {(1 << bits) - 1}L").alias("at"))
+    blocks = place.groupBy(F.expr("at div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for block, part in blocks.collect():  # at most 2**MOST_BITS / 32768 blocks of 4 kB
+        out[block * 4096 : block * 4096 + len(part)] = np.frombuffer(bytes(part), np.uint8)
+    return out, bits
+
+
+def _passes(keys: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    at = keys & ((1 << bits) - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def _slices(lists: pa.ListArray, keep: np.ndarray) -> pa.Array:
+    """Offsets of the lists after dropping values."""
+    total = np.concatenate([[0], np.cumsum(keep)])
+    return pa.array(total[lists.offsets.to_numpy() - lists.offsets[0].as_py()], pa.int32())
+
+
+def _values(lists: pa.ListArray) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False)
 
 
-def bit_set(bits: Column, position: Column) -> Column:
-    """Whether a bit of a block's bitmap is set."""
-    byte = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.get(F.array(*[byte.bitwiseAND(F.lit(1 << i)) for i in range(8)]), F.pmod(position, F.lit(8)).cast("int")) != 0
+def likely_lines(pages: DataFrame, likely: tuple[np.ndarray, int]) -> DataFrame:
+    """The records with those of their lines whose keys pass the map; records without any are dropped."""
+    shared = pages.sparkSession.sparkContext.broadcast(likely)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = _passes(_values(batch.column(3)), *shared.value)
+            offsets = _slices(batch.column(3), keep)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(_values(batch.column(k))[keep])) for k in (2, 3, 4)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["source", "id", "line_nos", "keys", "variants"])
+            yield out.filter(pa.array(np.diff(offsets.to_numpy()) > 0))
+
+    return pages.mapInArrow(passing, _RECORDS)
+
+
+def line_bitmaps(numbered: DataFrame) -> DataFrame:
+    """(source, key, block, bits, n): the united bitmap of the variants of each line, by blocks of documents.
+
+    Each batch builds the bitmaps of its variants, so that only compressed containers are shuffled.
+    """
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sources = batch.column(0).dictionary_encode()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(2).offsets.to_numpy()))
+            number = batch.column(1).to_numpy()[row]
+            columns = (number % bitmaps.BLOCK, _values(batch.column(3)), _values(batch.column(2)), number // bitmaps.BLOCK, sources.indices.to_numpy()[row])
+            order = np.lexsort(columns)
+            low, variant, key, block, source = (c[order] for c in columns)
+            new = np.ones(len(order), bool)
+            if len(order):
+                new[1:] = (np.diff(source) != 0) | (np.diff(block) != 0) | (key[1:] != key[:-1]) | (variant[1:] != variant[:-1])
+            starts = np.flatnonzero(new)
+            once = new.copy()  # a line may stand in a document more than once
+            once[1:] |= np.diff(low) != 0
+            bits = [bitmaps.encode(low[a:b][once[a:b]]) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True)]
+            yield pa.RecordBatch.from_arrays([sources.dictionary.take(pa.array(source[starts])), pa.array(key[starts]), pa.array(block[starts]), pa.array(bits, pa.binary())], ["source", "key", "block", "bits"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            united = [bitmaps.union(parts) for parts in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([u[0] for u in united], pa.binary()), pa.array([u[1] for u in united], pa.int64())], ["source", "key", "block", "bits", "n"])
+
+    parts = numbered.select("source", "number", "keys", "variants").mapInArrow(build, "source string, key long, block long, bits binary")
+    # A block has at most 65,536 documents, so that no group grows with its source.
+    return parts.groupBy("source", "key", "block").agg(F.collect_list("bits").alias("parts")).mapInArrow(unite, "source string, key long, block long, bits binary, n long")
+
+
+def _asked(records: pa.RecordBatch | pa.Table, lines: dict[tuple[str, int, int], bytes]) -> pa.RecordBatch:
+    """Of numbered records, the lines whose bitmaps hold the record's document; each document once, in order."""
+    source, id_, number = records.column("source").to_pylist(), records.column("id").to_pylist(), records.column("number").to_pylist()
+    row = np.repeat(np.arange(records.num_rows), pc.list_value_length(records.column("keys")).to_numpy(zero_copy_only=False))
+    key, line_no = (pc.list_flatten(records.column(k)).to_numpy(zero_copy_only=False) for k in ("keys", "line_nos"))
+    spot = {}
+    place = np.array([spot.setdefault((s, n // bitmaps.BLOCK), len(spot)) for s, n in zip(source, number, strict=True)], np.int64)[row] if len(row) else row
+    low = np.array(number, np.int64)[row] % bitmaps.BLOCK if len(row) else row
+    names = list(spot)
+    held = np.zeros(len(row), bool)
+    order = np.lexsort((key, place))
+    starts = np.flatnonzero((np.diff(place[order], prepend=-1) != 0) | (np.diff(key[order], prepend=0) != 0))
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
+        at = order[a:b]
+        s, block = names[place[at[0]]]
+        bits = lines.get((s, int(key[at[0]]), block))
+        if bits is not None:
+            held[at] = bitmaps.contains(bits, low[at])
+    # Records repeated under an id: each line number and key once.
+    document = {}
+    first = np.array([document.setdefault((s, i), k) for k, (s, i) in enumerate(zip(source, id_, strict=True))], np.int64)
+    row, key, line_no = first[row[held]] if len(row) else row, key[held], line_no[held]
+    order = np.lexsort((key, line_no, row))
+    row, key, line_no = row[order], key[order], line_no[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (np.diff(line_no) != 0) | (key[1:] != key[:-1])
+    row, key, line_no = row[new], key[new], line_no[new]
+    own, counts = np.unique(row, return_counts=True)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (line_no.astype(np.int32), key.astype(np.int64))]
+    return pa.RecordBatch.from_arrays([pa.array([source[k] for k in own], pa.string()), pa.array([id_[k] for k in own], pa.string()), *lists], ["source", "id", "line_nos", "keys"])
+
+
+_GONE = "source string, id string, line_nos array<int>, keys array<long>"
+
+
+def ask_bitmaps(numbered: DataFrame, lines: DataFrame) -> DataFrame:
+    """(source, id, line_nos, keys): the lines of each record whose bitmaps hold its document's number."""
+    size = lines.agg(F.count("*"), F.coalesce(F.sum(F.length("bits")), F.lit(0))).head()
+    records = numbered.select("source", "id", "number", "line_nos", "keys")
+    if size[0] <= CONTAINERS and size[1] <= BYTES:
+        shared = numbered.sparkSession.sparkContext.broadcast({(s, k, b): bytes(bits) for s, k, b, bits in lines.select("source", "key", "block", "bits").collect()})
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield _asked(batch, shared.value)
+
+        return records.mapInArrow(ask, _GONE)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        of = zip(*(right.column(k).to_pylist() for k in ("source", "key", "block", "bits")), strict=True)
+        return pa.Table.from_batches([_asked(left.combine_chunks(), {(s, k, b): bits for s, k, b, bits in of})])
+
+    # 65,536 documents at most, and their bitmaps, in a group.
+    placed = records.withColumn("block", F.expr(f"number div {bitmaps.BLOCK}"))
+    return placed.groupBy("source", "block").cogroup(lines.groupBy("source", "block")).applyInArrow(meet, _GONE)
 
 
 def repeated_lines(
@@ -114,82 +254,89 @@ def repeated_lines(
     pages = line_keys(records.where(F.col(id_).isNotNull()), source, id_, attributes)
     pages = pages.withColumn("source", F.coalesce("source", F.lit("\0")))
     pages = materialise(pages, "page-lines")
-    ids = with_prefix(pages.select("source", "id").distinct(), "source", [F.col("id")], name="number")
-    ids = materialise(ids, "page-ids")
+    ids = pages.select("source", "id").distinct()
     totals = ids.groupBy("source").agg(F.count("*").alias("source_ids"))
 
     # Rows are never fewer than distinct ids: below the threshold a line needs no bitmap.
     occurrences = pages.select("source", F.explode("keys").alias("key")).groupBy("source", "key").agg(F.count("*").alias("n"))
-    likely = occurrences.join(totals, "source").where((F.col("n") >= min_documents) & (F.col("n") * one_in >= F.col("source_ids")))
-    likely = materialise(likely.select("source", "key", "source_ids"), "likely-lines")
-
-    numbered = pages.join(ids, ["source", "id"])
-    each = numbered.select("source", "id", "number", F.explode(F.arrays_zip("line_nos", "keys", "variants")).alias("line"))
-    each = each.select("source", "id", "number", F.col("line.line_nos").alias("line_no"), F.col("line.keys").alias("key"), F.col("line.variants").alias("variant"))
-    # At most one_in * (lines per record) keys a source are likely: few, unless there are very many sources.
-    each = materialise(each.join(broadcast_up_to(likely, KEYS), ["source", "key"]), "likely-occurrences")
-    placed = each.withColumn("block", F.floor(F.col("number") / 32768)).withColumn("__bit", F.pmod("number", F.lit(32768)))
-
-    by_variant = placed.groupBy("source", "key", "source_ids", "variant", "block").agg(F.expr("bitmap_construct_agg(__bit)").alias("bits"))
-    by_key = materialise(by_variant.groupBy("source", "key", "source_ids", "block").agg(F.expr("bitmap_or_agg(bits)").alias("bits")), "line-bitmaps")
-    counts = by_key.groupBy("source", "key", "source_ids").agg(F.sum(F.expr("bitmap_count(bits)")).alias("n_ids"))
-    counts = counts.where((F.col("n_ids") >= min_documents) & (F.col("n_ids") * one_in >= F.col("source_ids")))
-    lines = materialise(by_key.join(counts.select("source", "key"), ["source", "key"]).select("source", "key", "block", "bits"), "excessive-lines")
+    enough = lambda n: (F.col(n) >= min_documents) & (F.col(n) * one_in >= F.col("source_ids"))
+    likely = materialise(occurrences.where(F.col("n") >= min_documents).join(totals, "source").where(enough("n")).select("key").distinct(), "likely-keys")
+    few = likely_lines(pages, key_map(likely, likely.count()))
 
-    hit = placed.join(broadcast_up_to(lines, BITMAPS), ["source", "key", "block"]).where(bit_set(F.col("bits"), F.col("__bit")))
-    found = hit.select("source", "id", "line_no", "key").distinct()
-    return Repeated(pages, lines, counts, found)
+    numbers = with_prefix(ids, "source", [F.col("id")], name="number")
+    numbered = materialise(few.join(numbers, ["source", "id"]), "likely-lines")
+    built = materialise(line_bitmaps(numbered), "line-bitmaps")
+    counts = built.groupBy("source", "key").agg(F.sum("n").alias("n_ids")).where(F.col("n_ids") >= min_documents).join(totals, "source").where(enough("n_ids"))
+    counts = materialise(counts.select("source", "key", "source_ids", "n_ids"), "line-counts")
+    lines = materialise(built.join(counts.select("source", "key"), ["source", "key"]).select("source", "key", "block", "bits"), "excessive-lines")
+    gone = ask_bitmaps(numbered, lines)
+    return Repeated(lines, counts, gone)
 
 
 def example_lines(records: DataFrame, repeated: Repeated, source: str = "source", id_: str = "id", attributes: str = "attributes") -> DataFrame:
-    """(source, key, line): an exact form, the least, of each excessive line."""
-    texts = page_texts(records, source, id_, attributes, keyed=True)
-    split = texts.select("source", "id", F.posexplode(F.arrays_zip(F.split("content", "\n").alias("line"), F.col("keys").alias("key"))).alias("at", "of"))
-    lines = split.select("source", "id", (F.col("at") + 1).alias("line_no"), "of.line", "of.key")
-    found = repeated.found.select("source", "id", "line_no", "key")
-    return lines.join(found, ["source", "id", "line_no", "key"]).groupBy("source", "key").agg(F.min("line").alias("line"))
-
-
-def version(source: str, attributes: str) -> Column:
-    """Tells records of one id apart that differ in text or source; equal for a record delivered again."""
-    return F.xxhash64(F.col(source), F.col(attributes))
-
+    """(source, key, line): an exact form, the least, of each excessive line.  Each batch gives one form a key, so that few lines are shuffled."""
+    shared = records.sparkSession.sparkContext.broadcast(key_map(repeated.counts, repeated.counts.count()))
 
-def page_texts(records: DataFrame, source: str, id_: str, attributes: str, keyed: bool = False) -> DataFrame:
-    """(source, id, version, content, keys) per record; content null where there is none.
-
-    `keys` are null unless `keyed`: of each line the hash of its normal form, null if it has no letters.
-    """
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            found = [content_of(t) for t in batch.column(3).to_pylist()]
-            texts = pa.array([None if c is None else sound(c) for c in found], pa.string())
-            keys: list[pa.Array | None] = []
-            for c in found:
-                normal = normal_lines(c) if keyed and c is not None else None
-                keys.append(None if normal is None else pa.array(_signed([digest(x) for x in normal]), mask=np.array([not x for x in normal])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts, pa.array(keys, pa.list_(pa.int64()))], ["source", "id", "version", "content", "keys"])
+            least: dict[tuple[str, int], str] = {}
+            for own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                content = content_of(text)
+                if content is None:
+                    continue
+                keys = _signed([digest(x) for x in normal_lines(content)])
+                lines = content.split("\n")
+                for i in np.flatnonzero(_passes(keys, *shared.value)).tolist():
+                    at, line = (own, int(keys[i])), lines[i]
+                    if at not in least or line < least[at]:
+                        least[at] = line
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in least], pa.string()), pa.array([k[1] for k in least], pa.int64()), pa.array(map(sound, least.values()), pa.string())], ["source", "key", "line"])
 
-    slim = records.where(F.col(id_).isNotNull()).select(F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(id_).alias("id"), version(source, attributes).alias("version"), F.col(attributes).alias("attributes"))
-    return slim.mapInArrow(read, "source string, id string, version long, content string, keys array<long>")
+    slim = records.where(F.col(id_).isNotNull()).select(F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(attributes).alias("attributes"))
+    lines = slim.mapInArrow(forms, "source string, key long, line string").groupBy("source", "key").agg(F.min("line").alias("line"))
+    return lines.join(repeated.counts.select("source", "key"), ["source", "key"])
 
 
-def page_lines(records: DataFrame, source: str, id_: str, attributes: str) -> DataFrame:
-    """(source, id, version, line_no, line) of all records."""
-    split = page_texts(records, source, id_, attributes).select("source", "id", "version", F.posexplode(F.split("content", "\n")).alias("at", "line"))
-    return split.select("source", "id", "version", (F.col("at") + 1).alias("line_no"), "line")
+def version(source: str, attributes: str) -> Column:
+    """Tells records of one id apart that differ in text or source; equal for a record delivered again."""
+    return F.xxhash64(F.col(source), F.col(attributes))
 
 
 def without_repeated(records: DataFrame, repeated: Repeated, source: str = "source", id_: str = "id", attributes: str = "attributes") -> DataFrame:
     """(id, content, n_removed), one row per distinct (id, content): each content without its source's excessive lines.  No content: null and 0.
 
-    Lines go by what they say, so that of an id with several contents each loses its own excessive lines only.
+    Lines go by what they say, so that of an id with several contents each loses its own excessive lines only.  What a
+    document's bits say of a line, its key says too; texts are read and cut in one pass, and only what is left is shuffled.
     """
-    gone = repeated.found.groupBy("source", "id").agg(F.collect_set("key").alias("gone"))
-    joined = page_texts(records, source, id_, attributes, keyed=True).select("source", "id", "content", "keys").distinct().join(gone, ["source", "id"], "left")
-    lines = F.split("content", "\n")
-    stays = lambda line, i: ~F.coalesce(F.array_contains("gone", F.get("keys", i)), F.lit(False))
-    kept = F.filter(lines, stays)
-    return joined.select("id", F.array_join(kept, "\n").alias("content"), F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).alias("n_removed")).distinct()
+    n = repeated.counts.count()
+    slim = records.where(F.col(id_).isNotNull()).select(F.coalesce(F.col(source), F.lit("\0")).alias("source"), F.col(id_).alias("id"), F.col(attributes).alias("attributes"))
+    if n <= KEYS:
+        of: dict[str, list[int]] = {}
+        for s, k in repeated.counts.select("source", "key").collect():
+            of.setdefault(s, []).append(k)
+        shared = records.sparkSession.sparkContext.broadcast({s: np.sort(np.array(k, np.int64)) for s, k in of.items()})
+        slim = slim.withColumn("keys", F.lit(None).cast("array<long>"))
+    else:
+        shared = None
+        gone = repeated.gone.groupBy("source", "id").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
+        slim = slim.join(gone, ["source", "id"], "left").select("source", "id", "attributes", "keys")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, none = xxhash.xxh3_64_intdigest, np.empty(0, np.int64)
+        for batch in batches:
+            texts, removed = [], []
+            for own, text, keys in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                content = content_of(text)
+                bad = shared.value.get(own, none) if shared is not None else np.array(keys or [], np.int64)
+                if content is None or not len(bad):
+                    texts.append(content)
+                    removed.append(0)
+                    continue
+                normal = normal_lines(content)
+                stays = ~np.isin(_signed([digest(x) for x in normal]), bad) | np.array([not x for x in normal])
+                texts.append("\n".join(compress(content.split("\n"), stays.tolist())))
+                removed.append(len(normal) - int(stays.sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([None if t is None else sound(t) for t in texts], pa.string()), pa.array(removed, pa.int32())], ["id", "content", "n_removed"])
+
+    return slim.select("source", "id", "attributes", "keys").mapInArrow(cut, "id string, content string, n_removed int").distinct()

@@ -14,7 +14,9 @@ from sluice.session import shared_dir, table
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each occurrence of a line that recurs excessively in its source."""
     pages = table(spark, folder, "unified_all_cms_content")
-    return lines.repeated_lines(pages).found.select("id", "line_no").distinct()
+    gone = lines.repeated_lines(pages).gone
+    # An id may stand in two sources: its numbers are united, a row each.
+    return gone.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("line_nos"))).alias("n")).select("id", F.explode("n").alias("line_no"))
 
 
 def p1_lines(spark: SparkSession, folder: str) -> DataFrame:

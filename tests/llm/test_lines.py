@@ -3,9 +3,12 @@ import random
 import unicodedata
 from collections import defaultdict
 
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluice.llm import lines
+from sluice.llm import bitmaps, lines
 
 SCHEMA = "id string, source string, attributes string"
 
@@ -88,12 +91,44 @@ def test_two_contents_of_one_id(spark):
 
 def test_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(lines, "KEYS", 0)
-    monkeypatch.setattr(lines, "BITMAPS", 0)
-    assert check(spark, [(f"a{i}", "s", page("Menu", "x" * i)) for i in range(9)])[1].found.count() == 9
+    monkeypatch.setattr(lines, "CONTAINERS", 0)
+    data = [(f"a{i}", "s", page("Menu", "x" * i, "menu")) for i in range(9)] + [("a1", "s", page("MENU")), ("z", None, "{}")]
+    df, got = check(spark, data)
+    assert got.found.count() == 18
+    cleaned = {(r["id"], r["content"], r["n_removed"]) for r in lines.without_repeated(df, got).collect()}
+    assert cleaned == {(f"a{i}", "x" * i, 2) for i in range(9)} | {("a1", "", 1), ("z", None, 0)}
 
 
 def test_more_than_one_block(spark):
-    """Ordinals past 32,768 go to further bitmaps."""
-    data = spark.range(40_000).select(F.concat(F.lit("i"), "id").alias("id"), F.lit("s").alias("source"), F.when(F.col("id") % 10 == 0, '{"content": "Menu\\\\nx"}').otherwise('{"content": "y"}').alias("attributes"))
-    got = lines.repeated_lines(data.withColumn("attributes", F.when(F.col("id").endswith("0"), F.lit(page("Menu", "12"))).otherwise(F.lit(page("34")))))
-    assert [r["n_ids"] for r in got.counts.collect()] == [4000] and got.found.count() == 4000 and got.lines.count() > 1
+    """Ordinals past 65,536 go to further bitmaps; the kinds of containers differ."""
+    data = spark.range(70_000).select(F.concat(F.lit("i"), "id").alias("id"), F.lit("s").alias("source"))
+    some = F.when(F.col("id").endswith("0"), F.lit(page("Menu", "12"))).when(F.col("id").endswith("1"), F.lit(page("34"))).otherwise(F.lit(page("All")))
+    got = lines.repeated_lines(data.withColumn("attributes", some))
+    assert sorted(r["n_ids"] for r in got.counts.collect()) == [7000, 56_000]
+    assert got.found.count() == 63_000 and got.lines.select("block").distinct().count() == 2
+    kinds = {bytes(r["bits"])[:1] for r in got.lines.collect()}
+    assert kinds <= {b"a", b"b", b"r"} and len(kinds) > 1
+
+
+def test_many_small_sources(spark):
+    """100,000 sources of a few documents: containers hold some bytes each."""
+    data = spark.range(500_000).select(F.concat(F.lit("i"), "id").alias("id"), F.expr("concat('s', id div 5)").alias("source"), F.when(F.col("id") < 499_990, F.lit(page("Menu", "Home"))).otherwise(F.lit(page("Menu", "12"))).alias("attributes"))
+    got = lines.repeated_lines(data)
+    assert got.counts.count() == 199_998
+    total = got.lines.agg(F.sum(F.length("bits")), F.count("*")).head()
+    assert total[1] == 199_998 and total[0] <= 11 * total[1]
+    assert got.gone.agg(F.sum(F.size("line_nos"))).head()[0] == 999_990
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.lists(st.integers(0, 65535), max_size=60), st.tuples(st.integers(0, 65000), st.integers(1, 30_000), st.sampled_from([1, 1, 2, 7])).map(lambda t: list(range(t[0], min(65536, t[0] + t[1]), t[2])))), min_size=1, max_size=5))
+def test_bitmaps(lists):
+    containers = [bitmaps.encode(np.array(sorted(set(x)), np.int64)) for x in lists]
+    for x, c in zip(lists, containers, strict=True):
+        assert bitmaps.decode(c).tolist() == sorted(set(x)) and bitmaps.cardinality(c) == len(set(x))
+        assert len(c) <= 1 + min(2 * len(set(x)), 8192)
+        probe = np.arange(0, 65536, 61)
+        assert bitmaps.contains(c, probe).tolist() == [p in set(x) for p in probe.tolist()]
+    united, n = bitmaps.union(containers)
+    every = sorted({v for x in lists for v in x})
+    assert bitmaps.decode(united).tolist() == every and n == len(every) and united == bitmaps.encode(np.array(every, np.int64))
