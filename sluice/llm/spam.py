@@ -248,7 +248,7 @@ def connecting(words: Words) -> set[str]:
     pairs = set(zip(numbers, numbers[1:], strict=False))
     seen, after, before = Counter(numbers), Counter(map(itemgetter(0), pairs)), Counter(map(itemgetter(1), pairs))
     times = [seen[i] for i in range(len(words.times))]
-    found = {w for i, (w, n) in enumerate(zip(words.times, times, strict=True)) if n > 1 and after[i] >= DIVERSE * n and before[i] >= DIVERSE * n and not w.isdigit()}
+    found = {w for i, (w, n) in enumerate(zip(words.times, times, strict=True)) if n > 1 and after[i] >= DIVERSE * n and before[i] >= DIVERSE * n and not _DIGIT.search(w)}
     found.discard("")
     return found
 
@@ -360,8 +360,8 @@ def _phrases(words: Words, known: list[bool]) -> tuple[bytearray, bytearray]:
                 own = [w for w, k in zip(numbers[i - n + 1 : i + 1], known[i - n + 1 : i + 1], strict=True) if not k]
                 if len(set(own)) > ONCE * len(own):
                     sentence[i - n + 1 : i + 1] = b"\x01" * n
-            n = steady[i]
-            if 2 <= n <= PHRASE_WORDS and 3 * (before[i + 1] - before[i - n + 1]) <= n:
+            n = min(steady[i], PHRASE_WORDS)
+            if n >= 2 and 3 * (before[i + 1] - before[i - n + 1]) <= n:
                 phrase[i - n + 1 : i + 1] = _ONES[:n]
     return phrase, sentence
 
@@ -411,7 +411,7 @@ def count_connecting(texts: list[str | None]) -> tuple[list[str], np.ndarray, np
     full = words > 0
     keys, at, times = np.unique((page * size + words)[full], return_inverse=True, return_counts=True)
     sides = [np.bincount(_distinct(at * size + side[full]) // size, minlength=len(keys)) for side in (before, after)]
-    digits = np.fromiter(map(str.isdigit, place), bool, size)
+    digits = np.fromiter((_DIGIT.search(w) is not None for w in place), bool, size)
     connects = (times > 1) & (sides[0] >= DIVERSE * times) & (sides[1] >= DIVERSE * times) & ~digits[keys % size]
     return list(place), np.bincount(keys[connects] % size, minlength=size), held
 

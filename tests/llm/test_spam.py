@@ -152,7 +152,7 @@ def naive_connecting(names):
     out = set()
     for w in set(names) - {""}:
         at = [i for i, x in enumerate(padded) if x == w]
-        if len(at) > 1 and not w.isdigit() and all(len({padded[i + k] for i in at}) >= spam.DIVERSE * len(at) for k in (-1, 1)):
+        if len(at) > 1 and not any(map(str.isdigit, w)) and all(len({padded[i + k] for i in at}) >= spam.DIVERSE * len(at) for k in (-1, 1)):
             out.add(w)
     return out
 
