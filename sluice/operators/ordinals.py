@@ -17,6 +17,7 @@ def with_prefix(
     weight: Column | None = None,
     buckets: int = BUCKETS,
     name: str = "before",
+    strata: Column | None = None,
 ) -> DataFrame:
     """Adds `name`: the sum of `weight` (default: 1) over the rows of the group that come before.
 
@@ -24,11 +25,13 @@ def with_prefix(
     it is the same in each run and independent of the partitioning.  Level one sums (group,
     bucket) with map-side combine; level two runs over the buckets of a group (at most `buckets`
     rows); level three sorts within a bucket.  Rows with equal order columns get distinct,
-    arbitrary positions.
+    arbitrary positions.  With `strata`, a non-negative integer of few values, rows of lower strata
+    come first, and there are so many times more buckets.
     """
     w = F.lit(1).cast("long") if weight is None else weight
     keyed = df.withColumn("__h", F.xxhash64(*order)).withColumn("__w", w)
-    keyed = keyed.withColumn("__b", F.pmod("__h", F.lit(buckets)))
+    bucket = F.pmod("__h", F.lit(buckets))
+    keyed = keyed.withColumn("__b", bucket if strata is None else strata * buckets + bucket)
     sums = keyed.groupBy(group, "__b").agg(F.sum("__w").alias("__s"))
     over_buckets = Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col(group).alias("__g"), F.col("__b").alias("__sb"), F.coalesce(F.sum("__s").over(over_buckets), F.lit(0)).alias("__start"))
