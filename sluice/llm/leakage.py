@@ -160,8 +160,8 @@ def document_sketches(documents: DataFrame, id_: str, text: str, filtered: tuple
 
 
 def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(document, item, windows): the documents that contain ten consecutive words of an item, or a shorter item whole,
-    and how many different windows of it they contain.
+    """(document, item, windows, containment): the documents that contain ten consecutive words of an item, or a shorter item whole,
+    how many different windows of it they contain, and what share of the item's different windows that is.
 
     Null and empty texts contain nothing and are contained in nothing; repeated documents and items
     each get their rows.  Other columns are not read.  Each document is read once, whole.
@@ -173,4 +173,7 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     # no window moves for the join; with more of them the join is by shuffle, and Spark splits hot values (adaptive skew join).
     own = broadcast_up_to(sketches, BROADCAST_ROWS)
     met = seen.alias("d").join(own.alias("i"), ["size", "minhash"]).where(F.col("d.window") == F.col("i.window"))
-    return met.groupBy("document", "item").agg(F.countDistinct("d.window").alias("windows"))
+    counts = met.groupBy("document", "item").agg(F.countDistinct("d.window").alias("windows"))
+    # Exact shingle containment: how much of the item leaked.  One row an item; left to Spark to broadcast by size.
+    sizes = sketches.groupBy("item").agg(F.countDistinct("window").alias("all"))
+    return counts.join(sizes, "item").select("document", "item", "windows", (F.col("windows") / F.col("all")).alias("containment"))

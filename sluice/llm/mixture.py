@@ -1,10 +1,12 @@
 """Mixing sources to target shares by systematic sampling.
 
 Within a source each document has the same expected number of copies.  Documents
-stand in an order fixed by a hash; the running sum of expected copies plus one
-random offset per source crosses an integer boundary once for each copy emitted.
-So a source gives its expected size to within one document, no document gets more
-than max_repeats copies, and no random numbers are drawn per row.
+stand in order of their size class, then of a hash; the running sum of expected
+copies plus one random offset per source crosses an integer boundary once for
+each copy emitted.  So the number of copies is the expected one to within one,
+of each size class as well; tokens are the expected ones to within the largest
+document of the source and the width of a class (4.4 %).  No document gets more than
+max_repeats copies rounded up, and no random numbers are drawn per row.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ from sluice.session import materialise
 
 #: A public byte-level BPE vocabulary in tiktoken's format, and the pattern of its pieces.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Size classes per doubling of a document's tokens, and hash buckets in each (a source has some hundred classes).
+CLASSES, BUCKETS = 16, 64
 # Fixed value: how the vocabulary's texts are cut into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -32,7 +37,9 @@ def _encoding(path: str):  # noqa: ANN202
     import tiktoken
 
     if not os.path.exists(path):
-        import public_tokenizers
+        path = SparkFiles.get(os.path.basename(path))  # sent along with the job
+    if not os.path.exists(path):
+        import public_tokenizers  # where a cluster has the vocabularies as a package
 
         path = public_tokenizers.path(os.path.basename(path))
     with open(path, "rb") as lines:
@@ -41,7 +48,9 @@ def _encoding(path: str):  # noqa: ANN202
 
 
 def token_counts(documents: DataFrame, id_: str = "doc_id", source: str = "source", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
-    """(document, source, tokens) per row; null text has 0 tokens."""
+    """(document, source, tokens) per row; null text has 0 tokens.  The vocabulary's file is sent to the executors if the driver has it."""
+    if os.path.exists(tokenizer):
+        documents.sparkSession.sparkContext.addFile(tokenizer)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
@@ -79,16 +88,19 @@ def sample(counts: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     The same for the same documents and seed, however they are partitioned.  A document
     repeated in the input counts each time.
     """
-    placed = with_prefix(counts, "source", [F.col("document")], name="place")
+    size = F.floor(F.log2(F.col("tokens") + 1.0) * CLASSES)
+    placed = with_prefix(counts, "source", [F.col("document")], name="place", strata=size, buckets=BUCKETS)
     rated = placed.join(plan.select("source", F.col("copies").alias("rate")), "source")
     crossed = F.floor((F.col("place") + 1) * F.col("rate") + offset(F.col("source"), seed)) - F.floor(F.col("place") * F.col("rate") + offset(F.col("source"), seed))
     return rated.withColumn("copies", crossed.cast("int")).where("copies > 0").select("document", "source", "tokens", "copies")
 
 
 def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
-    """The mix (see `sample`) and its report: source, target_share, max_repeats, tokens, target_tokens, mixed_tokens, actual_share, short.
+    """The mix (see `sample`) and its report: source, target_share, max_repeats, tokens, target_tokens, mixed_tokens, actual_share, most_total, short.
 
-    `short`: even at the cap the source stays below its share of the size of all documents.
+    `short`: even at the cap the source stays below its share of the size of all documents.  What short sources lack makes
+    the mix smaller, and the shares of the others larger; `most_total` is the largest mix in which the source keeps its share
+    (null without a share), so the least of these is the largest mix in which all do.
     """
     counts = materialise(token_counts(documents, tokenizer=tokenizer), "token-counts")
     plan = materialise(plan_mix(counts, targets), "mix-plan")
@@ -102,6 +114,7 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, tokenizer: str
     report = report.select(
         "source", "target_share", "max_repeats", "tokens", target.alias("target_tokens"), "mixed_tokens",
         F.coalesce(F.try_divide("mixed_tokens", "size"), F.lit(0.0)).alias("actual_share"),
+        F.when(F.col("target_share") > 0, F.col("max_repeats") * F.col("tokens") / F.col("target_share")).alias("most_total"),
         ((F.col("target_share") > 0) & at_cap & (F.col("mixed_tokens") < target)).alias("short"),
     )
     return mixed, report

@@ -64,9 +64,9 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Which test items leaked, and into how many documents."""
+    """Which test items leaked, into how many documents, and how much of them at most."""
     found = leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
-    return found.groupBy(F.col("item").alias("item_id")).agg(F.count("*").alias("n_documents"), F.max("windows").alias("most_windows"))
+    return found.groupBy(F.col("item").alias("item_id")).agg(F.count("*").alias("n_documents"), F.max("windows").alias("most_windows"), F.max("containment").alias("most_containment"))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,7 +140,8 @@ kept AS (SELECT id, l, list_filter(l, lambda x, i: NOT list_contains(coalesce(go
 SELECT DISTINCT id, array_to_string(k, chr(10)) AS content, CAST(coalesce(len(l) - len(k), 0) AS INTEGER) AS n_removed FROM kept""",
     "p6_found": _LEAKS + "SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (n, v)",
     "p6_items": _LEAKS
-    + "SELECT item_id, count(*) AS n_documents, max(c) AS most_windows FROM (SELECT doc_id, item_id, count(DISTINCT v) AS c FROM dw JOIN iw USING (n, v) GROUP BY doc_id, item_id) GROUP BY item_id",
+    + """, found AS (SELECT doc_id, item_id, count(DISTINCT v) AS c FROM dw JOIN iw USING (n, v) GROUP BY doc_id, item_id), totals AS (SELECT item_id, count(DISTINCT v) AS total FROM iw GROUP BY item_id)
+SELECT item_id, count(*) AS n_documents, max(c) AS most_windows, max(c / total) AS most_containment FROM found JOIN totals USING (item_id) GROUP BY item_id""",
     "p1_found": _LINES + "SELECT DISTINCT id, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN many USING (source, key)",
     "p1_lines": _LINES + "SELECT source, min(line) AS line, n_ids, source_ids FROM keyed JOIN many USING (source, key) GROUP BY source, key, n_ids, source_ids",
     # Any measure of size gives the same sources; here it is characters.

@@ -66,7 +66,14 @@ def test_brute_force(spark):
     documents += [(500, None), (501, ""), (502, documents[0][1]), (None, "x")]
     d = spark.createDataFrame(documents, "doc_id long, text string").withColumn("item", F.lit(1)).withColumn("window", F.lit("clash"))
     i = spark.createDataFrame(items, "item_id int, text string").withColumn("doc_id", F.lit(9))
-    got = [(r["document"], r["item"]) for r in leakage.leaks(d, i).collect()]
+    rows = leakage.leaks(d, i).collect()
+    got = [(r["document"], r["item"]) for r in rows]
+    text_of, item_of = dict(documents), dict(items)
+    for r in rows[:40]:
+        want, have = leakage.words(item_of[r["item"]]), leakage.words(text_of[r["document"]])
+        n = min(10, len(want))
+        windows = {tuple(want[k : k + n]) for k in range(len(want) - n + 1)}
+        assert r["containment"] == len(windows & {tuple(have[k : k + n]) for k in range(len(have) - n + 1)}) / len(windows)
     assert len(got) == len(set(got)) and set(got) == brute(documents, items) and len(got) > 50
 
 
@@ -80,7 +87,7 @@ def test_long_document(spark):
     text = "filler " * 300_000 + "this passage of ten words stands at the very end"
     d = spark.createDataFrame([(1, text)], "doc_id long, text string")
     i = spark.createDataFrame([(1, "this passage of ten words stands at the very end")], "item_id int, text string")
-    assert [tuple(r) for r in leakage.leaks(d, i).collect()] == [(1, 1, 1)]
+    assert [tuple(r) for r in leakage.leaks(d, i).collect()] == [(1, 1, 1, 1.0)]
 
 
 def test_full_filter_loses_nothing(spark, monkeypatch):

@@ -33,6 +33,20 @@ def test_copies(spark):
     assert sorted(map(tuple, sampled)) != sorted(map(tuple, other))
 
 
+def test_tokens_are_the_expected(spark):
+    """Size classes keep tokens, not only copies, within the largest document and the width of a class."""
+    rng = random.Random(9)
+    rows = [(n, "s", int(2 ** rng.uniform(0, 11))) for n in range(400)] + [(n, "t", rng.choice([0, 5, 900])) for n in range(400, 600)]
+    counts = spark.createDataFrame(rows, COUNTS)
+    for rate in (0.1, 0.37, 1.6):
+        plan = spark.createDataFrame([("s", rate), ("t", rate)], "source string, copies double")
+        for seed in range(3):
+            got = {r["source"]: r["n"] for r in mixture.sample(counts, plan, seed).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("n")).collect()}
+            for s in "st":
+                own = [t for _, x, t in rows if x == s]
+                assert abs(got[s] - rate * sum(own)) <= max(own) + 0.045 * rate * sum(own)
+
+
 def test_report(spark):
     rows, counts, targets = data(spark)
     documents = counts.select(F.col("document").alias("doc_id"), "source", F.expr("CASE WHEN tokens = 0 THEN NULL ELSE repeat('word ', int(tokens)) END").alias("text")).withColumn("tokens", F.lit("clash"))
@@ -40,6 +54,8 @@ def test_report(spark):
     got = {r["source"]: r for r in report.collect()}
     assert {s for s, r in got.items() if r["short"]} == {"b", "none"} | ({"c"} if 4 * got["c"]["tokens"] < got["c"]["target_tokens"] else set())
     assert got["b"]["mixed_tokens"] == 2 * got["b"]["tokens"] and math.isclose(sum(r["actual_share"] for r in got.values()), 1.0)
+    for r in got.values():
+        assert (r["most_total"] is None) == (r["target_share"] == 0) and (r["most_total"] is None or math.isclose(r["most_total"], r["max_repeats"] * r["tokens"] / r["target_share"]))
     assert mixed.select("document").distinct().count() == mixed.count()
 
 
