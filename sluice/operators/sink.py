@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import dates, text, urls
+from sluice.operators.state import first_by
 from sluice.schemas import SINK
 
 ATTRIBUTES = [
@@ -45,8 +46,12 @@ def cms_rows(records: DataFrame, now: Column) -> DataFrame:
 
 
 def not_yet_stored(rows: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
-    """One row per key that the sink does not hold: makes appends safe to repeat."""
-    return rows.dropDuplicates(key).join(stored.select(*key), key, "left_anti")
+    """One row per key, the least, that the sink does not hold: makes appends safe to repeat.  A null in a key equals a null."""
+    known = stored.select(*[F.col(k).alias(f"__{k}") for k in key])
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return first_by(rows.join(known, same, "left_anti"), key, [])
 
 
 def ensure(spark: SparkSession, path: str) -> bool:

@@ -24,7 +24,16 @@ def equals(df: DataFrame, **wanted: str | None) -> DataFrame:
 
 
 def first_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the first in the order.  Ties are broken by the whole row, so the result is fixed."""
+    """One row per key: the first in the order.  Ties are broken by the whole row, so the result is fixed.
+
+    Without an order the least row is found with map-side combine, so that a key of very many rows is no burden.
+    """
+    if not order:
+        rest = [c for c in df.columns if c not in key]
+        if not rest:
+            return df.distinct()
+        least = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__least"))
+        return least.select(*[F.col(c) if c in key else F.col("__least")[c].alias(c) for c in df.columns])
     packed = F.struct(*df.columns)
     ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order, packed)))
     return ranked.where("__rank = 1").drop("__rank")
@@ -32,8 +41,8 @@ def first_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> Data
 
 def insert_absent(state: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """The state and, of keys it lacks, the first new row each.  Rows that exist are never changed; new rows without key are left out."""
-    keyed = new.dropna(subset=list(key))
-    fresh = first_by(keyed, key, order).join(state.select(*key), list(key), "left_anti")
+    keyed = new.dropna(subset=list(key)).join(state.select(*key), list(key), "left_anti")
+    fresh = first_by(keyed, key, order).select(*new.columns)
     return state.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -33,20 +33,30 @@ def cms_run(records: DataFrame, tracked: DataFrame, stored: DataFrame, now: Colu
     """One run over fetched CMS records (cms_key, collection, source, id, attributes).
 
     New records are tracked as pending.  An incremental run works on pending ones, a full run on all.  Records
-    that can't be structured become failed, with the reason; only rows that go to the sink become successes.
+    that can't be structured become failed, with the reason; those whose row goes to the sink, or is there already, become
+    successes, and only rows that go there now count as inserted.  Records without id have no key: they count as failed and
+    are neither tracked nor stored.  Of records repeated under a key the least is taken.
     """
-    keyed = records.withColumn("record_id", text.joined_id(F.col("cms_key"), F.col("collection"), F.col("id")))
+    keyed = records.withColumn("record_id", F.when(F.col("id").isNotNull(), text.joined_id(F.col("cms_key"), F.col("collection"), F.col("id"))))
     title = text.clean(F.get_json_object("attributes", "$.title"))
     seen = keyed.select("record_id", "source", "cms_key", "collection", F.col("id").alias("strapi_id"), title.alias("title"),
                         F.try_to_timestamp(F.get_json_object("attributes", "$.publishedAt")).alias("published_at"), now.alias("first_seen"), F.lit("pending").alias("scrape_status"))
     known = state.insert_absent(tracked, _typed(seen, schemas.CMS_STATE), ["record_id"])
-    todo = keyed if full else state.present(keyed, known.where("scrape_status = 'pending'"), ["record_id"])
-    work = materialise(jsonattrs.structured(todo.dropDuplicates(["record_id"]), fixed_source=fixed_source), "cms-work")
-    rows = sink.not_yet_stored(sink.cms_rows(work, now), stored, ["source", "content_type", "id"])
-    events = work.select("record_id", now.alias("at"), F.when(F.col("problem").isNull(), "success").otherwise("failed").alias("status"), F.col("problem").alias("error"))
+    whole = keyed.where("record_id IS NOT NULL")
+    todo = whole if full else state.present(whole, known.where("scrape_status = 'pending'"), ["record_id"])
+    work = materialise(jsonattrs.structured(state.first_by(todo, ["record_id"], []), fixed_source=fixed_source), "cms-work")
+    # Written before the sink is, so that counts don't change when the sink has taken the rows.
+    rows = materialise(sink.not_yet_stored(sink.cms_rows(work, now), stored, ["source", "content_type", "id"]), "cms-rows")
+    good = F.col("problem").isNull()
+    events = work.select("record_id", now.alias("at"), F.when(good, "success").otherwise("failed").alias("status"), F.col("problem").alias("error"))
     after = state.apply_events(known, events, ["record_id"], ["at"], {"scrape_status": "status", "last_scraped": "at"}, {"error_message": "error"})
-    counts = work.groupBy(F.col("source")).agg(F.count("*").alias("fetched"), F.count_if(F.col("problem").isNull()).alias("inserted"), F.count_if(F.col("problem").isNotNull()).alias("failed"))
-    return Run(rows, after, counts)
+    mine = rows.select(F.col("source").alias("app_source"), F.col("content_type").alias("collection"), "id", F.lit(1).alias("new"))
+    landed = state.first_by(work.where(good).select("app_source", "collection", F.col("id").cast("string").alias("id"), "source"), ["app_source", "collection", "id"], [])
+    inserted = landed.join(mine, ["app_source", "collection", "id"]).groupBy("source").agg(F.count("*").alias("inserted"))
+    lost = keyed.where("record_id IS NULL").groupBy("source").agg(F.count("*").alias("lost"))
+    done = work.groupBy("source").agg(F.count("*").alias("n"), F.count_if(~good).alias("bad"))
+    counts = done.join(inserted, "source", "left").join(lost, "source", "full").fillna(0, ["n", "bad", "inserted", "lost"])
+    return Run(rows, after, counts.select("source", (F.col("n") + F.col("lost")).alias("fetched"), "inserted", (F.col("bad") + F.col("lost")).alias("failed")))
 
 
 def wp_run(found: DataFrame, tracked: DataFrame, stored: DataFrame, fetch: Fetch, now: Column, full: bool = False, images: DataFrame | None = None, retry: Retry = Retry()) -> Run:
@@ -59,7 +69,7 @@ def wp_run(found: DataFrame, tracked: DataFrame, stored: DataFrame, fetch: Fetch
     seen = content.select("url", "source", "sitemap_url", now.alias("first_seen"), F.try_to_timestamp("lastmod").alias("last_modified"), F.lit("pending").alias("scrape_status"), F.lit(0).alias("scrape_count"))
     known = state.insert_absent(tracked, _typed(seen, schemas.URL_STATE), ["url"])
     if full:
-        todo = state.absent(content.select("url", "source").dropDuplicates(["url"]), known.where("scrape_status = 'success'"), ["url"])
+        todo = state.absent(state.first_by(content.select("url", "source"), ["url"], []), known.where("scrape_status = 'success'"), ["url"])
     else:
         todo = known.where("scrape_status = 'pending'").select("url", "source")
     raw = materialise(pages.fetch_pages(todo.repartition("url"), fetch, retry), "wp-raw")  # each page is fetched once
@@ -69,7 +79,7 @@ def wp_run(found: DataFrame, tracked: DataFrame, stored: DataFrame, fetch: Fetch
     flat = flat.withColumn("title", text.clean_title(F.col("title"))).withColumn("description", markup.short(F.col("description")))
     if images is not None:
         flat = enrich.with_images(flat, "url", images)
-    rows = sink.not_yet_stored(sink.page_rows(flat, now), stored, ["id"])
+    rows = materialise(sink.not_yet_stored(sink.page_rows(flat, now), stored, ["id"]), "wp-rows")
     good = read.where("ok").select("url", F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"), F.col("article.content_hash").alias("hash"))
     bad = read.where("NOT ok").select("url", F.lit("failed").alias("status"), "error", F.lit(None).cast("string").alias("hash"))
     gone = lost.select("url", F.lit("failed").alias("status"), "error", F.lit(None).cast("string").alias("hash"))

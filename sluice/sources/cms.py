@@ -38,13 +38,21 @@ def answer_of(answer: bytes | None, response_key: str) -> tuple[dict | None, str
         return None, f"{type(odd).__name__}: {odd}"
 
 
+#: So many pages are asked for the number of pages before a collection is given up.
+FIRST = 3
+
+
 class Page(InputPartition):
     def __init__(self, page: int, known: tuple[int, int, str] | None = None) -> None:
         self.page, self.known = page, known
 
 
 class CmsPages(DataSource):
-    """Options: endpoint, response_key, fields, page_size (100), start_page (1), max_pages, folder (answers from files), token."""
+    """Options: endpoint, response_key, fields, page_size (100), start_page (1), max_pages (all), folder (answers from files), token.
+
+    The number of pages is what the first page that answers says; the pages before it become rows with their problems, and
+    after FIRST pages without an answer the collection is given up, with a row for each.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -60,7 +68,7 @@ class CmsPages(DataSource):
 class CmsReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.key, self.fields, self.endpoint = options["response_key"], options.get("fields", "id attributes"), options["endpoint"]
-        self.size, self.start, self.most = int(options.get("page_size", 100)), int(options.get("start_page", 1)), int(options.get("max_pages", 1_000_000))
+        self.size, self.start, self.most = int(options.get("page_size", 100)), int(options.get("start_page", 1)), int(options["max_pages"]) if options.get("max_pages") else None
         headers = (("Content-Type", "application/json"), *((("Authorization", f"Bearer {options['token']}"),) if options.get("token") else ()))
         self.fetch: Fetch = Folder(options["folder"]) if options.get("folder") else Http(headers)
 
@@ -69,14 +77,18 @@ class CmsReader(DataSourceReader):
         return (None, problem) if answer is None else answer_of(answer, self.key)
 
     def partitions(self) -> list[Page]:
-        """The number of pages is what the first page says when the read is planned; that page isn't fetched again."""
-        first, problem = self._ask(self.start)
-        if first is None:
-            return [Page(self.start, (0, 0, json.dumps({"problem": problem})))]
-        counts = (first.get("meta") or {}).get("pagination") or {}
-        pages, total = int(counts.get("pageCount") or 1), int(counts.get("total") or 0)
-        last = min(pages, self.start + self.most - 1)
-        return [Page(self.start, (pages, total, json.dumps(first))), *(Page(p, (pages, total, "")) for p in range(self.start + 1, last + 1))]
+        """A page that was asked while the read was planned isn't fetched again."""
+        asked: list[Page] = []
+        for page in range(self.start, self.start + min(FIRST, self.most or FIRST)):
+            first, problem = self._ask(page)
+            if first is None:
+                asked.append(Page(page, (0, 0, json.dumps({"problem": problem}))))
+                continue
+            counts = (first.get("meta") or {}).get("pagination") or {}
+            pages, total = int(counts.get("pageCount") or 1), int(counts.get("total") or 0)
+            last = pages if self.most is None else min(pages, self.start + self.most - 1)
+            return [*asked, Page(page, (pages, total, json.dumps(first))), *(Page(p, (pages, total, "")) for p in range(page + 1, last + 1))]
+        return asked
 
     def read(self, partition: Page) -> Iterator[tuple]:
         pages, total, body = partition.known or (0, 0, "")

@@ -47,6 +47,56 @@ def test_transport():
     assert transport.fetched(broken, "u", None, transport.Retry(), waits.append) == (None, "OSError: down") and waits == [1.0, 2.0]
 
 
+def test_what_is_tried_again():
+    from urllib.error import HTTPError
+
+    def answers(*codes, headers=None):
+        left = list(codes)
+
+        def fetch(url, body):
+            code = left.pop(0)
+            if code != 200:
+                raise HTTPError(url, code, "odd", headers or {}, None)
+            return b"ok"
+
+        return fetch
+
+    waits = []
+    ask = lambda fetch, retry=transport.Retry(): transport.fetched(fetch, "u", None, retry, waits.append)
+    assert ask(answers(404))[0] is None and ask(answers(403))[0] is None and waits == []
+    assert ask(answers(503, 200)) == (b"ok", None) and waits == [1.0]
+    assert ask(answers(429, 200, headers={"Retry-After": "7"})) == (b"ok", None) and waits[1:] == [7.0]
+    assert ask(answers(429, 200, headers={"Retry-After": "700"})) == (b"ok", None) and waits[2:] == [10.0]
+    assert ask(answers(200), transport.Retry(pause=0.5)) == (b"ok", None) and waits[3:] == [0.5]
+
+
+def test_first_page_lost(spark, tmp_path, now):
+    meta = {"pagination": {"total": 3, "page": 2, "pageSize": 1, "pageCount": 3}}
+    part = lambda i: {"data": {"posts": {"data": [{"id": str(i), "attributes": {}}], "meta": meta}}}
+    answers(str(tmp_path), {1: {"errors": [{"message": "no"}]}, 2: part(2), 3: part(3)})
+    spark.dataSource.register(cms.CmsPages)
+    load = lambda **k: spark.read.format("cms_pages").options(endpoint="https://api", response_key="posts", page_size="2", folder=str(tmp_path), **k).load()
+    stats = cms.page_stats(load()).first()
+    assert (stats["page_count"], stats["pages_read"], stats["failed_pages"]) == (3, 2, [1])
+    assert sorted(r["id"] for r in cms.records(load()).collect()) == ["2", "3"] and [r["id"] for r in cms.records(load(max_pages="2")).collect()] == ["2"]
+    gone = spark.read.format("cms_pages").options(endpoint="https://no", response_key="posts", folder=str(tmp_path)).load()
+    assert sorted(r["page"] for r in gone.where("problem IS NOT NULL").collect()) == [1, 2, 3]
+
+
+def test_cms_run_counts_what_reaches_the_sink(spark, now):
+    schema = "cms_key string, collection string, source string, id string, attributes string"
+    records = [("k", "post", "S", None, '{"title": "A"}'), ("k", "post", "S", None, '{"title": "B"}'), ("k", "post", "S", "1", '{"title": "C"}'), ("k", "post", "S", "1", '{"title": "D"}'), ("k", "post", "S", "2", '{"title": 5}'), ("k", "post", "S", "3", '{"title": "E"}')]
+    fetched = spark.createDataFrame(records, schema)
+    none = spark.createDataFrame([], schemas.CMS_STATE)
+    stored = spark.createDataFrame([("3", "0", "post")], "id string, source string, content_type string")
+    run = jobs.cms_run(fetched, none, stored, now)
+    assert [(r["id"], r["title"]) for r in run.rows.collect()] == [("1", "C")]
+    assert {r["record_id"]: r["scrape_status"] for r in run.state.collect()} == {"k_post_1": "success", "k_post_2": "failed", "k_post_3": "success"}
+    assert [tuple(r) for r in run.counts.collect()] == [("S", 5, 1, 3)]
+    again = jobs.cms_run(fetched, run.state, run.rows.unionByName(stored, allowMissingColumns=True), now)
+    assert again.rows.count() == 0 and [tuple(r) for r in again.counts.collect()] == [("S", 2, 0, 2)]
+
+
 @pytest.mark.parametrize("xml", ["", "<x", "<urlset/>", "<a>text</a>", None])
 def test_sitemaps_that_hold_nothing(xml):
     assert sitemap.parse(xml) == ([], [])
