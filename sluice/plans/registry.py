@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import ingestion, training
+from sluice.plans import ingestion, records, training
 
-QUERIES = ingestion.QUERIES | training.QUERIES
-SQL = ingestion.SQL | training.SQL
+QUERIES = ingestion.QUERIES | records.QUERIES | training.QUERIES
+SQL = ingestion.SQL | records.SQL | training.SQL
 FLAGSHIP = "p4_found"
