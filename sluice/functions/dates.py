@@ -16,8 +16,8 @@ def iso_instant(x: Column) -> Column:
 
 
 def feed_instant(x: Column) -> Column:
-    """The instant of a text in one of the feed forms; other text gives null (see `unread`)."""
-    return F.coalesce(*[F.try_to_timestamp(x, F.lit(form)) for form in FEED_FORMATS])
+    """The instant of a text in one of the feed forms, with a year of four digits; other text gives null (see `unread`)."""
+    return F.when(x.rlike(r"^\d{4}-"), F.coalesce(*[F.try_to_timestamp(x, F.lit(form)) for form in FEED_FORMATS]))
 
 
 def unread(x: Column) -> Column:

@@ -179,8 +179,8 @@ _FIELDS = "title description content published_date modified_date author categor
 @query(rf"""WITH a AS (SELECT DISTINCT source, locale, {", ".join(f"json_extract_string(attributes, '$.{f}') AS {f}" for f in _FIELDS)} FROM {CONTENT} WHERE attributes IS NOT NULL AND {_OBJECT})
 SELECT DISTINCT string_split(source, '/')[-1] || '_' || left(md5(original_url), 12) AS id, source, 'post' AS content_type, left(title, 500) AS title, left(string_split(trim(regexp_extract(original_url, '^[^:]+://[^/?#]*([^?#]*)', 1), '/'), '/')[-1], 200) AS slug,
  coalesce(locale, 'en') AS locale, '[]' AS external_images, CAST(len({ingestion._words("coalesce(content, '')")}) AS INTEGER) AS word_count, md5(content) AS content_md5,
- coalesce(epoch_us(CASE WHEN regexp_matches(published_date, '^\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}(Z|[+\-]\d{{2}}:\d{{2}})$') THEN try_cast(published_date AS TIMESTAMPTZ) WHEN regexp_matches(published_date, '^\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}\.\d{{1,6}}(Z|[+\-]\d{{2}}:\d{{2}})$') THEN try_cast(published_date AS TIMESTAMPTZ)
- WHEN regexp_matches(published_date, '^\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\d{{2}}:\d{{2}})?$') THEN try_cast(published_date || CASE WHEN length(published_date) = 10 THEN ' 00:00:00' ELSE '' END || '+00:00' AS TIMESTAMPTZ) END), -1) AS published_micros FROM a WHERE original_url IS NOT NULL""")
+ coalesce(epoch_us(CASE WHEN regexp_matches(published_date, '(?i)^\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}(\.\d{{1,6}})?(Z|[+\-]\d{{2}}:\d{{2}})$') THEN try_cast(upper(published_date) AS TIMESTAMPTZ)
+ WHEN regexp_matches(published_date, '(?i)^\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\d{{2}}:\d{{2}})?$') THEN try_cast(upper(published_date) || CASE WHEN length(published_date) = 10 THEN ' 00:00:00' ELSE '' END || '+00:00' AS TIMESTAMPTZ) END), -1) AS published_micros FROM a WHERE original_url IS NOT NULL""")
 def page_sink_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of scraped pages for the sink, from what was scraped of them."""
     own = table(spark, folder, CONTENT).where(_valid("attributes") & F.col("attributes").startswith("{"))
