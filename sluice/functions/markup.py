@@ -204,12 +204,15 @@ def article(root: Node) -> Node | None:
     for place in ARTICLE_PLACES:
         if (node := select(root, place)) is not None:
             return node
+    # Characters of text below each node, from the leaves up: one look at each, however deep they nest.
+    order = list(root.walk())
+    sizes: dict[int, int] = {}
+    for node in reversed(order):
+        sizes[id(node)] = sum(len(c.strip()) if isinstance(c, str) else sizes[id(c)] for c in node.children)
     best, most = None, 0
-    for node in root.walk():
-        if node.name == "div" and not any(x in " ".join(node.classes()).lower() for x in NO_BLOCK):
-            size = len(node.text())
-            if size > most:
-                best, most = node, size
+    for node in order:
+        if node.name == "div" and sizes[id(node)] > most and not any(x in " ".join(node.classes()).lower() for x in NO_BLOCK):
+            best, most = node, sizes[id(node)]
     return best
 
 

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import json
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluice.sources import cms
 
-COLLECTIONS = "cms_key string, collection string, response_key string, source string"
+#: `fields`: the collection's field list, as it is asked of the API; null: `id attributes`.
+COLLECTIONS = "cms_key string, collection string, response_key string, source string, fields string"
 SITES = "site string, source string, sitemap_url string"
 
 
@@ -21,3 +27,18 @@ def check(registry: DataFrame, key: str, value: str) -> None:
     names = sorted(r[0] for r in registry.select(key).distinct().collect())
     if value not in names:
         raise ValueError(f"unknown {key} {value!r}; known: {', '.join(names)}")
+
+
+def read_pages(spark: SparkSession, collections: DataFrame, endpoint: str, **options: str) -> DataFrame:
+    """The pages of all collections of a registry, one lazy read each; see `cms.CmsPages`."""
+    spark.dataSource.register(cms.CmsPages)
+    entries = collections.select("response_key", "fields").distinct().orderBy("response_key").collect()  # a few rows
+    asked = lambda e: {"endpoint": endpoint, "response_key": e["response_key"], **({"fields": e["fields"]} if e["fields"] else {}), **options}
+    reads = [spark.read.format("cms_pages").options(**asked(e)).load() for e in entries]
+    return reduce(DataFrame.unionByName, reads, spark.createDataFrame([], cms.PAGES))
+
+
+def records(pages: DataFrame, collections: DataFrame) -> DataFrame:
+    """(cms_key, collection, source, id, attributes) of the records on the pages."""
+    named = F.broadcast(collections.select("response_key", "cms_key", "collection", "source"))  # a registry
+    return cms.records(pages).join(named, "response_key").select("cms_key", "collection", "source", "id", "attributes")

@@ -182,3 +182,16 @@ def test_links_of():
 def test_white_space_class(spark):
     chars = spark.createDataFrame([(p, chr(p)) for p in range(1, 0x10000) if not 0xD800 <= p <= 0xDFFF], "id int, c string")
     assert sorted(r["id"] for r in chars.where(F.col("c").rlike(f"^[{text.WHITE}]$")).collect()) == sorted(text.WHITE_POINTS)
+
+
+def test_nested_blocks_are_read_once():
+    import time
+
+    deep = lambda n: "<div>word " * n + "end" + "</div>" * n
+    seconds = []
+    for n in (2_000, 16_000):
+        root = markup.parse(deep(n))
+        start = time.perf_counter()
+        assert markup.article(root) is not None and len(markup.article(root).text()) == 4 * n + 3
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < max(1.0, 24 * seconds[0])  # quadratic would be 64

@@ -188,3 +188,95 @@ def test_ensure(spark, tmp_path):
     from sluice.operators import sink
 
     assert sink.ensure(spark, f"{tmp_path}/t") and not sink.ensure(spark, f"{tmp_path}/t") and spark.read.parquet(f"{tmp_path}/t").count() == 0
+
+
+def registry_file(tmp_path, rows):
+    path = str(tmp_path / "registry.json")
+    with open(path, "w") as file:
+        json.dump(rows, file)
+    return path
+
+
+def test_runs_by_command(spark, tmp_path, capsys):
+    """Both pipelines from the command line over answers in files: dry, incremental, again, full, stopped."""
+    from sluice import cli
+    from sluice.plans import runner
+
+    meta = {"pagination": {"total": 3, "page": 1, "pageSize": 2, "pageCount": 2}}
+    part = lambda *r: {"data": {"posts": {"data": list(r), "meta": meta}}}
+    record = lambda i, **k: {"id": str(i), "attributes": {"title": f"T{i}", **k}}
+    web = tmp_path / "web"
+    web.mkdir()
+    answers(str(web), {1: part(record(1), record(2)), 2: part(record(3, title=7))})
+    path = registry_file(tmp_path, [{"cms_key": "k", "collection": "post", "response_key": "posts", "source": "S", "fields": None}, {"cms_key": "k", "collection": "page", "response_key": "pages", "source": "S", "fields": "id"}])
+    state, out = f"file://{tmp_path}/state", f"file://{tmp_path}/out"
+    run = lambda *more: cli.main(["run", "cms", "--registry", path, "--endpoint", "https://api", "--state", state, "--sink", out, "--answers", str(web), "--collection", "post", *more])
+    stores = runner.Stores(spark, state)
+    assert run("--dry-run") == 0 and stores.records.read().count() == 0 and stores.checkpoints.read().count() == 0
+    assert run() == 0
+    assert {r["record_id"]: r["scrape_status"] for r in stores.records.read().collect()} == {"k_post_1": "success", "k_post_2": "success", "k_post_3": "failed"}
+    point = stores.checkpoints.read().first()
+    assert (point["status"], point["processed_items"], point["successful_items"], point["failed_items"]) == ("completed", 3, 2, 1) and point["end_time"] is not None
+    assert spark.read.parquet(out).count() == 2 and stores.runs.read().first()["last_result"] == "completed"
+    assert run("--mode", "full") == 0 and spark.read.parquet(out).count() == 2
+    with pytest.raises(SystemExit):
+        cli.main(["run", "cms", "--registry", path, "--state", state, "--sink", out])
+    with pytest.raises(ValueError, match="unknown collection"):
+        run("--collection", "none")
+    assert cli.main(["diagnose", "cms", "--registry", path, "--state", state, "--sink", out]) == 0
+    assert cli.main(["diagnose", "cms", "--registry", f"{path}.no", "--sink", f"{out}/no"]) == 1
+
+
+def test_wp_by_command(spark, site, tmp_path):
+    from sluice import cli
+    from sluice.plans import runner
+
+    path = registry_file(tmp_path, [{"site": "h", "source": "W/H", "sitemap_url": "https://h/index.xml"}, {"site": "g", "source": "W/G", "sitemap_url": "https://g/x.xml"}])
+    state, out = f"file://{tmp_path}/state", f"file://{tmp_path}/out"
+    stores = runner.Stores(spark, state)
+    other = spark.createDataFrame([("https://g/a", "W/G", "pending")], "url string, source string, scrape_status string")
+    stores.urls.write(jobs._typed(other, schemas.URL_STATE))
+    assert cli.main(["run", "wp", "--registry", path, "--state", state, "--sink", out, "--answers", site, "--site", "h"]) == 0
+    assert {r["url"]: r["scrape_status"] for r in stores.urls.read().collect()} == {"https://h/a": "success", "https://h/b": "success", "https://h/lost": "failed", "https://g/a": "pending"}
+    assert sorted(r["title"] for r in spark.read.parquet(out).collect()) == ["Page a", "Page b"]
+
+
+def test_stop(spark, tmp_path, now):
+    """A run that is asked to stop stores nothing and closes its checkpoint."""
+    from datetime import UTC, datetime
+
+    from sluice.plans import runner
+
+    state, out = f"file://{tmp_path}/state", f"file://{tmp_path}/out"
+    stores = runner.Stores(spark, state)
+    rows = spark.createDataFrame([("1", "S")], "id string, source string").selectExpr("*", "current_timestamp() AS created_at")
+
+    def work(tracked, stored, full):
+        runner.request_stop(stores, "cms")
+        return jobs.Run(jobs._typed(rows, schemas.SINK), tracked, spark.createDataFrame([("S", 1, 1, 0)], "source string, fetched int, inserted int, failed int"))
+
+    with pytest.raises(runner.Stopped):
+        runner._run(spark, "cms", stores.records, stores, out, "full", False, ["S"], datetime(2024, 1, 1, tzinfo=UTC), work)
+    assert spark.read.parquet(out).count() == 0 and [r["status"] for r in stores.checkpoints.read().collect()] == ["cancelled"]
+    row = stores.runs.read().first()
+    assert row["last_result"] == "cancelled" and row["shutdown_requested"] is False and row["last_completed_at"] is not None
+
+
+def test_lookups(spark, tmp_path):
+    """Enrichment from the API's answers to images: what can't be had leaves the rest."""
+    from sluice.plans import runner
+    from sluice.sources import wikimedia as w
+
+    api = "https://wiki/api"
+    put_json = lambda url, body: put(str(tmp_path), url, json.dumps(body))
+    put_json(w.search_address(api, "old mill"), {"query": {"search": [{"title": "Mill", "pageid": 7}, {"title": "Lost", "pageid": 8}]}})
+    put_json(w.page_address(api, 7), {"query": {"pages": {"7": {"title": "Mill", "fullurl": "https://w/Mill", "original": {"source": "o"}, "images": [{"title": "File:Logo.png"}, {"title": "File:Mill.jpg"}]}}}})
+    info = {"url": "full", "thumburl": "thumb", "width": 900, "height": 10, "extmetadata": {"LicenseShortName": {"value": "CC0"}, "ImageDescription": {"value": "<i>A mill</i>"}, "Artist": {"value": "Ann"}}}
+    put_json(w.file_address(api, "File:Mill.jpg"), {"query": {"pages": {"-1": {"imageinfo": [info]}}}})
+    fetch = transport.Folder(str(tmp_path))
+    queries = spark.createDataFrame([("r1", 0, "old mill"), ("r2", 0, "unknown")], "key string, step int, query string")
+    got = {r["key"]: r["images"] for r in runner.look_up(queries, fetch, api, ONCE, 2).collect()}
+    assert set(got) == {"r1"} and [(i["image_url"], i["license"], i["title"], i["description"]) for i in got["r1"]] == [("o", "Wikipedia", "Mill", "Image from Wikipedia article: Mill"), ("thumb", "CC0 1.0", "Mill.jpg", "A mill")]
+    failed = w.searches(queries.select("query"), fetch, api, ONCE).where("problem IS NOT NULL").collect()
+    assert [r["query"] for r in failed] == ["unknown"]
+    assert w.files(spark.createDataFrame([(None,)], "file string"), fetch, api, ONCE).first()["problem"] == "nothing asked"
