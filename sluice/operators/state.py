@@ -116,11 +116,16 @@ def newest(df: DataFrame, by: str, n: int, nulls_first: bool = False, key: str |
     return df.orderBy(column, *([F.col(key)] if key else [])).limit(n)
 
 
+#: So many appended parts are read beside the last whole version before they are made one with it.
+PARTS = 20
+
+
 class StateStore:
-    """Versions of a state table in a folder that all executors share; a pointer names the current one.
+    """Versions of a state table in a folder that all executors share; a pointer names the folders of the current one.
 
-    A version is written whole before the pointer moves, by a rename, so readers see the old or the
-    new state and a job that dies leaves the old one.
+    A version is written before the pointer moves, by a rename, so readers see the old or the
+    new state and a job that dies leaves the old one.  `write` replaces the state; `append` adds rows of new keys and
+    writes only those, whatever the state's size.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: str) -> None:
@@ -141,7 +146,7 @@ class StateStore:
         pointer = self._current()
         if pointer is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(os.path.join(self.folder, self._pointed(pointer)["version"]))
+        return self.spark.read.schema(self.schema).parquet(*[os.path.join(self.folder, v) for v in self._pointed(pointer)["versions"]])
 
     def _pointed(self, pointer: str) -> dict:
         return json.loads(self.spark.read.text(os.path.join(self.folder, pointer)).first()[0])
@@ -152,13 +157,26 @@ class StateStore:
         return self._pointed(pointer)["note"] if pointer else None
 
     def write(self, state: DataFrame, note: str | None = None) -> None:
+        """The state as a whole."""
+        self._move(state, [], note)
+
+    def append(self, rows: DataFrame, note: str | None = None) -> None:
+        """Rows whose keys the state lacks.  Every PARTS times the state is written whole."""
+        pointer = self._current()
+        parts = self._pointed(pointer)["versions"] if pointer else []
+        if len(parts) < PARTS:
+            self._move(rows, parts, note)
+        else:
+            self._move(self.read().unionByName(rows), [], note)
+
+    def _move(self, rows: DataFrame, parts: list[str], note: str | None) -> None:
         before = self._current()
         number = int(before.split("-")[1]) + 1 if before else 1
         version = f"version-{number:012d}-{uuid.uuid4().hex}"
-        state.write.parquet(os.path.join(self.folder, version))
+        rows.write.parquet(os.path.join(self.folder, version))
         temporary = self._path(f".tmp-{uuid.uuid4().hex}")
         stream = self._fs.create(temporary)
-        stream.write(bytearray(json.dumps({"version": version, "note": note}).encode()))
+        stream.write(bytearray(json.dumps({"versions": [*parts, version], "note": note}).encode()))
         stream.close()
         if not self._fs.rename(temporary, self._path(f"current-{number:012d}")):
             raise RuntimeError("another writer has moved the state on")

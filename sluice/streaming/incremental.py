@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from sluice.operators.state import StateStore, first_by
+from sluice.session import materialise
 
 
 def run_available(
@@ -25,9 +26,12 @@ def run_available(
         if int(store.note() or -1) >= number:
             return
         known = store.read()
-        fresh = first_by(batch.dropna(subset=key), key, []).join(known.select(*key), key, "left_anti")
+        # Of the state only keys are read, and only new rows are written.
+        new = batch.dropna(subset=key).join(known.select(*key), key, "left_anti")
+        fresh = materialise(first_by(new, key, []).select(*batch.columns), "fresh")
         transform(fresh).write.mode("overwrite").parquet(f"{sink_path}/batch={number}")
-        store.write(known.unionByName(fresh, allowMissingColumns=True).select(*known.columns), str(number))
+        own = [F.col(f.name) if f.name in fresh.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in known.schema]
+        store.append(fresh.select(*own), str(number))
 
     stream = spark.readStream.schema(schema).parquet(folder)
     return stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(one).start()

@@ -192,6 +192,6 @@ def test_nested_blocks_are_read_once():
     for n in (2_000, 16_000):
         root = markup.parse(deep(n))
         start = time.perf_counter()
-        assert markup.article(root) is not None and len(markup.article(root).text()) == 4 * n + 3
+        assert markup.article(root) is not None and len(markup.article(root).text()) == 4 * n + 4
         seconds.append(time.perf_counter() - start)
     assert seconds[1] < max(1.0, 24 * seconds[0])  # quadratic would be 64

@@ -179,3 +179,15 @@ def test_unknown_name(spark):
     registry.check(sites, "site", "a")
     with pytest.raises(ValueError, match="unknown site"):
         registry.check(sites, "site", "b")
+
+
+def test_appended_parts(spark, tmp_path, monkeypatch):
+    """Appending writes the new rows only; now and then the parts become one."""
+    monkeypatch.setattr(state, "PARTS", 3)
+    store = state.StateStore(spark, f"file://{tmp_path}/s", "id int, v string")
+    for n in range(9):
+        store.append(spark.createDataFrame([(n, "x")], "id int, v string"), str(n))
+        assert sorted(r["id"] for r in store.read().collect()) == list(range(n + 1)) and store.note() == str(n)
+        assert len(store._pointed(store._current())["versions"]) <= 3
+    store.write(spark.createDataFrame([(7, "y")], "id int, v string"))
+    assert [tuple(r) for r in store.read().collect()] == [(7, "y")] and store.note() is None
