@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
+from functools import lru_cache
 from zoneinfo import ZoneInfo, available_timezones
 
 import pyarrow as pa
@@ -26,7 +27,8 @@ FIRST_YEAR, LAST_YEAR = 1800, 2450
 READING = "__micros long, __offset int, __zone string"
 
 
-def offset_intervals(zone: str) -> list[tuple[int, int, int]]:
+@lru_cache(maxsize=1000)
+def offset_intervals(zone: str) -> tuple[tuple[int, int, int], ...]:
     """(from, to, offset): UTC seconds from which to which a zone keeps an offset, FIRST_YEAR to LAST_YEAR and open at both ends."""
     tz = ZoneInfo(zone)
     at = lambda s: int((datetime(1970, 1, 1, tzinfo=UTC) + timedelta(seconds=s)).astimezone(tz).utcoffset().total_seconds())
@@ -50,7 +52,7 @@ def offset_intervals(zone: str) -> list[tuple[int, int, int]]:
                 low, high = (mid, high) if at(mid) == now else (low, mid)
             out.append((since, high, now))
             since, now = high, at(high)
-    return [*out, (since, 1 << 40, now)]
+    return (*out, (since, 1 << 40, now))
 
 
 def _year(seconds: int) -> int:
