@@ -37,7 +37,7 @@ CONTAINERS, BYTES = 100_000, 16_000_000
 #: Excessive keys are broadcast to the scan of texts up to so many: 8 MB of hashes.  Beyond, lines go by number, joined by id.
 KEYS = 1_000_000
 
-_RECORDS = "source string, id string, line_nos array<int>, keys array<long>, variants array<long>"
+_RECORDS = "source string, id string, line_nos array<int>, keys array<long>, variants array<short>"
 _NOT_ASCII_LETTER = bytes(b for b in range(128) if not (97 <= b <= 122 or b == 10))
 
 
@@ -81,7 +81,8 @@ def _signed(values: list[int]) -> np.ndarray:
 
 def line_keys(records: DataFrame, source: str, id_: str, attributes: str) -> DataFrame:
     """(source, id, line_nos, keys, variants) per record: of each line with letters its number, the hash of its
-    normal form and the hash of its exact form.  Records without lines stay, with empty arrays."""
+    normal form and a short hash of its exact form (variants that share it share a bitmap, and would be united anyway).
+    Records without lines stay, with empty arrays."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -95,10 +96,10 @@ def line_keys(records: DataFrame, source: str, id_: str, attributes: str) -> Dat
                         if line:
                             at.append(i + 1)
                             key.append(digest(line))
-                            exact.append(digest(raw[i]))
+                            exact.append(digest(raw[i]) & 0x7FFF)
                 ends.append(len(at))
             offsets = pa.array(ends, pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (np.array(at, np.int32), _signed(key), _signed(exact))]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (np.array(at, np.int32), _signed(key), np.array(exact, np.int16))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["source", "id", "line_nos", "keys", "variants"])
 
     slim = records.select(F.col(source).alias("source"), F.col(id_).alias("id"), F.col(attributes).alias("attributes"))

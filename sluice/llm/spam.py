@@ -66,8 +66,9 @@ _LINK = re.compile(
 )
 #: A host without scheme ends in letters.
 _HOST = re.compile(r"[^/]*\.[a-z]{2,}(?:/|$)", re.IGNORECASE)
-#: Every link has one of these.
-_LINKISH = re.compile(r"\.[a-z]{2}|://|href|\]\(", re.IGNORECASE)
+#: Every link has one of these, in lower case.
+_LINKISH = ("://", "](", "href")
+_DOMAIN = re.compile(r"\.[a-z]{2}")
 _ONES = b"\x01" * 64
 _TAG = re.compile(r"<[^<>]*+>")
 _DIGIT = re.compile(r"\d")
@@ -212,7 +213,8 @@ def read_words(text: str | None) -> Words | None:
         marks.append(len(found))
         return _MARK
 
-    if _LINKISH.search(text):
+    low = text.lower()
+    if any(x in low for x in _LINKISH) or _DOMAIN.search(low):
         text = _LINK.sub(mark, text)
     if "#" in text:
         text = _HASHTAG.sub(mark, text)
