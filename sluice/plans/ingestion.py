@@ -178,13 +178,6 @@ def durations(spark: SparkSession, folder: str) -> DataFrame:
 # --- joins with the state
 
 
-def latest(spark: SparkSession, folder: str) -> DataFrame:
-    """The URL state of the last snapshot, a row per URL."""
-    rows = table(spark, folder, URLS)
-    last = rows.agg(F.max("snapshot_date").alias("last"))
-    return state.first_by(rows.join(F.broadcast(last), F.col("snapshot_date") == F.col("last")).drop("last"), ["url"], [F.col("scrape_count").desc_nulls_last()])
-
-
 _LAST = f"(SELECT max(snapshot_date) FROM {URLS})"
 _FIRST = f"(SELECT min(snapshot_date) FROM {URLS})"
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sluice.plans import ingestion, records, training
+from sluice.plans import built, ingestion, records, training
 
-QUERIES = ingestion.QUERIES | records.QUERIES | training.QUERIES
-SQL = ingestion.SQL | records.SQL | training.SQL
+QUERIES = ingestion.QUERIES | records.QUERIES | built.QUERIES | training.QUERIES
+SQL = ingestion.SQL | records.SQL | built.SQL | training.SQL
 FLAGSHIP = "p4_found"

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STATUSES = ["pending", "success", "failed", "skipped"]
-PIPELINES = ["cms", "wp"]
 CHECKPOINT_STATUSES = ["running", "completed", "failed", "cancelled"]
 TERMINAL = ["completed", "failed", "cancelled"]
 
