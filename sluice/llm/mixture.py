@@ -6,7 +6,7 @@ copies plus one random offset per source crosses an integer boundary once for
 each copy emitted.  So the number of copies is the expected one to within one,
 of each size class as well; tokens are the expected ones to within the largest
 document of the source and the width of a class (4.4 %).  No document gets more than
-max_repeats copies rounded up, and no random numbers are drawn per row.
+max_repeats copies, and no random numbers are drawn per row.
 """
 
 from __future__ import annotations
