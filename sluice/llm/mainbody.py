@@ -503,7 +503,7 @@ def load(spark: SparkSession, path: str) -> Model:
 
 
 def _extracted(records: DataFrame, model: Model | None, id_: str, source: str, attributes: str, texts: bool) -> DataFrame:
-    """(id, version) and either line_no or body, straight from the scan."""
+    """(id, version) and either line_nos, an array, or body of each record with a main body, straight from the scan."""
     slim = records.where(F.col(id_).isNotNull())
     shared = records.sparkSession.sparkContext.broadcast(model or fit(slim, id_, source, attributes))
 
@@ -515,18 +515,19 @@ def _extracted(records: DataFrame, model: Model | None, id_: str, source: str, a
                 at = [i for i, p in enumerate(read) if p is not None]
                 page, number = body_lines(shared.value, [read[i] for i in at]) if at else (np.empty(0, np.int64),) * 2
                 rows = np.array(at, np.int32)[page] if at else np.empty(0, np.int32)
+                of, starts = np.unique(rows, return_index=True)
+                offsets = np.append(starts, len(rows))
                 if texts:
-                    of = np.unique(rows)
                     split = {i: read[i].content.split("\n") for i in of.tolist()}
-                    bodies = [sound("\n".join(split[i][k - 1] for k in number[a:b].tolist())) for i, a, b in zip(of.tolist(), np.searchsorted(rows, of), np.searchsorted(rows, of, "right"), strict=True)]
-                    rows, last, name = of, pa.array(bodies, pa.string()), "body"
+                    bodies = [sound("\n".join(split[i][k - 1] for k in number[a:b].tolist())) for i, (a, b) in zip(of.tolist(), pairwise(offsets.tolist()), strict=True)]
+                    last = pa.array(bodies, pa.string())
                 else:
-                    last, name = pa.array(number.astype(np.int32)), "line_no"
-                rows = pa.array(rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(3).take(rows), last], ["id", "version", name])
+                    last = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(number.astype(np.int32)))
+                at_rows = pa.array(of, pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at_rows), part.column(3).take(at_rows), last], ["id", "version", "body" if texts else "line_nos"])
 
     slim = slim.select(F.col(id_).alias("id"), F.col(attributes).alias("attributes"), F.col(source).alias("source"), version(source, attributes).alias("version"))
-    return slim.mapInArrow(extract, f"id string, version long, {'body string' if texts else 'line_no int'}")
+    return slim.mapInArrow(extract, f"id string, version long, {'body string' if texts else 'line_nos array<int>'}")
 
 
 def main_body(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", model: Model | None = None) -> DataFrame:
@@ -536,7 +537,14 @@ def main_body(records: DataFrame, id_: str = "id", source: str = "source", attri
     record repeated under its id gives its lines once; different records of one id differ in `version`.  Other columns are not read.  Without a `model`
     one is fitted; it is applied to all records, each whole.
     """
-    return _extracted(records, model, id_, source, attributes, texts=False).distinct()
+    once = _extracted(records, model, id_, source, attributes, texts=False).dropDuplicates(["id", "version"])
+    return once.select("id", "version", F.explode("line_nos").alias("line_no"))
+
+
+def body_numbers(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", model: Model | None = None) -> DataFrame:
+    """(id, line_no), distinct: as `main_body`, the numbers of all records of an id together.  One array a record is shuffled."""
+    found = _extracted(records, model, id_, source, attributes, texts=False)
+    return found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("line_nos"))).alias("n")).select("id", F.explode("n").alias("line_no"))
 
 
 def body_texts(records: DataFrame, id_: str = "id", source: str = "source", attributes: str = "attributes", model: Model | None = None) -> DataFrame:

@@ -48,7 +48,7 @@ def _body_model(spark: SparkSession, folder: str) -> mainbody.Model:
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of each page that belong to its main body."""
     pages = table(spark, folder, "unified_all_cms_content")
-    return mainbody.main_body(pages, model=_body_model(spark, folder)).select("id", "line_no").distinct()
+    return mainbody.body_numbers(pages, model=_body_model(spark, folder))
 
 
 def p5_texts(spark: SparkSession, folder: str) -> DataFrame:

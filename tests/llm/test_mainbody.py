@@ -238,3 +238,13 @@ def test_held_out_accuracy():
     got = set(zip(page.tolist(), number.tolist(), strict=True))
     expected = {(i, n) for i, labels in enumerate(learn_labels(pages)[1][1600:]) for n, keep in enumerate(labels, 1) if keep}
     assert len(got & expected) > 0.985 * max(len(got), len(expected))
+
+
+def test_numbers_of_an_id(spark):
+    """Versions of an id together, each number once."""
+    pages = [make(k) for k in (1, 2)]
+    model = mainbody.train([mainbody.page_of(make(k)[0], "W/Site") for k in range(120)])
+    df = spark.createDataFrame([("x", "W/Site", a) for a, _ in pages] * 2 + [("y", "W/Site", pages[0][0]), ("z", "W/Site", None)], "id string, source string, attributes string")
+    got = [(r["id"], r["line_no"]) for r in mainbody.body_numbers(df, model=model).collect()]
+    every = {(r["id"], r["line_no"]) for r in mainbody.main_body(df, model=model).collect()}
+    assert len(got) == len(set(got)) and set(got) == every and {i for i, _ in got} == {"x", "y"}
