@@ -456,7 +456,7 @@ def sample_pages(records: DataFrame, n: int, id_: str, source: str, attributes:
     while True:
         shares = {site: min(1.0, more * quota[site] / rows) for site, rows in sites}
         pages = _picked(slim, n, shares)
-        if len(pages) >= 0.8 * n or all(x == 1.0 for x in shares.values()):
+        if len(pages) >= 0.8 * n or all(x in (0.0, 1.0) for x in shares.values()):
             return pages
         more *= min(10.0, max(2.0, 1.1 * n / max(1, len(pages))))
 

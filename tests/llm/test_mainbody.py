@@ -2,6 +2,7 @@ import itertools
 import json
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -248,3 +249,14 @@ def test_numbers_of_an_id(spark):
     got = [(r["id"], r["line_no"]) for r in mainbody.body_numbers(df, model=model).collect()]
     every = {(r["id"], r["line_no"]) for r in mainbody.main_body(df, model=model).collect()}
     assert len(got) == len(set(got)) and set(got) == every and {i for i, _ in got} == {"x", "y"}
+
+
+def test_sample_of_many_sites(spark, monkeypatch):
+    """Like parts of the sites; more sites than pages, and sites without content, end as well."""
+    monkeypatch.setattr(mainbody, "SAMPLE_SITES", 8)
+    rows = [(f"i{k}", f"W/S{k % 12}", make(k)[0]) for k in range(240)] + [(f"n{k}", "W/S1", "{}") for k in range(50)]
+    df = spark.createDataFrame(rows, "id string, source string, attributes string")
+    pages = mainbody.sample_pages(df, 80, "id", "source", "attributes")
+    sizes = Counter(p.site for p in pages)
+    assert 60 <= len(pages) <= 80 and len(sizes) == 8 and max(sizes.values()) <= 20
+    assert 0 < len(mainbody.sample_pages(df, 5, "id", "source", "attributes")) <= 5
