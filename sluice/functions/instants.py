@@ -55,6 +55,8 @@ _SHAPES = [
     re.compile(rf"{_DAYS}(?P<name>{_NAME})\s+(?P<d>\d{{1,2}})(?:st|nd|rd|th)?,?\s+(?P<y>\d{{4}})(?:(?:,\s*|\s+(?:at\s+)?){_CLOCK}{_HALF}{_ZONE})?"),
     re.compile(rf"{_NAME}\s+(?P<name>{_NAME})\s+(?P<d>\d{{1,2}})\s+{_CLOCK}(?:\s+(?P<abbr>[A-Z]{{1,5}}))?\s+(?P<y>\d{{4}})"),
 ]
+_HOUR = re.compile(r"^(\d{4}-\d{2}-\d{2}[Tt]\d{2})(?=[Zz]?$|[+\-])")
+_SHORT_OFFSET = re.compile(r"((?:UTC|GMT)\s?[+\-])(\d)(?=$|:)")
 _COUNT = re.compile(r"(\d{10})(?:[.,](\d+))?|(\d{13})|(\d{16})")
 
 
@@ -109,4 +111,6 @@ def read_instant(text: str, day_first: bool = True) -> Reading | None:
         fraction = int((g.get("f") or "0").ljust(6, "0")[:6])
         micros = ((days - _EPOCH) * 86400 + hour * 3600 + minute * 60 + second) * 1_000_000 + fraction
         return Reading(micros, offset, None if offset is not None else zone)
-    return None
+    # An hour alone behind a T, and offsets of one digit behind UTC or GMT, written out.
+    whole = _SHORT_OFFSET.sub(r"\g<1>0\g<2>", _HOUR.sub(r"\1:00", text))
+    return read_instant(whole, day_first) if whole != text else None

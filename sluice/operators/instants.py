@@ -109,6 +109,17 @@ def with_reading(values: DataFrame, text: str, day_first: str) -> DataFrame:
     return values.mapInArrow(read, schema)
 
 
+def unread(values: DataFrame, text: str, day_first: str) -> DataFrame:
+    """The rows whose text is not blank and names no instant: given back, so that nothing vanishes."""
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = zip(batch.column(text).to_pylist(), batch.column(day_first).to_pylist(), strict=True)
+            yield batch.filter(pa.array([t is not None and bool(t.strip()) and read_instant(t, first is not False) is None for t, first in of], pa.bool_()))
+
+    return values.mapInArrow(rest, values.schema)
+
+
 def to_utc(values: DataFrame, text: str, zone: str, day_first: str) -> DataFrame:
     """Adds utc_micros and clock (`offset`, `once`, `twice` or `skipped`); rows that name no instant are left out.
 

@@ -48,15 +48,24 @@ def dated_texts(spark: SparkSession, folder: str) -> DataFrame:
     return stacked.unionByName(modified).where("text IS NOT NULL AND record_key IS NOT NULL")
 
 
-def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    """One UTC instant for each published_at, updated_at and last_modified that names one."""
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
     settings = table(spark, folder, "site_settings").select("source", "time_zone", (F.col("date_order") != "mdy").alias("day_first"))
     # A site's settings are one row per site: small, but their size isn't fixed, so Spark decides on a broadcast.
-    values = dated_texts(spark, folder).join(settings, "source", "left")
-    found = instants.to_utc(values, "text", "time_zone", "day_first")
+    return dated_texts(spark, folder).join(settings, "source", "left")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """One UTC instant for each published_at, updated_at and last_modified that names one."""
+    found = instants.to_utc(_placed(spark, folder), "text", "time_zone", "day_first")
     return found.select("field", "record_key", "snapshot_date", "utc_micros").distinct()
 
 
+def p3_unread(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of those columns that are not blank and name no instant, and how many values have each."""
+    left = instants.unread(_placed(spark, folder), "text", "day_first")
+    return left.groupBy("field", "text").agg(F.count("*").alias("n"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """URLs added, removed, or listed by another sitemap, from each snapshot to the next."""
     urls = table(spark, folder, "aidna_wp_scraped_urls")
@@ -76,6 +85,7 @@ QUERIES = {
     "p2_tables": p2_tables,
     "p2_images": p2_images,
     "p3_found": p3_found,
+    "p3_unread": p3_unread,
     "p4_found": p4_found,
     "p4_intervals": p4_intervals,
 }
