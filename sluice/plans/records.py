@@ -216,7 +216,7 @@ def cms_seo(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH p AS (SELECT content_type, CAST(length(coalesce(id, '')) % 3 + 1 AS INTEGER) AS page FROM {CMS})
-SELECT content_type AS response_key, 3 AS page_count, max(total) AS total_available, count(*) FILTER (page <> 2) AS pages_read, CAST(coalesce(sum(n) FILTER (page <> 2), 0) AS BIGINT) AS fetched, coalesce(max(CASE WHEN page = 2 THEN '2' END), '') AS failed
+SELECT content_type AS response_key, 3 AS page_count, CAST(max(total) AS BIGINT) AS total_available, count(*) FILTER (page <> 2) AS pages_read, CAST(coalesce(sum(n) FILTER (page <> 2), 0) AS BIGINT) AS fetched, coalesce(max(CASE WHEN page = 2 THEN '2' END), '') AS failed
  FROM (SELECT content_type, page, count(*) AS n, sum(count(*)) OVER (PARTITION BY content_type) AS total FROM p GROUP BY content_type, page) GROUP BY content_type""")
 def page_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Pages and records read and to be had per collection, of pages made of the CMS table, the second of each lost."""
