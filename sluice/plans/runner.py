@@ -7,6 +7,7 @@ pending, and rows the sink has are not stored again.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -57,6 +58,30 @@ def _note(spark: SparkSession, stores: Stores, pipeline: str, mode: str, result:
     stores.runs.write(known.where(F.col("pipeline") != pipeline).unionByName(spark.createDataFrame([row], schemas.RUN_STATE)))
 
 
+class Progress:
+    """Tells, every few seconds while a run works, how many of the tasks at hand are done: to the log, or to what is given."""
+
+    def __init__(self, spark: SparkSession, every: float = 30.0, tell: Callable[[int, int], None] | None = None) -> None:
+        self.tracker, self.every = spark.sparkContext.statusTracker(), every
+        self.tell = tell or (lambda done, total: log.info("%d of %d tasks done", done, total))
+        self.ended = threading.Event()
+        self.thread = threading.Thread(target=self._watch, daemon=True)
+
+    def _watch(self) -> None:
+        while not self.ended.wait(self.every):
+            stages = [s for i in self.tracker.getActiveStageIds() if (s := self.tracker.getStageInfo(i)) is not None]
+            if stages:
+                self.tell(sum(s.numCompletedTasks for s in stages), sum(s.numTasks for s in stages))
+
+    def __enter__(self) -> Progress:
+        self.thread.start()
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.ended.set()
+        self.thread.join()
+
+
 class Stopped(Exception):
     """A run was asked to stop."""
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from sluice.sources.transport import Fetch, Folder, Http, fetched
+from sluice.sources.transport import Fetch, Folder, Http, Retry, fetched
 
 PAGES = "response_key string, page int, page_count int, total int, problem string, body string"
 ENVELOPE = "data array<struct<id: string, attributes: string>>, meta struct<pagination: struct<total: int, page: int, pageSize: int, pageCount: int>>"
@@ -48,7 +48,8 @@ class Page(InputPartition):
 
 
 class CmsPages(DataSource):
-    """Options: endpoint, response_key, fields, page_size (100), start_page (1), max_pages (all), folder (answers from files), token.
+    """Options: endpoint, response_key, fields, page_size (100), start_page (1), max_pages (all), folder (answers from files), token,
+    attempts (3), pause (0, seconds between a task's requests), timeout (30).
 
     The number of pages is what the first page that answers says; the pages before it become rows with their problems, and
     after FIRST pages without an answer the collection is given up, with a row for each.
@@ -70,10 +71,11 @@ class CmsReader(DataSourceReader):
         self.key, self.fields, self.endpoint = options["response_key"], options.get("fields", "id attributes"), options["endpoint"]
         self.size, self.start, self.most = int(options.get("page_size", 100)), int(options.get("start_page", 1)), int(options["max_pages"]) if options.get("max_pages") else None
         headers = (("Content-Type", "application/json"), *((("Authorization", f"Bearer {options['token']}"),) if options.get("token") else ()))
-        self.fetch: Fetch = Folder(options["folder"]) if options.get("folder") else Http(headers)
+        self.fetch: Fetch = Folder(options["folder"]) if options.get("folder") else Http(headers, float(options.get("timeout", 30.0)))
+        self.retry = Retry(attempts=int(options.get("attempts", 3)), pause=float(options.get("pause", 0.0)))
 
     def _ask(self, page: int) -> tuple[dict | None, str | None]:
-        answer, problem = fetched(self.fetch, self.endpoint, query(self.key, self.fields, page, self.size))
+        answer, problem = fetched(self.fetch, self.endpoint, query(self.key, self.fields, page, self.size), self.retry)
         return (None, problem) if answer is None else answer_of(answer, self.key)
 
     def partitions(self) -> list[Page]:

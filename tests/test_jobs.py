@@ -223,7 +223,8 @@ def test_runs_by_command(spark, tmp_path, capsys):
         cli.main(["run", "cms", "--registry", path, "--state", state, "--sink", out])
     with pytest.raises(ValueError, match="unknown collection"):
         run("--collection", "none")
-    assert cli.main(["diagnose", "cms", "--registry", path, "--state", state, "--sink", out]) == 0
+    assert cli.main(["diagnose", "cms", "--registry", path, "--state", state, "--sink", out]) == 1  # no endpoint
+    assert cli.main(["diagnose", "wp", "--registry", registry_file(tmp_path / "web", [{"site": "h", "source": "W", "sitemap_url": "u"}]), "--state", state, "--sink", out]) == 0
     assert cli.main(["diagnose", "cms", "--registry", f"{path}.no", "--sink", f"{out}/no"]) == 1
 
 
