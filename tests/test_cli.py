@@ -1,3 +1,4 @@
+import importlib.util
 import os
 
 import pytest
@@ -17,7 +18,36 @@ def test_verbs(spark, capsys, tmp_path):
         cli.main(["query", "no such query", "--folder", FOLDER])
 
 
-@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+@pytest.mark.skipif(not os.path.isdir(FOLDER) or importlib.util.find_spec("sluice.llm") is None, reason="no tables, or no corpus operators")
 def test_corpus_queries(spark, tmp_path):
     assert cli.main(["query", "p8_found", "--folder", FOLDER, "--out", f"{tmp_path}/out"]) == 0
     assert spark.read.parquet(f"{tmp_path}/out").columns == ["doc_id"]
+
+
+def test_only_a_missing_package_is_forgiven():
+    """The entry works without the corpus operators; a fault within them is not hidden."""
+    import builtins
+    import sys
+
+    real = builtins.__import__
+
+    def without(name):
+        def load(module, *more, **named):
+            if module == "sluice.llm" or module.startswith("sluice.llm."):
+                raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+            return real(module, *more, **named)
+
+        kept = {m: sys.modules.pop(m) for m in list(sys.modules) if m == "__spark_entry__" or m.startswith("sluice.llm")}
+        builtins.__import__ = load
+        try:
+            import __spark_entry__ as entry
+
+            return entry.queries()
+        finally:
+            builtins.__import__ = real
+            sys.modules.pop("__spark_entry__", None)
+            sys.modules.update(kept)
+
+    assert not any(q.startswith("p1_") for q in without("sluice.llm"))
+    with pytest.raises(ModuleNotFoundError):
+        without("xxhash")
