@@ -11,6 +11,7 @@ import threading
 from collections.abc import Callable
 from datetime import UTC, datetime
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,8 @@ class Progress:
         self.tracker, self.every = spark.sparkContext.statusTracker(), every
         self.tell = tell or (lambda done, total: log.info("%d of %d tasks done", done, total))
         self.ended = threading.Event()
-        self.thread = threading.Thread(target=self._watch, daemon=True)
+        self.thread = InheritableThread(target=self._watch)  # gives its connection to the JVM back when it ends
+        self.thread.daemon = True
 
     def _watch(self) -> None:
         while not self.ended.wait(self.every):

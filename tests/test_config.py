@@ -34,7 +34,7 @@ def test_problems(tmp_path):
 
 def test_log_file(tmp_path):
     root = logging.getLogger()
-    before = list(root.handlers)
+    before, level = list(root.handlers), root.level
     for handler in before:
         root.removeHandler(handler)
     try:
@@ -45,6 +45,7 @@ def test_log_file(tmp_path):
         for handler in list(root.handlers):
             root.removeHandler(handler)
             handler.close()
+        root.setLevel(level)
         for handler in before:
             root.addHandler(handler)
 
