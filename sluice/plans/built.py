@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import jsonattrs, markup
 from sluice.plans.ingestion import Query
-from sluice.session import table
+from sluice.session import spread, table
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -40,9 +40,10 @@ def query(sql: str):  # noqa: ANN201
     return register
 
 
-def _articles(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "customer").select(F.expr("concat('https://site.example/p/', c_custkey)").alias("url"), F.expr(HTML).alias("html"))
-    return markup.articles(pages).where("ok")
+def _articles(spark: SparkSession, folder: str, *only: str) -> DataFrame:
+    """What is named of each page; the rows are dealt to all cores before pages are made of them."""
+    pages = spread(table(spark, folder, "customer")).select(F.expr("concat('https://site.example/p/', c_custkey)").alias("url"), F.expr(HTML).alias("html"))
+    return markup.articles(pages, only=only or None).where("ok")
 
 
 @query(f"""SELECT concat('https://site.example/p/', c_custkey) AS url, {_TITLE} AS title, concat('About ', c_name) AS description, concat(CASE WHEN c_custkey % 2 = 0 THEN '2024-01-0' ELSE '2023-02-0' END, 1 + c_custkey % 9) AS published_date,
@@ -57,7 +58,7 @@ def built_metadata(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""SELECT concat('https://site.example/p/', c_custkey) AS url, CASE WHEN length(t) >= {markup.LEAST} THEN t ELSE '' END AS content, md5({HTML}) AS content_hash FROM (SELECT *, {_TEXT} AS t FROM customer)""")
 def built_content(spark: SparkSession, folder: str) -> DataFrame:
     """Texts of pages without scripts and furniture, and the pages' hashes."""
-    return _articles(spark, folder).select("url", F.col("article.content").alias("content"), F.col("article.content_hash").alias("content_hash"))
+    return _articles(spark, folder, "content", "content_hash").select("url", F.col("article.content").alias("content"), F.col("article.content_hash").alias("content_hash"))
 
 
 @query("""SELECT concat('https://site.example/p/', c_custkey) AS url, concat(CASE WHEN c_custkey % 250 < 100 THEN '' ELSE concat('https://site.example/i/', c_custkey, '.jpg=pic ') END, 'https://cdn.example/x.png=') AS images,

@@ -86,6 +86,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly to as many tasks as the session shuffles with, at least one a core.
+
+    For rows of few bytes and much work: Spark deals input by bytes, and a file's row group is read by one task, however many cores wait.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     """The table, marked for broadcast if it has no more than so many rows.
 

@@ -195,3 +195,36 @@ def test_nested_blocks_are_read_once():
         assert markup.article(root) is not None and len(markup.article(root).text()) == 4 * n + 4
         seconds.append(time.perf_counter() - start)
     assert seconds[1] < max(1.0, 24 * seconds[0])  # quadratic would be 64
+
+
+def test_articles_place_is_the_most_specific_then_the_first():
+    found = lambda page: markup.article(markup.parse(page)).text()
+    assert found('<main>M<article>A</article><p id="content">C</p><b class="post-body">B</b><b class="x entry-content">E</b><b class="entry-content">L</b></main>') == "E"
+    assert found('<article>A<div class="content">in</div></article><i itemprop="articleBody">I</i>') == "in"
+    assert found('<div class="content">out</div><article>A</article><article>L</article>') == "A"
+    assert found('<main><p class="content">C</p></main><main>L</main>') == "C"
+    assert found("<div>most of the text</div><div>few</div>") == "most of the text"
+
+
+def test_content_is_read_off_the_pages_own_tree():
+    inner = lambda x: markup.read_page("u", f'<div class="entry-content">{x}{" and so on" * 12}</div>')["content"].split(" and so on")[0]
+    assert inner("one<!-- c -->word a<3 &amp;lt; <b>b</b>") == "oneword a<3 < b"
+    assert inner('<p class="widget">no<i>t</i></p><form class="x">no</form>yes') == "yes"
+    assert inner('<p class="widget">' + "y" * 500 + "<script>" + "n" * 9 + "</script></p>yes") == "yes"
+    assert inner('<p class="widget">' + "y" * 501 + "</p>") == "y" * 501
+    assert inner("<scripted>&lt;p&gt;</scripted>yes") == "<p> yes"  # once lost, as a tag of the copy
+
+
+@pytest.mark.parametrize("tag", ['<A Href="x&amp;y" class="">', "<a href='x&amp;y' class>", '<a href="x&amp;y"\n class = "" href="z" >', '<a\thref="x&amp;y" class=""/>'])
+def test_plain_and_other_tags_are_read_alike(tag):
+    node = markup.parse(tag + "t</A>").children[0]
+    assert (node.name, node.attrs) == ("a", {"href": "x&y", "class": ""})
+
+
+def test_articles_of_some_fields(spark):
+    df = spark.createDataFrame([("https://h/p/", PAGE.replace("{filler}", " and so on" * 12)), ("v", None)], "url string, html string")
+    whole = {r["url"]: r for r in markup.articles(df).collect()}
+    for only in (["content", "content_hash"], ["images", "categories", "tags", "sources"], ["author", "title", "feature_image"]):
+        for r in markup.articles(df, only=only).collect():
+            assert (r["ok"], r["error"]) == (whole[r["url"]]["ok"], whole[r["url"]]["error"])
+            assert r["article"] is None if not r["ok"] else r["article"].asDict() == {x: whole[r["url"]]["article"][x] for x in only}
