@@ -67,7 +67,7 @@ def built_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Images, categories, tags and external links of pages, each once."""
     a = F.col("article")
     pairs = lambda column, x, y: F.array_join(F.transform(a[column], lambda i: F.concat(i[x], F.lit("="), i[y])), " ").alias(column)
-    return _articles(spark, folder).select("url", pairs("images", "url", "alt"), F.array_join(a["categories"], ",").alias("categories"), F.array_join(a["tags"], ",").alias("tags"), pairs("sources", "text", "url"))
+    return _articles(spark, folder, "images", "categories", "tags", "sources").select("url", pairs("images", "url", "alt"), F.array_join(a["categories"], ",").alias("categories"), F.array_join(a["tags"], ",").alias("tags"), pairs("sources", "text", "url"))
 
 
 @query("""SELECT doc_id, CASE WHEN length(t) <= 500 THEN t ELSE regexp_replace(left(t, 500), ' [^ ]*$', '') || '...' END AS about

@@ -228,3 +228,11 @@ def test_articles_of_some_fields(spark):
         for r in markup.articles(df, only=only).collect():
             assert (r["ok"], r["error"]) == (whole[r["url"]]["ok"], whole[r["url"]]["error"])
             assert r["article"] is None if not r["ok"] else r["article"].asDict() == {x: whole[r["url"]]["article"][x] for x in only}
+
+
+def test_images_and_links_once_each_whatever_their_spelling():
+    body = lambda x: markup.parse(f"<p>{x}</p>")
+    pictures = '<img src="a.png" width="50" height="200"><img src="a.png" alt="x"><img data-src="https://h/p/b.png" alt=" b "><img src="/p/b.png"><img src="" data-lazy-src="b.png"><img>'
+    assert markup.images(body(pictures), "https://h/p/") == [{"url": "https://h/p/b.png", "alt": "b"}]
+    pages = '<a href="https://o/x"> </a><a href="https://o/x">X</a><a href="http://[bad">b</a><a href="https://h/y">own</a><a href="HTTPS://o/z">Z</a><a>n</a><a href="https://o;p/x?y">P</a>'
+    assert markup.external_links(body(pages), "https://h/p/") == [{"text": "https://o/x", "url": "https://o/x"}, {"text": "P", "url": "https://o;p/x?y"}]
