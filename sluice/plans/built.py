@@ -40,10 +40,10 @@ def query(sql: str):  # noqa: ANN201
     return register
 
 
-def _articles(spark: SparkSession, folder: str, *only: str) -> DataFrame:
+def _articles(spark: SparkSession, folder: str, *fields: str) -> DataFrame:
     """What is named of each page; the rows are dealt to all cores before pages are made of them."""
     pages = spread(table(spark, folder, "customer")).select(F.expr("concat('https://site.example/p/', c_custkey)").alias("url"), F.expr(HTML).alias("html"))
-    return markup.articles(pages, only=only or None).where("ok")
+    return markup.articles(pages, only=fields).where("ok")
 
 
 @query(f"""SELECT concat('https://site.example/p/', c_custkey) AS url, {_TITLE} AS title, concat('About ', c_name) AS description, concat(CASE WHEN c_custkey % 2 = 0 THEN '2024-01-0' ELSE '2023-02-0' END, 1 + c_custkey % 9) AS published_date,
@@ -52,7 +52,8 @@ def built_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Titles, descriptions, dates, authors, languages and feature images of pages."""
     a = F.col("article")
     feature = F.concat_ws("|", a["feature_image"]["url"], a["feature_image"]["alt"])
-    return _articles(spark, folder).select("url", *[a[c].alias(c) for c in ("title", "description", "published_date", "author", "locale")], feature.alias("feature_image"))
+    shown = ("title", "description", "published_date", "author", "locale")
+    return _articles(spark, folder, *shown, "feature_image").select("url", *[a[c].alias(c) for c in shown], feature.alias("feature_image"))
 
 
 @query(f"""SELECT concat('https://site.example/p/', c_custkey) AS url, CASE WHEN length(t) >= {markup.LEAST} THEN t ELSE '' END AS content, md5({HTML}) AS content_hash FROM (SELECT *, {_TEXT} AS t FROM customer)""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sluice.plans import built
 
 
-@pytest.mark.parametrize("name", ["built_content", "built_lists"])
+@pytest.mark.parametrize("name", ["built_content", "built_lists", "built_metadata"])
 def test_pages_of_one_row_group_are_read_by_many_tasks(spark, tmp_path, name):
     rows = spark.range(400).select(F.col("id").alias("c_custkey"), F.concat(F.lit("Customer "), "id").alias("c_name"), F.lit("BUILDING").alias("c_mktsegment"))
     rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")

@@ -236,3 +236,21 @@ def test_images_and_links_once_each_whatever_their_spelling():
     assert markup.images(body(pictures), "https://h/p/") == [{"url": "https://h/p/b.png", "alt": "b"}]
     pages = '<a href="https://o/x"> </a><a href="https://o/x">X</a><a href="http://[bad">b</a><a href="https://h/y">own</a><a href="HTTPS://o/z">Z</a><a>n</a><a href="https://o;p/x?y">P</a>'
     assert markup.external_links(body(pages), "https://h/p/") == [{"text": "https://o/x", "url": "https://o/x"}, {"text": "P", "url": "https://o;p/x?y"}]
+
+
+def test_metadata_takes_the_first_element_of_each_place():
+    read = lambda x: markup.metadata(markup.parse(x), "https://h/p/")
+    page = '<h1>H</h1><time datetime="1">t</time><time class="x entry-date" datetime="2"><time class="published" datetime="3"><p class="byline">By <a>A</a></p><p class="author">B</p><title>T</title><title>U</title>'
+    got = read(page + '<meta property="og:title" content=""><meta property="og:title" content="late"><meta name="author" content=""><meta name="og:image" content="x">')
+    assert (got["title"], got["published_date"], got["author"], got["feature_image"], got["locale"]) == ("T", "2", "A", None, "en")
+    got = read(page + '<meta property="og:title" content=" "><meta name="author" content=" "><meta property="article:published_time" content="4"><meta name="description" content="d" property="og:locale">')
+    assert (got["title"], got["published_date"], got["author"], got["description"], got["locale"]) == (None, "4", None, "d", "d")
+    assert read("<h1>H</h1>")["title"] == "H" and read("")["title"] is None and read('<title> </title><h1>H</h1>')["title"] == ""
+
+
+def test_metadata_walks_the_page_once(monkeypatch):
+    walks = []
+    walk = markup.Node.walk
+    monkeypatch.setattr(markup.Node, "walk", lambda node: walks.append(node.name) or walk(node))
+    markup.metadata(markup.parse("<html><body><p>x</p></body></html>"), "u")
+    assert walks == [""]
